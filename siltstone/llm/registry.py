@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, mixing
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 
-for _module in (bpe, exact_dedup):
+for _module in (bpe, exact_dedup, mixing):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= getattr(_module, "ORACLE_SQL", {})
