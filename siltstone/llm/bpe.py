@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import prepare, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Texts' chunks and pieces whose encodings a worker keeps, and pairs of tokens whose compatibility it keeps.
@@ -273,7 +273,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
     vocabulary: a rank file of any place that the driver reads; executors get it by Spark's file distribution.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     spark.sparkContext.addFile(vocabulary)
     name = vocabulary.rpartition("/")[2]
     schema = f"doc_id long, {_OUT}" + (", ids array<int>" if ids else "")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +36,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bounds what an Arrow batch of whole texts holds in a Python worker."""
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession, rows: int = 500) -> None:
+    """For operators that run Python on executors: sends them the package, and bounds what an Arrow batch of whole texts holds."""
     now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
     if now <= 0 or now > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if context.applicationId not in _shipped and package.is_dir():
+        _shipped.add(context.applicationId)
+        to = f"{tempfile.mkdtemp(prefix='siltstone-')}/{package.name}.zip"
+        with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        context.addPyFile(to)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches, table
+from .common import materialize, prepare, table
 
 #: Bytes of distinct content that a table may hold before it spills, spill files per level, levels.
 LIMIT_BYTES, FANOUT, MAX_DEPTH = 64 << 20, 16, 8
@@ -199,7 +199,7 @@ _LOCAL_SCHEMA, _GLOBAL_SCHEMA = (pa.schema([(n, _KINDS[t]) for n, t in (c.split(
 
 def dedup_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit_bytes: int = LIMIT_BYTES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     local = materialize(narrow.mapInArrow(_local_round(limit_bytes), _LOCAL), "dedup-local")
     groups = local.where("h is not null").repartition("h").select("doc_id", "rk", "size", "text")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, chat, exact_dedup, langid, mixing, url_filter
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 
-for _module in (bpe, exact_dedup, mixing):
+for _module in (bpe, chat, exact_dedup, langid, mixing, url_filter):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= getattr(_module, "ORACLE_SQL", {})
