@@ -25,7 +25,7 @@ from .common import WORD, materialize, table
 WEIGHTS, SHARE, CAP = (5.0, 2.0, 1.0), 1.5, 2
 BLOCK_WORDS, SHARD_SLOTS, SEED, ROUNDS = 1024, 1024, 20240229, 24
 #: Documents that a bucket of the running sums has on average; slots that one row unfolds to.
-BUCKET_ROWS, CHUNK = 10_000, 4096
+BUCKET_ROWS, CHUNK = 1000, 512
 
 
 def permuted(x: Column, n: Column, *key: Column, rounds: int = ROUNDS) -> Column:
@@ -86,7 +86,9 @@ def mix_slots(targets: DataFrame, block: int = BLOCK_WORDS, shard_slots: int = S
     plan = plan.withColumn("left_full", F.floor(F.col("left") / block)).withColumn("cut", F.col("left") % block)
     plan = plan.withColumn("slots", F.col("epochs") * F.col("blocks") + F.col("left_full") + (F.col("cut") > 0).cast("long"))
     plan = plan.withColumn("shards", F.ceil(F.sum("slots").over(Window.partitionBy()) / shard_slots)).where("slots > 0")
-    chunks = plan.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / CHUNK)))).repartition("skey", "chunk")
+    chunks = plan.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / CHUNK))))
+    n = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(n, "skey", "chunk")
     slots = chunks.withColumn("slot", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("slots"), (F.col("chunk") + 1) * CHUNK) - 1)))
     slots = slots.withColumn("epoch", F.floor(F.col("slot") / F.col("blocks"))).withColumn("at", F.col("slot") % F.col("blocks"))
     # The short block, if there is one, ends every epoch; the others are permuted.
@@ -108,7 +110,8 @@ def _taken(placed: DataFrame, slots: DataFrame, block: int) -> DataFrame:
     pieces = placed.withColumn("block", F.explode(F.sequence(F.floor(start / block), F.floor((end - 1) / block))))
     low = F.greatest(start - F.col("block") * block, F.lit(0))
     high = F.least(end - F.col("block") * block, F.col("words"))
-    both = pieces.join(slots, ["skey", "block"])
+    # Slots unfold from few rows, so their size is not known before; both sides grow with the input.
+    both = pieces.join(slots.hint("merge"), ["skey", "block"])
     return both.withColumn("low", low).withColumn("high", high).where("high > low").withColumn("offset", F.col("block") * block - start)
 
 
