@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, exact_dedup, langid, mixing, ngram_join, url_filter
+from . import ann, bpe, chat, exact_dedup, langid, mixing, ngram_join, secrets, url_filter
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 
-for _module in (bpe, chat, exact_dedup, langid, mixing, ngram_join, url_filter):
+for _module in (ann, bpe, chat, exact_dedup, langid, mixing, ngram_join, secrets, url_filter):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= getattr(_module, "ORACLE_SQL", {})
