@@ -2,7 +2,7 @@
 
 The join uses relations between sets twice. In the index, a token's list is kept in blocks by set size
 with each set's token positions, and blocks and entries that no similar pair can come from are
-skipped. Among the sets, each block first compares all its sets with its leaders; a set that is
+skipped. Entries of a list meet only if their sets' bit sketches leave enough in common. Among the sets, each block first compares all its sets with its leaders; a set that is
 similar to one takes over its answer, the component, and no pair within one component is looked at
 again. What remains, pairs of different components, is looked up and verified completely.
 
@@ -149,7 +149,9 @@ def _count(bits: int):
     return run
 
 
-_SETS = "uid long, doc_id long, n long, alone long, print binary, prefix array<long>, common array<long>"
+#: 64-bit words of a set's bit sketch: a bit that one set has and another lacks proves a hash outside the intersection.
+SKETCH = [f"s{k}" for k in range(16)]
+_SETS = "uid long, doc_id long, n long, alone long, print binary, prefix array<long>, common array<long>, " + ", ".join(f"{s} long" for s in SKETCH)
 
 
 def _gather(bits: int, num: int, den: int):
@@ -177,17 +179,21 @@ def _gather(bits: int, num: int, den: int):
         keep = may[doc.astype(np.int64)] if len(doc) else np.zeros(0, bool)
         doc, full, level = doc[keep], full[keep].astype(np.uint64).view(np.int64), level[keep]
         order = np.lexsort((full, level, doc))
-        full = full[order]
+        full, doc = full[order], doc[order]
         ends = np.cumsum(np.where(may, shared, 0))
         starts = ends - np.where(may, shared, 0)
         first = np.where(may, length - alone, 0)
         inside = np.arange(len(full)) - np.repeat(starts, ends - starts)
         taken = inside < np.repeat(first, ends - starts)
+        sketch = np.zeros((docs, len(SKETCH)), np.uint64)
+        bits_of = full.view(np.uint64)
+        np.bitwise_or.at(sketch, (doc.astype(np.int64), (bits_of >> np.uint64(6) & np.uint64(15)).astype(np.int64)), np.uint64(1) << (bits_of & np.uint64(63)))
         lists = lambda values, sizes: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, pa.int64()))
         return pa.table({
             "uid": pa.array((chunk << 20) + np.arange(docs), pa.int64()), "doc_id": pa.array(ids, pa.int64(), mask=none),
             "n": pa.array(n, pa.int64()), "alone": pa.array(alone, pa.int64()), "print": pa.array(prints, pa.binary()),
             "prefix": lists(full[taken], first), "common": lists(full, ends - starts),
+            **{c: pa.array(sketch[:, k].astype(np.uint64).view(np.int64), pa.int64()) for k, c in enumerate(SKETCH)},
         })
 
     return run
@@ -218,6 +224,13 @@ def _fits(num: int, den: int) -> Column:
     return (F.lit(den) * F.least(left, right) >= F.lit(num) * F.greatest(left, right)) & (rest >= _need(left, right, num, den))
 
 
+def _may_meet(num: int, den: int) -> Column:
+    """By the sketches of l and r: whether what surely lies outside the intersection leaves enough."""
+    need = _need(F.col("l.n"), F.col("r.n"), num, den)
+    lost = lambda a, b: sum((F.bit_count(F.col(f"{a}.{s}").bitwiseAND(F.bitwise_not(f"{b}.{s}"))) for s in SKETCH), F.lit(0))
+    return (F.col("l.c") - lost("l", "r") >= need) & (F.col("r.c") - lost("r", "l") >= need)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """u, v, similar: whole intersections of distinct pairs."""
     side = lambda c: sets.select(F.col("uid").alias(c), F.col("n").alias(f"n_{c}"), F.col("common").alias(f"set_{c}"))
@@ -227,7 +240,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def similar_links(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links u, v of distinct sets (uid, n, alone, prefix, common): enough to connect whatever similar pairs connect."""
+    """Links u, v of distinct sets (uid, n, alone, prefix, common, sketch): enough to connect whatever similar pairs connect."""
     step = math.log(den / num)
     level = F.floor(F.log("n") / step * (1 - 1e-9)).cast("int")
     entries = sets.select("uid", "n", level.alias("level"), "alone", F.posexplode("prefix").alias("k", "token"))
@@ -251,10 +264,11 @@ def similar_links(sets: DataFrame, num: int, den: int) -> DataFrame:
     per = blocks.groupBy("token", "level", "component").agg(F.count("*").alias("m"))
     mixed = per.groupBy("token", "level").agg(F.max_by("component", F.struct("m", "component")).alias("largest"), F.count("*").alias("c")).where("c > 1")
     blocks = blocks.join(mixed.drop("c"), ["token", "level"])
+    blocks = blocks.join(sets.select("uid", F.size("common").alias("c"), *SKETCH), "uid")
     left, right = blocks.where("component <> largest").alias("l"), blocks.alias("r")
     once = (F.col("r.component") == F.col("r.largest")) | (F.col("l.uid") < F.col("r.uid"))
     cross = left.join(right, ["token", "level"]).where(
-        (F.col("l.component") != F.col("r.component")) & (F.col("l.home") | F.col("r.home")) & once & _fits(num, den)
+        (F.col("l.component") != F.col("r.component")) & (F.col("l.home") | F.col("r.home")) & once & _fits(num, den) & _may_meet(num, den)
     )
     pairs = cross.select(*pair).distinct().join(first.select("u", "v"), ["u", "v"], "left_anti")
     return found.union(_verified(pairs, sets, num, den).where("similar").select("u", "v"))
@@ -266,7 +280,7 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     may = rows.where(F.size("prefix") > 0)
     same = may.groupBy("print").agg(F.min("uid").alias("rep"))
     of = may.select("uid", "print").join(same, "print").select("uid", "rep")
-    sets = materialize(may.join(same.select(F.col("rep").alias("uid")), "uid", "left_semi").select("uid", "n", "alone", "prefix", "common"), "ngram-reps")
+    sets = materialize(may.join(same.select(F.col("rep").alias("uid")), "uid", "left_semi").select("uid", "n", "alone", "prefix", "common", *SKETCH), "ngram-reps")
     known = components(similar_links(sets, num, den))
     of = of.join(known, of["rep"] == known["node"], "left").select("uid", F.coalesce("component", "rep").alias("component"))
     placed = materialize(rows.select("uid", "doc_id", "n").join(of, "uid", "left").select("doc_id", "n", F.coalesce("component", "uid").alias("component")), "ngram-placed")
