@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import materialize, prepare, table
 
 #: Numbers that the sample may hold, its vectors that give first thresholds, recall aimed at on the sample, rows of a
-#: segment, queries of a segment, columns of a block, width of the test in standard deviations, seed.
-SAMPLE_VALUES, ANCHORS, AIM, SEGMENT, QUERY_SEGMENT, COLUMNS, WIDTH, SEED = 2_000_000, 1024, 0.97, 2048, 2048, 16, 2.1, 7
+#: segment, queries of a segment, lists that set a query's threshold, columns of a block, width of the test in standard deviations, seed.
+SAMPLE_VALUES, ANCHORS, AIM, SEGMENT, QUERY_SEGMENT, FIRST, COLUMNS, WIDTH, SEED = 2_000_000, 1024, 0.97, 2048, 2048, 4, 16, 2.1, 7
 MOST_LISTS = 4096
 _SLACK = 1e-4
 
@@ -188,13 +188,21 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
     asked = placed.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = asked.mapInArrow(probe, "query_id long, v array<double>, limit double, lists array<int>, hits array<struct<vec_id:long,score:double>>")
     asked = materialize(asked, "ann-queries")
-    probes = asked.select("query_id", "v", "limit", F.explode("lists").alias("list"))
+    probes = asked.select("query_id", "v", "limit", F.posexplode("lists").alias("at", "list"))
     wanted = {r[0]: r[1] for r in probes.groupBy("list").count().collect()}
     cuts = lambda counts, most: F.element_at(F.array(*[F.lit(max(1, -(-counts.get(i, 0) // most))) for i in range(len(held))]), F.col("list") + 1)
     segments, blocks = cuts(filled, SEGMENT), cuts(wanted, QUERY_SEGMENT)
-    # A query goes to every segment of a list, a vector to every block of the list's queries.
-    left = probes.withColumn("block", F.pmod(F.xxhash64("query_id"), blocks).cast("int")).withColumn("segment", F.explode(F.sequence(F.lit(0), segments - 1)))
     right = placed.withColumn("segment", F.pmod(F.xxhash64("vec_id"), segments).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    key = ["list", "segment", "block"]
+
+    def found(asked_lists: DataFrame) -> DataFrame:
+        """A query goes to every segment of a list, a vector to every block of the list's queries."""
+        left = asked_lists.withColumn("block", F.pmod(F.xxhash64("query_id"), blocks).cast("int")).withColumn("segment", F.explode(F.sequence(F.lit(0), segments - 1)))
+        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(scan, _HITS)
+
+    def ranked(hits: DataFrame) -> DataFrame:
+        best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
 
     def scan(queries, vectors):
         out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -209,12 +217,13 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
             parts.append(pa.table([q_ids[at : at + 256][r], found, score], schema=out))
         return pa.concat_tables(parts)
 
-    key = ["list", "segment", "block"]
-    hits = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(scan, _HITS)
-    hits = hits.union(asked.select("query_id", F.inline("hits")))
-    best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    # The nearest lists first: the k-th of what they hold is the threshold for the others.
+    near = materialize(found(probes.where(F.col("at") < FIRST)).union(asked.select("query_id", F.inline("hits"))), "ann-near")
+    reached = ranked(near).where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+    far = probes.where(F.col("at") >= FIRST).join(reached, "query_id", "left")
+    own = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    far = far.withColumn("limit", F.least("limit", own + F.lit(float(most)) - 2 * F.col("kth"))).drop("kth")
+    return ranked(near.union(found(far))).select("query_id", "rank", "vec_id", "score")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
