@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, exact_dedup, langid, mixing, ngram_join, secrets, url_filter
+import corpus_pipeline
+
+from . import ann, bpe, chat, exact_dedup, langid, line_dedup, mixing, ngram_join, secrets, url_filter
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 
-for _module in (ann, bpe, chat, exact_dedup, langid, mixing, ngram_join, secrets, url_filter):
+for _module in (ann, bpe, chat, exact_dedup, langid, line_dedup, mixing, ngram_join, secrets, url_filter):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= getattr(_module, "ORACLE_SQL", {})
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
