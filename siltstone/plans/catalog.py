@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from siltstone.plans import literal_queries, table_queries
+
+QUERIES: dict = table_queries.QUERIES | literal_queries.QUERIES
+ORACLE_SQL: dict = table_queries.ORACLE_SQL | literal_queries.ORACLE_SQL
