@@ -150,7 +150,7 @@ def _count(bits: int):
 
 
 #: 64-bit words of a set's bit sketch: a bit that one set has and another lacks proves a hash outside the intersection.
-SKETCH = [f"s{k}" for k in range(16)]
+SKETCH = [f"s{k}" for k in range(32)]
 _SETS = "uid long, doc_id long, n long, alone long, print binary, prefix array<long>, common array<long>, " + ", ".join(f"{s} long" for s in SKETCH)
 
 
@@ -187,7 +187,7 @@ def _gather(bits: int, num: int, den: int):
         taken = inside < np.repeat(first, ends - starts)
         sketch = np.zeros((docs, len(SKETCH)), np.uint64)
         bits_of = full.view(np.uint64)
-        np.bitwise_or.at(sketch, (doc.astype(np.int64), (bits_of >> np.uint64(6) & np.uint64(15)).astype(np.int64)), np.uint64(1) << (bits_of & np.uint64(63)))
+        np.bitwise_or.at(sketch, (doc.astype(np.int64), (bits_of >> np.uint64(6) & np.uint64(len(SKETCH) - 1)).astype(np.int64)), np.uint64(1) << (bits_of & np.uint64(63)))
         lists = lambda values, sizes: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, pa.int64()))
         return pa.table({
             "uid": pa.array((chunk << 20) + np.arange(docs), pa.int64()), "doc_id": pa.array(ids, pa.int64(), mask=none),
