@@ -34,20 +34,24 @@ STEPS = 8
 _ODD_SPACES = ("  ", "\t", "\x0b", "\x0c", "\r")
 
 
-def _words(line: Column) -> Column:
-    """Words of a line; the regular expression is for lines with other than single spaces only."""
+def _spaced(line: Column) -> Column:
+    """The line's words with single spaces between; the regular expression is for lines that need it only."""
     odd = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
     for s in _ODD_SPACES:
         odd = odd | F.contains(line, F.lit(s))
-    return F.when(odd, F.filter(F.split(line, f"[{SPACE}]+"), lambda w: w != "")).otherwise(F.split(line, " "))
+    return F.when(odd, F.btrim(F.regexp_replace(line, f"[{SPACE}]+", " "))).otherwise(line)
 
 
 def _key(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(7), line).alias("k2")
 
 
+def _gram(words: Column, first: Column) -> Column:
+    return F.xxhash64(*[F.get(words, first + k) for k in range(WORDS)])
+
+
 def _tokens(words: Column) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - (WORDS - 1)), lambda i: F.xxhash64(F.slice(words, i, WORDS))))
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(words) - WORDS), lambda i: _gram(words, i)))
 
 
 def _dense(counts: DataFrame, size: int, key: str, value: str) -> Column:
@@ -78,14 +82,14 @@ def distinct_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """uid, k1, k2, line, doc_id, no: every different line with its first place."""
     first = F.min(F.struct("doc_id", "no", "line")).alias("f")
     rows = _lines(docs, id_col, text_col).select("doc_id", "no", "line", *_key(F.col("line"))).groupBy("k1", "k2").agg(first)
-    rows = rows.select("k1", "k2", "f.*").where(F.size(_words(F.col("line"))) >= WORDS)
-    return materialize(rows.withColumn("uid", F.monotonically_increasing_id()), "lines")
+    rows = rows.select("k1", "k2", "f.doc_id", "f.no", _spaced(F.col("f.line")).alias("line"))
+    spaces = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
+    return materialize(rows.where(spaces >= WORDS - 1).withColumn("uid", F.monotonically_increasing_id()), "lines")
 
 
 def _rare_first(rows: DataFrame, rarity: Column) -> DataFrame:
-    """Adds tokens: a line's tokens as longs that sort by rarity (high bits), then hash."""
-    level = lambda h: F.get(rarity, F.pmod(h, F.lit(RARITY_BUCKETS)).cast("int"))
-    key = lambda h: F.shiftleft(level(h).cast("long"), 54).bitwiseOR(F.shiftrightunsigned(h, 10))
+    """Adds tokens: a line's tokens as longs that sort by rarity (the high bits, as the table has them), then hash."""
+    key = lambda h: F.get(rarity, h.bitwiseAND(RARITY_BUCKETS - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 10))
     return rows.withColumn("tokens", F.sort_array(F.transform(_tokens(F.col("words")), key)))
 
 
@@ -98,10 +102,12 @@ def _fits(num: int, den: int) -> Column:
 
 def similar_lines(lines: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """uid of the distinct lines that are similar to an earlier one."""
-    worded = lines.select("uid", _words(F.col("line")).alias("words"))
-    hashes = worded.select(F.explode(_tokens(F.col("words"))).alias("h")).select(F.pmod("h", F.lit(RARITY_BUCKETS)).alias("b"))
+    worded = lines.select("uid", F.split("line", " ").alias("words"))
+    # Unfolded rather than by a lambda, so that hashing and counting are compiled together.
+    each = worded.select("words", F.explode(F.sequence(F.lit(0), F.size("words") - WORDS)).alias("i"))
+    hashes = each.select(_gram(F.col("words"), F.col("i")).bitwiseAND(RARITY_BUCKETS - 1).alias("b"))
     levels = {r[0]: r[1] for r in hashes.groupBy("b").agg(F.ceil(STEPS * F.log2(F.count("*") + 1)).cast("int")).collect()}
-    rarity = F.from_json(F.lit(json.dumps([levels.get(b, 0) for b in range(RARITY_BUCKETS)])), "array<int>")
+    rarity = F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, (n + F.floor(-num * n / F.lit(float(den)) + 1e-9) + 1).cast("int"))
     listed = _rare_first(worded, rarity).select("uid", n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
@@ -133,7 +139,7 @@ def _decided(pairs: DataFrame, lines: DataFrame, num: int, den: int) -> DataFram
     """u, v, similar by the whole sets of both lines."""
     pairs = materialize(pairs, "line-tried")
     held = lines.where(may_hold(id_filter(pairs.select("u").union(pairs.select("v"))), F.col("uid")))
-    sets = held.select("uid", _tokens(_words(F.col("line"))).alias("set"))
+    sets = held.select("uid", F.split("line", " ").alias("words")).select("uid", _tokens(F.col("words")).alias("set"))
     both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
     inter = F.size(F.array_intersect("a", "b"))
     return both.select("u", "v", (den * inter >= num * (F.size("a") + F.size("b") - inter)).alias("similar"))
