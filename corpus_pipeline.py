@@ -14,9 +14,8 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no letters) go; null languages of the others are filled in."""
-    found = langid.identify(docs).select(F.col("doc_id").alias("_id"), "lang_pred").where(F.col("lang_pred") != langid.UNKNOWN).dropDuplicates(["_id"])
-    rows = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]))
-    return rows.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    rows = langid.annotate(docs, pred_col="_pred", score_col="_score").where(F.col("_pred") != langid.UNKNOWN)
+    return rows.withColumn("lang", F.coalesce("lang", "_pred")).select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import prepare, table
 
@@ -171,21 +172,29 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
-def identify(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every document; fitted on the rows that are not held out."""
+def annotate(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", pred_col="lang_pred", score_col="score") -> DataFrame:
+    """The documents, all columns, with the predicted language and its score; fitted on the rows that are not held out."""
+    if {pred_col, score_col} & set(docs.columns):
+        raise ValueError(f"the documents have a column {pred_col} or {score_col} already")
     spark = docs.sparkSession
     prepare(spark)
     model = LanguageModel(*training_sample(docs, ~held_out(id_col), id_col, text_col, lang_col))
     shared = spark.sparkContext.broadcast(model)
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
-            langs, score = shared.value.predict([t or "" for t in b.column(2).to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(langs, pa.string()), pa.array(score, pa.float64())], schema=schema)
+            langs, score = shared.value.predict([t or "" for t in b.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names, pred_col, score_col])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+def identify(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
+    return annotate(rows, "doc_id", "text", "lang").select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
