@@ -76,6 +76,7 @@ class Node:
 
 
 _STEP = re.compile(r'([\w-]+)?((?:\.[\w-]+|#[\w-]+|\[[^\]]+\])*)$')
+_WORD = re.compile(r'(?:\[[^\]]*\]|[^\s\[])+')
 _PART = re.compile(r'\.([\w-]+)|#([\w-]+)|\[([\w-]+)(?:([*~]?=)"?([^"\]]*)"?)?\]')
 _compiled: dict[str, list] = {}
 
@@ -86,7 +87,7 @@ def compiled(selector: str) -> list:
         groups = []
         for group in selector.split(","):
             steps = []
-            for word in group.split():
+            for word in _WORD.findall(group):
                 tag, rest = _STEP.match(word).groups()
                 steps.append((tag, _PART.findall(rest)))
             groups.append(steps)
