@@ -3,23 +3,22 @@
 A line's tokens are its word 5-grams. Equal lines are gathered first. Of the distinct lines, tokens are
 ordered by rarity, counted over all lines in a table of fixed size (a token's rarity is its bucket's
 count, so that the order is the same for all lines), and a line is listed under its rarest tokens, so
-many that two similar lines share one of them. Listed lines meet within and between neighbouring size
-blocks of a token if length and token positions allow the similarity, and then whole sets decide. A
-line goes if an earlier line, by document id and line number, is equal or similar to it.
+many that two similar lines share one of them. Lines of one list meet if length and token positions
+allow the similarity, and then whole sets decide. A line goes if an earlier line, by document id and
+line number, is equal or similar to it.
 
-Each block first compares its lines with its earliest one; only lines that stay are compared with all
-earlier ones.
+Each line of a list is first compared with the list's earliest; only lines that stay are compared with
+all earlier ones.
 
 Defined cases: lines of fewer than ``WORDS`` words always stay and remove nothing; null or empty text
 stays as it is; rows without id keep their lines and remove nothing; rows that repeat an id, a line
-number and the line are one line; very long lines are compared whole; an empty table gives an empty
+number and the line are one line, and other lines of a repeated id and number are judged together; very long lines are compared whole; an empty table gives an empty
 result; other columns are kept by ``clean_documents``.
 """
 
 from __future__ import annotations
 
 import json
-import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +36,8 @@ _ODD_SPACES = ("  ", "\t", "\x0b", "\x0c", "\r")
 def _spaced(line: Column) -> Column:
     """The line's words with single spaces between; the regular expression is for lines that need it only."""
     odd = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
-    for s in _ODD_SPACES:
-        odd = odd | F.contains(line, F.lit(s))
+    for space in _ODD_SPACES:
+        odd = odd | F.contains(line, F.lit(space))
     return F.when(odd, F.btrim(F.regexp_replace(line, f"[{SPACE}]+", " "))).otherwise(line)
 
 
@@ -79,12 +78,12 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """uid, k1, k2, line, doc_id, no: every different line with its first place."""
+    """doc_id, no, k1, k2, line: every different line, its words with single spaces between, at its first place."""
     first = F.min(F.struct("doc_id", "no", "line")).alias("f")
     rows = _lines(docs, id_col, text_col).select("doc_id", "no", "line", *_key(F.col("line"))).groupBy("k1", "k2").agg(first)
     rows = rows.select("k1", "k2", "f.doc_id", "f.no", _spaced(F.col("f.line")).alias("line"))
     spaces = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
-    return materialize(rows.where(spaces >= WORDS - 1).withColumn("uid", F.monotonically_increasing_id()), "lines")
+    return materialize(rows.where(spaces >= WORDS - 1), "lines")
 
 
 def _rare_first(rows: DataFrame, rarity: Column) -> DataFrame:
@@ -93,16 +92,15 @@ def _rare_first(rows: DataFrame, rarity: Column) -> DataFrame:
     return rows.withColumn("tokens", F.sort_array(F.transform(_tokens(F.col("words")), key)))
 
 
-def _fits(num: int, den: int) -> Column:
-    """Whether entries l and r of one token can be similar: by length, and by what follows the token."""
-    a, b = F.col("l.n"), F.col("r.n")
-    rest = 1 + F.least(a - F.col("l.pos") - 1, b - F.col("r.pos") - 1)
-    return (den * F.least(a, b) >= num * F.greatest(a, b)) & (rest >= F.ceil(num * (a + b) / F.lit(float(num + den)) - 1e-9))
+def _fits(l_n: Column, l_pos: Column, r_n: Column, r_pos: Column, num: int, den: int) -> Column:
+    """Whether two entries of one token can be similar: by length, and by what follows the token."""
+    rest = 1 + F.least(l_n - l_pos - 1, r_n - r_pos - 1)
+    return (den * F.least(l_n, r_n) >= num * F.greatest(l_n, r_n)) & (rest >= F.ceil(num * (l_n + r_n) / F.lit(float(num + den)) - 1e-9))
 
 
 def similar_lines(lines: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """uid of the distinct lines that are similar to an earlier one."""
-    worded = lines.select("uid", F.split("line", " ").alias("words"))
+    """doc_id, no of the distinct lines that are similar to an earlier one."""
+    worded = lines.select("doc_id", "no", F.split("line", " ").alias("words"))
     # Unfolded rather than by a lambda, so that hashing and counting are compiled together.
     each = worded.select("words", F.explode(F.sequence(F.lit(0), F.size("words") - WORDS)).alias("i"))
     hashes = each.select(_gram(F.col("words"), F.col("i")).bitwiseAND(RARITY_BUCKETS - 1).alias("b"))
@@ -110,46 +108,44 @@ def similar_lines(lines: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame
     rarity = F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, (n + F.floor(-num * n / F.lit(float(den)) + 1e-9) + 1).cast("int"))
-    listed = _rare_first(worded, rarity).select("uid", n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
-    shared = listed.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1").drop("m")
-    level = F.floor(F.log("n") / math.log(den / num) * (1 - 1e-9)).cast("int")
-    shared = materialize(shared.withColumn("level", level), "line-lists")
-    at = F.struct("doc_id", "no").alias("at")
-    shared = shared.join(lines.where(may_hold(id_filter(shared.select("uid")), F.col("uid"))).select("uid", at), "uid")
-    shared = materialize(shared, "line-places")
-    home = shared.withColumn("home", F.lit(True))
-    blocks = home.union(home.withColumns({"level": F.col("level") + 1, "home": F.lit(False)}).select(home.columns))
-    # Lines with their block's earliest.
-    lead = blocks.groupBy("token", "level").agg(F.min(F.struct("at", "uid", "n", "pos", "home")).alias("f")).select("token", "level", "f.*")
-    tried = blocks.alias("l").join(lead.alias("r"), ["token", "level"])
-    tried = tried.where((F.col("l.at") > F.col("r.at")) & (F.col("l.home") | F.col("r.home")) & _fits(num, den))
-    pair = (F.col("l.uid").alias("u"), F.col("r.uid").alias("v"))
-    led = materialize(_decided(tried.select(*pair).distinct(), lines, num, den), "line-led")
-    gone = led.where("similar").select("u").distinct()
-    # Lines that stay so far with all earlier ones of their block.
-    staying = blocks.join(gone.withColumnRenamed("u", "uid"), "uid", "left_anti")
-    rest = staying.alias("l").join(blocks.alias("r"), ["token", "level"])
-    rest = rest.where((F.col("l.at") > F.col("r.at")) & (F.col("l.home") | F.col("r.home")) & _fits(num, den))
-    rest = rest.select(*pair).distinct().join(led.select("u", "v"), ["u", "v"], "left_anti")
-    late = _decided(materialize(rest, "line-pairs"), lines, num, den).where("similar").select("u")
-    return gone.union(late).distinct().withColumnRenamed("u", "uid")
+    listed = _rare_first(worded, rarity).select("doc_id", "no", n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
+    # A token's list: how many lines it has, and which is the earliest; lists of one line are done.
+    in_list = Window.partitionBy("token")
+    entries = listed.withColumns({"m": F.count("*").over(in_list), "lead": F.min(F.struct("doc_id", "no", "n", "pos")).over(in_list)})
+    later = F.struct("doc_id", "no") > F.struct("lead.doc_id", "lead.no")
+    entries = materialize(entries.where("m > 1").withColumn("later", later), "line-lists")
+    mine, lead = (F.col("doc_id").alias("doc_id"), F.col("no").alias("no")), (F.col("lead.doc_id").alias("to_id"), F.col("lead.no").alias("to_no"))
+    tried = entries.where(F.col("later") & _fits(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), num, den))
+    led = materialize(_decided(tried.select(*mine, *lead).distinct(), lines, num, den), "line-led")
+    gone = led.where("similar").select("doc_id", "no").distinct()
+    # Lines that stay so far with all earlier ones of their lists; a list of two has no other pair.
+    longer = entries.where("m > 2").drop("m", "lead", "later")
+    left, right = longer.join(gone, ["doc_id", "no"], "left_anti").alias("l"), longer.alias("r")
+    rest = left.join(right, "token").where(F.struct("l.doc_id", "l.no") > F.struct("r.doc_id", "r.no"))
+    rest = rest.where(_fits(F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos"), num, den))
+    rest = rest.select("l.doc_id", "l.no", F.col("r.doc_id").alias("to_id"), F.col("r.no").alias("to_no")).distinct()
+    rest = rest.join(led.drop("similar"), ["doc_id", "no", "to_id", "to_no"], "left_anti")
+    return gone.union(_decided(rest, lines, num, den).where("similar").select("doc_id", "no")).distinct()
 
 
 def _decided(pairs: DataFrame, lines: DataFrame, num: int, den: int) -> DataFrame:
-    """u, v, similar by the whole sets of both lines."""
-    pairs = materialize(pairs, "line-tried")
-    held = lines.where(may_hold(id_filter(pairs.select("u").union(pairs.select("v"))), F.col("uid")))
-    sets = held.select("uid", F.split("line", " ").alias("words")).select("uid", _tokens(F.col("words")).alias("set"))
-    both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+    """The pairs (doc_id, no, to_id, to_no) with similar, by the whole sets of both lines."""
+    pairs = materialize(pairs, "line-pairs")
+    places = pairs.select("doc_id", "no").union(pairs.select("to_id", "to_no"))
+    held = lines.where(may_hold(id_filter(places.select(F.xxhash64("doc_id", "no").alias("id"))), F.xxhash64("doc_id", "no")))
+    sets = held.select("doc_id", "no", F.split("line", " ").alias("words")).select("doc_id", "no", _tokens(F.col("words")).alias("set"))
+    sets = materialize(sets, "line-sets")
+    both = pairs.join(sets.withColumnRenamed("set", "a"), ["doc_id", "no"]).join(sets.toDF("to_id", "to_no", "b"), ["to_id", "to_no"])
     inter = F.size(F.array_intersect("a", "b"))
-    return both.select("u", "v", (den * inter >= num * (F.size("a") + F.size("b") - inter)).alias("similar"))
+    similar = den * inter >= num * (F.size("a") + F.size("b") - inter)
+    return both.select("doc_id", "no", "to_id", "to_no", similar.alias("similar"))
 
 
 def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN) -> DataFrame:
     """doc_id, no, k1: the places of lines that go."""
     lines = distinct_lines(docs, id_col, text_col)
     near = similar_lines(lines, num, den).withColumn("near", F.lit(True))
-    firsts = lines.select("uid", "k1", "k2", F.col("doc_id").alias("d"), F.col("no").alias("m")).join(near, "uid", "left").drop("uid")
+    firsts = lines.select("doc_id", "no", "k1", "k2").join(near, ["doc_id", "no"], "left").withColumnsRenamed({"doc_id": "d", "no": "m"})
     rows = _lines(docs, id_col, text_col).select("doc_id", "no", *_key(F.col("line"))).join(firsts, ["k1", "k2"])
     later = (F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m"))
     return rows.where(later | F.col("near")).select("doc_id", "no", "k1").distinct()
