@@ -288,8 +288,8 @@ def bytes_fmt(spark, d):
     return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", text.format_bytes(F.col("l_partkey") * 1000003).alias("shown"))
 
 
-@query("""select o_orderkey, case when o_custkey % 50 = 0 then 100.0 else least(100.0, 100.0 * (o_orderkey % 40) / (o_custkey % 50)) end as percent,
-case when greatest(0, o_custkey % 50 - o_orderkey % 40) = 0 then 0.0 when o_orderkey % 40 > 0 then 90.0 / (o_orderkey % 40) * (o_custkey % 50 - o_orderkey % 40) end as eta, (o_orderkey % 40) / 90.0 as rate from orders""")
+@query("""select o_orderkey, case when o_custkey % 50 = 0 then 100e0 else least(100e0, 100e0 * (o_orderkey % 40) / (o_custkey % 50)) end as percent,
+case when greatest(0, o_custkey % 50 - o_orderkey % 40) = 0 then 0e0 when o_orderkey % 40 > 0 then 90e0 / (o_orderkey % 40) * (o_custkey % 50 - o_orderkey % 40) end as eta, (o_orderkey % 40) / 90e0 as rate from orders""")
 def progress_report(spark, d):
     done, total = F.col("o_orderkey") % 40, F.col("o_custkey") % 50
     cols = text.progress(done.cast("double"), total.cast("double"), F.lit(90.0))

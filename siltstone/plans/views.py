@@ -55,11 +55,11 @@ _LABELLED = "labelled as (select d.doc_id, d.n_chars, l.quality, l.toxic, 'm' ||
 SIZES = _LABELLED + f""",
 audio_sizes as (select audio_url, case when quality = 1 then n_chars end as size_bytes,
   case when quality = 1 then 'known' when doc_id % 4 = 0 then 'retry' else 'unknown' end as status,
-  case when quality = 0 and doc_id % 4 = 0 then {NOW - 300} + doc_id end as next_attempt, doc_id % 5 as attempts from labelled)"""
+  case when quality = 0 and doc_id % 4 = 0 then {NOW - 300}e0 + doc_id end as next_attempt, doc_id % 5 as attempts from labelled)"""
 DOWNLOADS = _LABELLED + f""",
 downloads0 as (select *, case when toxic = 1 then 'suspended' when quality = 1 then 'done' else 'retry' end as status from labelled),
 downloads as (select audio_url, status, case when status = 'done' then n_chars end as size_bytes, doc_id % 5 as attempts,
-  case when status = 'retry' then {NOW - 300} + doc_id end as next_attempt from downloads0)"""
+  case when status = 'retry' then {NOW - 300}e0 + doc_id end as next_attempt from downloads0)"""
 SCHEDULE = """failures as (select cast(cast(ts as date) as varchar) as kind, cast(user_id as varchar) as url, epoch_us(ts) / 1e6 as seen from events where event_type = 'error'),
 schedule0 as (select kind, url, count(*) as attempts, max(seen) as seen from failures group by kind, url),
 retry_schedule as (select kind, url, attempts, case when attempts < 5 then seen + greatest(60, least(3600, 60 * power(2, least(attempts - 1, 10)))) end as next_attempt from schedule0)"""
