@@ -170,3 +170,19 @@ def op8(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_line_dedup": op8}
+ORACLE_SQL = {
+    "op8_line_dedup": r"""
+with l as (
+  select doc_id, no, lines[no] as line from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as no from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents))
+), w as (select *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as w from l),
+f as (select *, row_number() over (partition by line order by doc_id, no) as copy from w where len(w) >= 5),
+u as (select *, row_number() over (order by doc_id, no) as k from f where copy = 1),
+g as (select distinct k, array_to_string(list_slice(w, i, i + 4), ' ') as g from (select k, w, unnest(range(1, len(w) - 3)) as i from u)),
+n as (select k, count(*) as n from g group by k),
+near as (select a.k from g a join g b on a.g = b.g and b.k < a.k join n s on s.k = a.k join n t on t.k = b.k group by a.k, b.k, s.n, t.n having 100 * count(*) >= 80 * (s.n + t.n - count(*))),
+gone as (select doc_id, no from f where copy > 1 union select doc_id, no from u where k in (select k from near))
+select l.doc_id, cast(case when any_value(d.text) is null then 0 else count(*) end as int) as n_lines, cast(count(gone.no) as int) as n_removed,
+  case when any_value(d.text) is not null then coalesce(string_agg(l.line, chr(10) order by l.no) filter (where gone.no is null), '') end as text
+from l join documents d on d.doc_id = l.doc_id left join gone on gone.doc_id = l.doc_id and gone.no = l.no group by l.doc_id
+"""
+}

@@ -300,3 +300,16 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op5_ngram_join": op5}
+ORACLE_SQL = {
+    "op5_ngram_join": r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), g as (
+  select distinct doc_id, array_to_string(list_slice(w, i, i + 3), ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) as i from w where len(w) > 0)
+), n as (select doc_id, count(*) as n from g group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as shared from g a join g b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+e as (select x, y from p join n s on s.doc_id = x join n t on t.doc_id = y where 100 * shared >= 85 * (s.n + t.n - shared)),
+r as (select doc_id as node, doc_id as c from documents union select e.y, r.c from r join e on e.x = r.node)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id from documents d left join n on n.doc_id = d.doc_id join (select node, min(c) as c from r group by node) m on m.node = d.doc_id
+"""
+}
