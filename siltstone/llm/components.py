@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 MOST_ROUNDS = 60
 
@@ -31,7 +31,8 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         near = large.join(low, "u")
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).union(near.select("u", "m").toDF("u", "v")).where("u <> v").distinct()
-        links = materialize(small, "links")
+        old, links = links, materialize(small, "links")
+        discard(old)
         now = _state(links)
         if now == before:
             break

@@ -23,7 +23,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialize, table
+from .common import SPACE, discard, materialize, table
 
 WORDS, NUM, DEN = 5, 80, 100
 #: Buckets of the rarity table; 64-bit words of the filter that tells which lines have candidates. Both are of fixed size.
@@ -116,7 +116,7 @@ def similar_lines(lines: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame
     entries = materialize(entries.where("m > 1").withColumn("later", later), "line-lists")
     mine, lead = (F.col("doc_id").alias("doc_id"), F.col("no").alias("no")), (F.col("lead.doc_id").alias("to_id"), F.col("lead.no").alias("to_no"))
     tried = entries.where(F.col("later") & _fits(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), num, den))
-    led = materialize(_decided(tried.select(*mine, *lead).distinct(), lines, num, den), "line-led")
+    led = _decided(tried.select(*mine, *lead).distinct(), lines, num, den)
     gone = led.where("similar").select("doc_id", "no").distinct()
     # Lines that stay so far with all earlier ones of their lists; a list of two has no other pair.
     longer = entries.where("m > 2").drop("m", "lead", "later")
@@ -125,7 +125,10 @@ def similar_lines(lines: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame
     rest = rest.where(_fits(F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos"), num, den))
     rest = rest.select("l.doc_id", "l.no", F.col("r.doc_id").alias("to_id"), F.col("r.no").alias("to_no")).distinct()
     rest = rest.join(led.drop("similar"), ["doc_id", "no", "to_id", "to_no"], "left_anti")
-    return gone.union(_decided(rest, lines, num, den).where("similar").select("doc_id", "no")).distinct()
+    late = _decided(rest, lines, num, den)
+    near = materialize(gone.union(late.where("similar").select("doc_id", "no")).distinct(), "line-near")
+    discard(entries, led, late)
+    return near
 
 
 def _decided(pairs: DataFrame, lines: DataFrame, num: int, den: int) -> DataFrame:
@@ -138,7 +141,9 @@ def _decided(pairs: DataFrame, lines: DataFrame, num: int, den: int) -> DataFram
     both = pairs.join(sets.withColumnRenamed("set", "a"), ["doc_id", "no"]).join(sets.toDF("to_id", "to_no", "b"), ["to_id", "to_no"])
     inter = F.size(F.array_intersect("a", "b"))
     similar = den * inter >= num * (F.size("a") + F.size("b") - inter)
-    return both.select("doc_id", "no", "to_id", "to_no", similar.alias("similar"))
+    out = materialize(both.select("doc_id", "no", "to_id", "to_no", similar.alias("similar")), "line-decided")
+    discard(pairs, sets)
+    return out
 
 
 def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN) -> DataFrame:
@@ -146,6 +151,8 @@ def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, de
     lines = distinct_lines(docs, id_col, text_col)
     near = similar_lines(lines, num, den).withColumn("near", F.lit(True))
     firsts = lines.select("doc_id", "no", "k1", "k2").join(near, ["doc_id", "no"], "left").withColumnsRenamed({"doc_id": "d", "no": "m"})
+    firsts = materialize(firsts, "line-firsts")
+    discard(lines)
     rows = _lines(docs, id_col, text_col).select("doc_id", "no", *_key(F.col("line"))).join(firsts, ["k1", "k2"])
     later = (F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m"))
     return rows.where(later | F.col("near")).select("doc_id", "no", "k1").distinct()

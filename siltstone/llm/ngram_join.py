@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, prepare, table
+from .common import discard, materialize, prepare, table
 from .components import components
 
 #: Hashes and documents of a chunk, hashes that one part of the hash space should get, words whose hashes a worker keeps.
@@ -247,7 +247,7 @@ def similar_links(sets: DataFrame, num: int, den: int) -> DataFrame:
     entries = entries.select("token", "level", "uid", "n", (F.col("alone") + F.col("k")).alias("pos"))
     ordered = F.struct(F.xxhash64("uid").alias("h"), "uid", "n", "pos")
     lists = entries.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    entries = materialize(entries.join(lists, "token"), "ngram-lists")
+    entries = listed = materialize(entries.join(lists, "token"), "ngram-lists")
     # First every set with its block's two leaders.
     leaders = entries.groupBy("token", "level").agg(F.min(ordered).alias("a"), F.max(ordered).alias("b"))
     led = leaders.select("token", "level", F.explode(F.array("a", "b")).alias("x")).select("token", "level", "x.uid", "x.n", "x.pos")
@@ -271,7 +271,9 @@ def similar_links(sets: DataFrame, num: int, den: int) -> DataFrame:
         (F.col("l.component") != F.col("r.component")) & (F.col("l.home") | F.col("r.home")) & once & _fits(num, den) & _may_meet(num, den)
     )
     pairs = cross.select(*pair).distinct().join(first.select("u", "v"), ["u", "v"], "left_anti")
-    return found.union(_verified(pairs, sets, num, den).where("similar").select("u", "v"))
+    links = materialize(found.union(_verified(pairs, sets, num, den).where("similar").select("u", "v")), "ngram-links")
+    discard(listed, first)
+    return links
 
 
 def ngram_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,9 +283,11 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     same = may.groupBy("print").agg(F.min("uid").alias("rep"))
     of = may.select("uid", "print").join(same, "print").select("uid", "rep")
     sets = materialize(may.join(same.select(F.col("rep").alias("uid")), "uid", "left_semi").select("uid", "n", "alone", "prefix", "common", *SKETCH), "ngram-reps")
-    known = components(similar_links(sets, num, den))
+    links = similar_links(sets, num, den)
+    known = components(links)
     of = of.join(known, of["rep"] == known["node"], "left").select("uid", F.coalesce("component", "rep").alias("component"))
     placed = materialize(rows.select("uid", "doc_id", "n").join(of, "uid", "left").select("doc_id", "n", F.coalesce("component", "uid").alias("component")), "ngram-placed")
+    discard(rows, sets, links)
     several = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return placed.join(several, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
