@@ -40,13 +40,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Removes materialized tables on which nothing that is still to run depends, and lets go of finished queries' shuffle files."""
+    """Removes materialized tables on which nothing that is still to run depends."""
     for t in tables:
         jvm = t.sparkSession._jvm
         path = jvm.org.apache.hadoop.fs.Path(t.scratch_path)
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of queries that are over and no longer referred to."""
     gc.collect()
-    tables[0].sparkSession._jvm.System.gc()
+    spark._jvm.System.gc()
 
 
 _shipped: set[str] = set()

@@ -23,7 +23,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, discard, materialize, table
+from .common import SPACE, discard, materialize, release, table
 
 WORDS, NUM, DEN = 5, 80, 100
 #: Buckets of the rarity table; 64-bit words of the filter that tells which lines have candidates. Both are of fixed size.
@@ -83,7 +83,9 @@ def distinct_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = _lines(docs, id_col, text_col).select("doc_id", "no", "line", *_key(F.col("line"))).groupBy("k1", "k2").agg(first)
     rows = rows.select("k1", "k2", "f.doc_id", "f.no", _spaced(F.col("f.line")).alias("line"))
     spaces = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
-    return materialize(rows.where(spaces >= WORDS - 1), "lines")
+    out = materialize(rows.where(spaces >= WORDS - 1), "lines")
+    release(docs.sparkSession)  # the texts' exchange is as large as what follows
+    return out
 
 
 def _rare_first(rows: DataFrame, rarity: Column) -> DataFrame:
@@ -114,6 +116,7 @@ def similar_lines(lines: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame
     entries = listed.withColumns({"m": F.count("*").over(in_list), "lead": F.min(F.struct("doc_id", "no", "n", "pos")).over(in_list)})
     later = F.struct("doc_id", "no") > F.struct("lead.doc_id", "lead.no")
     entries = materialize(entries.where("m > 1").withColumn("later", later), "line-lists")
+    release(lines.sparkSession)
     mine, lead = (F.col("doc_id").alias("doc_id"), F.col("no").alias("no")), (F.col("lead.doc_id").alias("to_id"), F.col("lead.no").alias("to_no"))
     tried = entries.where(F.col("later") & _fits(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), num, den))
     led = _decided(tried.select(*mine, *lead).distinct(), lines, num, den)
