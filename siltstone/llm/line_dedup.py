@@ -10,7 +10,8 @@ line number, is equal or similar to it.
 Each line of a list is first compared with the list's earliest; only lines that stay are compared with
 all earlier ones.
 
-Defined cases: lines of fewer than ``WORDS`` words always stay and remove nothing; null or empty text
+Defined cases: lines of fewer than ``WORDS`` words always stay and remove nothing, unless ``short`` is
+set: then such a line's one token is its whole word sequence, as in ``ngram_join``, and only lines without words always stay; null or empty text
 stays as it is; rows without id keep their lines and remove nothing; rows that repeat an id, a line
 number and the line are one line, and other lines of a repeated id and number are judged together; very long lines are compared whole; an empty table gives an empty
 result; other columns are kept by ``clean_documents``.
@@ -49,8 +50,13 @@ def _gram(words: Column, first: Column) -> Column:
     return F.xxhash64(*[F.get(words, first + k) for k in range(WORDS)])
 
 
+def _starts(words: Column) -> Column:
+    """Where the tokens begin; a short line has one, of the words that it has (the hash passes over nulls)."""
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0)))
+
+
 def _tokens(words: Column) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(words) - WORDS), lambda i: _gram(words, i)))
+    return F.array_distinct(F.transform(_starts(words), lambda i: _gram(words, i)))
 
 
 def _dense(counts: DataFrame, size: int, key: str, value: str) -> Column:
@@ -72,18 +78,18 @@ def may_hold(bits: Column, id_: Column, words: int = FILTER_WORDS) -> Column:
     return F.getbit(F.get(bits, F.floor(bit / 64).cast("int")), F.pmod(bit, F.lit(64)).cast("int")) == 1
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str, short: bool) -> DataFrame:
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return rows.select("doc_id", F.posexplode(F.split("t", "\n")).alias("no", "line")).where(F.length("line") > 2 * WORDS - 2)
+    return rows.select("doc_id", F.posexplode(F.split("t", "\n")).alias("no", "line")).where(F.length("line") > (0 if short else 2 * WORDS - 2))
 
 
-def distinct_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def distinct_lines(docs: DataFrame, id_col: str, text_col: str, short: bool = False) -> DataFrame:
     """doc_id, no, k1, k2, line: every different line, its words with single spaces between, at its first place."""
     first = F.min(F.struct("doc_id", "no", "line")).alias("f")
-    rows = _lines(docs, id_col, text_col).select("doc_id", "no", "line", *_key(F.col("line"))).groupBy("k1", "k2").agg(first)
+    rows = _lines(docs, id_col, text_col, short).select("doc_id", "no", "line", *_key(F.col("line"))).groupBy("k1", "k2").agg(first)
     rows = rows.select("k1", "k2", "f.doc_id", "f.no", _spaced(F.col("f.line")).alias("line"))
     spaces = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
-    out = materialize(rows.where(spaces >= WORDS - 1), "lines")
+    out = materialize(rows.where(F.length("line") > 0 if short else spaces >= WORDS - 1), "lines")
     release(docs.sparkSession)  # the texts' exchange is as large as what follows
     return out
 
@@ -104,7 +110,7 @@ def similar_lines(lines: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame
     """doc_id, no of the distinct lines that are similar to an earlier one."""
     worded = lines.select("doc_id", "no", F.split("line", " ").alias("words"))
     # Unfolded rather than by a lambda, so that hashing and counting are compiled together.
-    each = worded.select("words", F.explode(F.sequence(F.lit(0), F.size("words") - WORDS)).alias("i"))
+    each = worded.select("words", F.explode(_starts(F.col("words"))).alias("i"))
     hashes = each.select(_gram(F.col("words"), F.col("i")).bitwiseAND(RARITY_BUCKETS - 1).alias("b"))
     levels = {r[0]: r[1] for r in hashes.groupBy("b").agg(F.ceil(STEPS * F.log2(F.count("*") + 1)).cast("int")).collect()}
     rarity = F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
@@ -149,21 +155,21 @@ def _decided(pairs: DataFrame, lines: DataFrame, num: int, den: int) -> DataFram
     return out
 
 
-def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN, short: bool = False) -> DataFrame:
     """doc_id, no, k1: the places of lines that go."""
-    lines = distinct_lines(docs, id_col, text_col)
+    lines = distinct_lines(docs, id_col, text_col, short)
     near = similar_lines(lines, num, den).withColumn("near", F.lit(True))
     firsts = lines.select("doc_id", "no", "k1", "k2").join(near, ["doc_id", "no"], "left").withColumnsRenamed({"doc_id": "d", "no": "m"})
     firsts = materialize(firsts, "line-firsts")
     discard(lines)
-    rows = _lines(docs, id_col, text_col).select("doc_id", "no", *_key(F.col("line"))).join(firsts, ["k1", "k2"])
+    rows = _lines(docs, id_col, text_col, short).select("doc_id", "no", *_key(F.col("line"))).join(firsts, ["k1", "k2"])
     later = (F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m"))
     return rows.where(later | F.col("near")).select("doc_id", "no", "k1").distinct()
 
 
-def clean_documents(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN, counts: bool = False) -> DataFrame:
-    """The documents without the lines that go; with counts, also n_lines and n_removed."""
-    gone = removed_lines(docs, id_col, text_col, num, den).groupBy("doc_id").agg(F.collect_list(F.struct("no", "k1")).alias("_gone"))
+def clean_documents(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN, counts: bool = False, short: bool = False) -> DataFrame:
+    """The documents without the lines that go; with counts, also n_lines and n_removed; with short, lines of fewer than WORDS words are judged too."""
+    gone = removed_lines(docs, id_col, text_col, num, den, short).groupBy("doc_id").agg(F.collect_list(F.struct("no", "k1")).alias("_gone"))
     rows = docs.join(gone.withColumnRenamed("doc_id", "_doc"), F.col(id_col).cast("long") == F.col("_doc"), "left").drop("_doc")
     lines = F.split(text_col, "\n")
     stay = F.filter(lines, lambda x, i: ~F.array_contains("_gone", F.struct(i.alias("no"), F.xxhash64(x).alias("k1"))))

@@ -332,6 +332,16 @@ def test_line_dedup_cases(spark):
     assert line_dedup.clean_documents(empty(spark)).count() == 0
 
 
+def test_line_dedup_short_lines(spark):
+    texts = {
+        1: "one two three four five six seven eight nine ten\nLes.\nand so on\nÀ la une", 2: " Les. \nand  so\ton\nand so\n和平\n \n",
+        3: "和平\nLes.\nA la une\n\n \nLes. Les.", 4: "one  two three four five six seven eight nine ten\none two three four\none two three four five",
+    }
+    want = {1: texts[1], 2: "and so\n和平\n \n", 3: "A la une\n\n \nLes. Les.", 4: "one two three four\none two three four five"}
+    got = line_dedup.clean_documents(docs(spark, list(texts.values()), ids=list(texts)), short=True)
+    assert {r.doc_id: r.text for r in got.collect()} == want
+
+
 # Mixing
 
 
