@@ -272,6 +272,13 @@ def slug_titles(spark, d):
     return load(spark, d, "documents").select("doc_id", text.slug(F.substring(F.replace("text", F.lit("ß"), F.lit("")), 1, 60)).alias("slug"))
 
 
+# Whole texts; slug drops every sharp s, which strip_accents would spell out.
+@query(r"""select doc_id, case when s = '' then 'inconnue' else s end as slug from (select doc_id,
+regexp_replace(substr(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(replace(text, 'ß', '')), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 48), '-+$', '') as s from documents)""")
+def slug_texts(spark, d):
+    return load(spark, d, "documents").select("doc_id", text.slug(F.col("text")).alias("slug"))
+
+
 @query(f"with {v.AUDIOS} select audio_url, string_agg(distinct lang, ' + ' order by lang) as folder from audios where lang is not null group by audio_url")
 def language_folders(spark, d):
     jobs = reports.download_jobs(v.audios(spark, d))

@@ -43,3 +43,10 @@ def test_entry_names():
     import __spark_entry__ as entry
 
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_slug_of_whole_texts(spark, tmp_path):
+    whole = {1: "和平" * 40 + "Élan vital", 2: "*" * 70 + "ﬁn ß ²", 3: "ß" * 50 + "Straße", 4: "a" * 30 + " . " * 20 + "b" * 30, 5: "!" * 100, 6: None, 7: "-" * 99 + "con"}
+    spark.createDataFrame(list(whole.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.slug for r in catalog.QUERIES["slug_texts"](spark, str(tmp_path)).collect()}
+    assert got == {1: "elan-vital", 2: "fin-2", 3: "strae", 4: "a" * 30 + "-" + "b" * 17, 5: "inconnue", 6: None, 7: "lang-con"}
