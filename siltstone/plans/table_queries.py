@@ -213,6 +213,12 @@ def add_visited(spark, d):
     return state.first_wins(pages.where("page_id % 2 = 0").select("url"), pages.where("page_id % 3 = 0").select("url"), ["url"], "url").agg(F.count("*").alias("n"))
 
 
+@query("select count(*) as n from (select distinct url from pages)")
+def add_visited_pages(spark, d):
+    pages = load(spark, d, "pages")
+    return state.first_wins(pages.where("page_id % 2 = 0").select("url"), pages.where("page_id % 2 <> 0 or page_id % 3 = 0").select("url"), ["url"], "url").agg(F.count("*").alias("n"))
+
+
 @query(f"with {v.AUDIOS}, {v.DOWNLOADS} select case when status in ('retry', 'suspended', 'invalid') and audio_url in (select audio_url from audios where lang = 'de') then 'pending' else status end as status, count(*) as n from downloads group by 1")
 def reset_failed(spark, d):
     rows = state.reset_failed(v.downloads(spark, d), reports.language_media(v.audios(spark, d), ["de"]))
@@ -261,6 +267,15 @@ def reachability(spark, d):
     return rows.agg(F.count("*").alias("reached"), F.sum(F.col("url").cast("long")).alias("total"))
 
 
+# The graph of all orders: it grows with the table, and each node is a customer that ten orders lead to.
+@query("with recursive edges as (select distinct o_custkey as a, o_orderkey // 10 as b from orders), r as (select 1 as n union select e.b from r join edges e on e.a = r.n) select count(*) as reached, cast(sum(n) as bigint) as total from r")
+def reachability_orders(spark, d):
+    edges = load(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("src"), F.expr("cast(o_orderkey div 10 as string)").alias("dst"))
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='siltstone-')}"
+    rows = frontier.reachable(spark.createDataFrame([("1",)], "url string"), edges, folder)
+    return rows.agg(F.count("*").alias("reached"), F.sum(F.col("url").cast("long")).alias("total"))
+
+
 @query("select page_id, sha256(url) || '.html' as name, substr(sha256(url), 1, 32) as key from pages")
 def sha_names(spark, d):
     return load(spark, d, "pages").select("page_id", text.snapshot_name(F.col("url")).alias("name"), F.substring(F.sha2("url", 256), 1, 32).alias("key"))

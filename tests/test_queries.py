@@ -50,3 +50,13 @@ def test_slug_of_whole_texts(spark, tmp_path):
     spark.createDataFrame(list(whole.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.slug for r in catalog.QUERIES["slug_texts"](spark, str(tmp_path)).collect()}
     assert got == {1: "elan-vital", 2: "fin-2", 3: "strae", 4: "a" * 30 + "-" + "b" * 17, 5: "inconnue", 6: None, 7: "lang-con"}
+
+
+def test_whole_tables_are_read(spark, tmp_path):
+    # Customer c leads to 40 others by orders that are no multiples of 5, to more than 997 nodes in two rounds.
+    orders = [(10 * (40 * c + k) + 1, c) for c in range(1, 80) for k in range(40)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    want = {1, *range(40, 80), *range(1600, 3200)}
+    assert catalog.QUERIES["reachability_orders"](spark, str(tmp_path)).first()[:] == (len(want), sum(want))
+    spark.createDataFrame([(i, f"u{i}") for i in range(60)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert catalog.QUERIES["add_visited_pages"](spark, str(tmp_path)).first().n == 60
