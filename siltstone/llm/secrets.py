@@ -1,7 +1,7 @@
 """Secret scanning: wide candidate patterns, and a random forest that removes false positives.
 
-A candidate is a run of key characters of some length that holds a digit and a letter, or any such run
-that is assigned to a name. The forest sees its length, the transitions between its characters' classes
+A candidate is a run of key characters of ``SHORTEST`` or more that holds a digit and a letter, or a run
+of any length that is assigned to a name. Runs are split at each ``=`` first, padding apart. The forest sees its length, the transitions between its characters' classes
 and how unlike words' their pairs are, how much of it dictionary words cover, its path, and the words
 beside it. It is trained by Spark on labelled findings: rows of a text, the finding's place in it, its
 path, and whether it is a secret. Where no findings are given, ``example_findings`` makes some by rule.
@@ -10,7 +10,7 @@ The dictionary is that of a bounded sample of documents (``SAMPLE_DOCS`` by hash
 ``DICTIONARY_LEAST`` times), of ``DICTIONARY_MOST`` words at most.
 
 Defined cases: null or empty text has no candidates, a null path is the empty path; very long texts are
-scanned whole; a candidate longer than ``LONGEST`` is no key and is left out; each occurrence of a
+scanned whole, and a candidate may be as long as they are; each occurrence of a
 repeated value is a finding of its own, as are those of repeated rows; a null id is kept; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 from .common import prepare, table
 
-SHORTEST, LONGEST, SAMPLE_DOCS, DICTIONARY_LEAST, DICTIONARY_MOST, TREES, DEPTH, SEED = 16, 512, 1000, 3, 20_000, 40, 8, 11
+SHORTEST, SAMPLE_DOCS, DICTIONARY_LEAST, DICTIONARY_MOST, TREES, DEPTH, SEED = 16, 1000, 3, 20_000, 40, 8, 11
 _RUN = re.compile(r"[A-Za-z0-9_+/.=~-]{%d,}" % SHORTEST)
+_GIVEN = re.compile(r"""[=:>]\s{0,3}["']?([A-Za-z0-9_+/.~-]+=*)""")
+_PART = re.compile(r"[^=]+=*")
 _ASSIGNED = re.compile(r"""([A-Za-z_][\w.-]*)["']?\s{0,3}(?::=|=>|[=:])\s{0,3}["']?$""")
 _DIGIT, _LETTER, _WORD = re.compile("[0-9]"), re.compile("[A-Za-z]"), re.compile(r"[^\W\d_]+")
 
@@ -97,18 +99,25 @@ def features(text: str, start: int, end: int, path: str, lexicon: Lexicon) -> li
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Places of candidates in the whole text."""
-    found = []
+    found = {}
     for m in _RUN.finditer(text):
-        value = m.group().rstrip(".=-~" if not m.group().endswith("=") else ".-~")
-        if not SHORTEST <= len(value) <= LONGEST:
-            continue
-        start = m.start()
-        if "=" in value.rstrip("=") and len(tail := value.rstrip("=").rpartition("=")[2]) >= SHORTEST:  # name=value without spaces
-            start += len(value.rstrip("=")) - len(tail)
-            value = text[start : m.start() + len(value)]
-        if (_DIGIT.search(value) and _LETTER.search(value)) or _ASSIGNED.search(text, max(0, start - 80), start):
-            found.append((start, start + len(value)))
-    return found
+        for part in _PART.finditer(text, m.start(), m.end()):
+            value = _trimmed(part.group()[:-1] if part.end() < m.end() else part.group())
+            start = part.start()
+            named = start > m.start() and text[start - 1] == "=" or _ASSIGNED.search(text, max(0, start - 80), start)
+            if value and (named or (len(value) >= SHORTEST and _DIGIT.search(value) and _LETTER.search(value))):
+                found[start] = start + len(value)
+    for m in _GIVEN.finditer(text):
+        value, start = _trimmed(m.group(1)), m.start(1)
+        if value and _ASSIGNED.search(text, max(0, start - 80), start):
+            found.setdefault(start, start + len(value))
+    return sorted(found.items())
+
+
+def _trimmed(part: str) -> str:
+    """Without what ends a sentence or a name; empty if nothing but signs is left."""
+    value = part.rstrip(".-~") if part.endswith("=") else part.rstrip(".=-~")
+    return value if _DIGIT.search(value) or _LETTER.search(value) else ""
 
 
 def example_findings(words: list[str], n: int = 3000, seed: int = SEED) -> list[tuple[str, int, int, str, bool]]:
@@ -141,6 +150,15 @@ def example_findings(words: list[str], n: int = 3000, seed: int = SEED) -> list[
             lead, value = lead.upper(), value.upper()
         before = prose(rng.randint(0, 8)) + " " + lead
         out.append((before + value + ('" ' if lead.endswith('"') else " ") + prose(rng.randint(0, 5)), len(before), len(before) + len(value), path, secret))
+    for k in range(n // 5):  # short values of a name, and long runs
+        secret, short = k % 2 == 0, rng.random() < 0.6
+        if secret:
+            value = draw(mixed, rng.randint(6, 15)) if short else draw(mixed + "+/", rng.randint(500, 1800))
+        else:
+            value = rng.choice([rng.choice(words), str(rng.randint(0, 99999)), rng.choice(words) + str(rng.randint(0, 99))]) if short else rng.choice("/_.").join(rng.choice(words) for _ in range(120)) + "7"
+        name = rng.choice(FOR_WORDS if secret else ["name", "note", "page", "title", "lang", rng.choice(words)])
+        before = prose(rng.randint(0, 8)) + " " + rng.choice([f'{name} = "', f"{name}=", f"{name}: "])
+        out.append((before + value + " " + prose(rng.randint(0, 5)), len(before), len(before) + len(value), "notes", secret))
     return out
 
 

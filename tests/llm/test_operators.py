@@ -416,6 +416,18 @@ def test_secrets(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_secrets_of_any_length(spark):
+    rng = random.Random(8)
+    draw = lambda k: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(k))
+    jwt, key, one, tail = ".".join(draw(k) for k in (40, 700, 90)), draw(1600) + "==", draw(40), draw(44)
+    text = f'Bearer {jwt} and private_key = "{key}" or {"a.b/c" * 120}={tail} with password = "hunter7x" then pwd=k9Lm2 and x/{one}={tail}. Done: no'
+    places = secrets.candidates(text)
+    found = [text[a:b] for a, b in places]
+    assert {jwt, key, tail, "hunter7x", "k9Lm2", "x/" + one} <= set(found) and found.count(tail) == 2 and len(set(a for a, _ in places)) == len(places)
+    got = {text[r.start : r.start + r.length]: r.secret for r in secrets.scan(docs(spark, [text, "plain words: " + "only " * 300])).where("doc_id = 0").collect()}
+    assert got[jwt] and got[key] and got[tail] and got["hunter7x"]
+
+
 # The registered queries
 
 
