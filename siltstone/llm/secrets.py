@@ -6,8 +6,8 @@ and how unlike words' their pairs are, how much of it dictionary words cover, it
 beside it. It is trained by Spark on labelled findings: rows of a text, the finding's place in it, its
 path, and whether it is a secret. Where no findings are given, ``example_findings`` makes some by rule.
 
-The dictionary is that of a bounded sample of documents (``SAMPLE_DOCS`` by hash, words that occur
-``DICTIONARY_LEAST`` times), of ``DICTIONARY_MOST`` words at most.
+The dictionary counts the words of all documents: those that occur ``DICTIONARY_LEAST`` times and
+``DICTIONARY_SHARE`` times as often as the commonest, of ``DICTIONARY_MOST`` words at most.
 
 Defined cases: null or empty text has no candidates, a null path is the empty path; very long texts are
 scanned whole, and a candidate may be as long as they are; each occurrence of a
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare, table
 
-SHORTEST, SAMPLE_DOCS, DICTIONARY_LEAST, DICTIONARY_MOST, TREES, DEPTH, SEED = 16, 1000, 3, 20_000, 40, 8, 11
+SHORTEST, DICTIONARY_LEAST, DICTIONARY_SHARE, DICTIONARY_MOST, TREES, DEPTH, SEED = 16, 3, 1e-6, 20_000, 40, 8, 11
 _RUN = re.compile(r"[A-Za-z0-9_+/.=~-]{%d,}" % SHORTEST)
 _GIVEN = re.compile(r"""[=:>]\s{0,3}["']?([A-Za-z0-9_+/.~-]+=*)""")
 _PART = re.compile(r"[^=]+=*")
@@ -162,12 +162,12 @@ def example_findings(words: list[str], n: int = 3000, seed: int = SEED) -> list[
     return out
 
 
-def learn_lexicon(docs: DataFrame, id_col: str, text_col: str) -> Lexicon:
-    n = docs.count()
-    drawn = docs.where(F.pmod(F.xxhash64(F.lit(SEED), F.col(id_col).cast("string")), F.lit(max(1, n))) < SAMPLE_DOCS)
-    words = drawn.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(\p{L}{3,24})"), 1)).alias("w"))
+def learn_lexicon(docs: DataFrame, text_col: str) -> Lexicon:
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(\p{L}{3,24})"), 1)).alias("w"))
     top = words.groupBy("w").count().where(F.col("count") >= DICTIONARY_LEAST).orderBy(F.desc("count"), "w").limit(DICTIONARY_MOST)
-    return Lexicon(Counter({r[0]: r[1] for r in top.collect()}))
+    found = top.collect()
+    least = found[0][1] * DICTIONARY_SHARE if found else 0
+    return Lexicon(Counter({r[0]: r[1] for r in found if r[1] >= least}))
 
 
 def train(spark: SparkSession, findings: list[tuple[str, int, int, str, bool]], lexicon: Lexicon):
@@ -180,7 +180,7 @@ def scan(docs: DataFrame, findings: list[tuple[str, int, int, str, bool]] | None
     """doc_id, start, length, value_sha256, score, secret: a row for each candidate, in characters of the text."""
     spark = docs.sparkSession
     prepare(spark)
-    lexicon = learn_lexicon(docs, id_col, text_col)
+    lexicon = learn_lexicon(docs, text_col)
     model = train(spark, findings if findings is not None else example_findings(sorted(lexicon.words)), lexicon)
     shared = spark.sparkContext.broadcast(lexicon)
     out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("value_sha256", pa.string()), ("f", pa.list_(pa.float64()))])

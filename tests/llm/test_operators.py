@@ -428,6 +428,11 @@ def test_secrets_of_any_length(spark):
     assert got[jwt] and got[key] and got[tail] and got["hunter7x"]
 
 
+def test_secrets_dictionary_of_all_documents(spark):
+    rows = spark.range(6000).selectExpr("id as doc_id", "case when id % 1500 = 7 then 'seltenwort' else 'common words here' end as text")
+    assert secrets.learn_lexicon(rows, "text").words == {"seltenwort", "common", "words", "here"}
+
+
 # The registered queries
 
 
