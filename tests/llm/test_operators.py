@@ -200,6 +200,52 @@ def test_ngram_join_variants(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 3] and kept.columns == DOCS.replace(",", "").split()[::2]
 
 
+def near_copies(n, seed, length=70, most=9):
+    """Texts with some words changed: many pairs lie just below the similarity asked for, and no text is the one they come from."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(length)]
+    out = {}
+    for i in range(n):
+        words = list(base)
+        for k in range(rng.randint(0, most)):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[f"x{i}-{k}"], [], [rng.choice(base)], [f"y{rng.randrange(5)}", words[at]]])
+        out[i] = " ".join(words)
+    return out
+
+
+def test_ngram_join_of_many_near_copies(spark):
+    texts = near_copies(300, 11) | {1000 + i: t + " tail" for i, t in near_copies(60, 12, 24, 3).items()} | {2000 + i: "the same words " * 30 for i in range(40)}
+    ids = sorted(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(docs(spark, [texts[i] for i in ids], ids=ids), 4, 85, 100).collect()}
+    want = brute_components(texts, 4, 85, 100)
+    assert got == want and 60 < len({c for _, c in want.values()}) < 300
+
+
+def test_ngram_join_pairs_grow_with_the_group(spark, monkeypatch):
+    """Pairs that are compared: in proportion to a group of near copies, not to its square."""
+    seen = []
+    for name in ("_verified", "_derived"):
+        monkeypatch.setattr(ngram_join, name, lambda pairs, *a, f=getattr(ngram_join, name): (seen.append(pairs.count()), f(pairs, *a))[1])
+    made = []
+    for n in (100, 400):
+        seen.clear()
+        texts = near_copies(n, 13, 90, 4)
+        got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(docs(spark, list(texts.values())), 4, 85, 100).collect()}
+        assert got == {i: c for i, (_, c) in brute_components(texts, 4, 85, 100).items()}
+        made.append(sum(seen))
+    assert made[1] <= 6 * made[0] + 50, made
+
+
+def test_distinct_documents_cases(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    df = docs(spark, [text, text, text, "other words here", None, "", text, "only here"], ids=[3, 3, 5, 5, 6, 7, None, 8]).withColumn("first", F.lit(1)).withColumn("component_id", F.lit(2))
+    got = ngram_join.distinct_documents(df)
+    # Rows of one id stay or go together: one text of 5 is nobody's copy. Rows without id stay.
+    assert got.columns == df.columns and sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == [(False, 3), (False, 3), (False, 5), (False, 5), (False, 6), (False, 7), (False, 8), (True, 0)]
+    assert ngram_join.distinct_documents(df.limit(0)).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)] + [(500, i) for i in range(501, 560)]
