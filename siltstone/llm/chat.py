@@ -14,7 +14,7 @@ Turns are gathered in two steps, first by ranges of turn numbers and then by con
 
 Defined cases: null text or role is the empty string; a null turn number sorts last; ties sort by
 role, then text; rows of a null conversation id form one conversation; repeated rows are turns like
-others; an empty table gives an empty result; other columns are ignored.
+others; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -93,11 +93,30 @@ def parse_formatted(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("turns", F.flatten(F.transform(both, turns)))
 
 
-def digests(formatted: DataFrame, trained: str = TRAINED) -> DataFrame:
-    """What the formatted texts hold, read back."""
+#: Runs of the loss mask that are cut out of one piece of a long conversation.
+RUNS_TOGETHER = 256
+
+
+def under_mask(text: Column, runs: Column) -> Column:
+    """What stands in the text under the loss mask, run by run, in order; long texts are cut to pieces of many runs first."""
+    chars = lambda part: F.aggregate(part, F.lit(0), lambda n, r: n + r["chars"])
+    start = lambda: F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    next_ = lambda a, n, out: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], out).alias("out"))
+
+    def inside(piece: Column, part: Column) -> Column:
+        cut = lambda a, r: F.when(r["in_loss"], F.array(F.substr(piece, a["at"] + 1, r["chars"]))).otherwise(F.array().cast("array<string>"))
+        return F.aggregate(part, start(), lambda a, r: next_(a, r["chars"], cut(a, r)), lambda a: a["out"])
+
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(runs) - 1) / RUNS_TOGETHER)), lambda k: F.slice(runs, (k * RUNS_TOGETHER + 1).cast("int"), RUNS_TOGETHER))
+    pieces = F.aggregate(parts, start(), lambda a, p: next_(a, chars(p), F.array(F.substr(text, a["at"] + 1, chars(p)))), lambda a: a["out"])
+    return F.flatten(F.zip_with(pieces, parts, inside))
+
+
+def digests(formatted: DataFrame) -> DataFrame:
+    """What the formatted texts hold, read back; the loss is read through the mask."""
     back = parse_formatted(formatted)
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    back = back.withColumn("loss", F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == trained), lambda t: t["text"]), ""))
+    back = back.withColumn("loss", F.array_join(F.transform(under_mask(F.col("formatted"), F.col("loss_runs")), lambda t: unescape(t)), ""))
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),

@@ -305,6 +305,20 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.format_turns(chat.collect_turns(df.limit(0)))).count() == 0
 
 
+def test_chat_loss_is_read_through_the_mask(spark):
+    rows = [(c, t, ["user", "assistant", "assistant", "sys"][(t + c) % 4], f"{t}\\### Assistant: </turn> ok <+> é🙂 \\h" * (t % 3)) for c in (1, 2) for t in range(700)]
+    made = chat.format_turns(chat.collect_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    got = {r.conv_id: r for r in chat.digests(made).collect()}
+    for c in (1, 2):
+        loss = "".join(t for k, _, role, t in rows if k == c and role == "assistant")
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    # A mask that says otherwise is what counts.
+    other = made.withColumn("loss_runs", F.transform("loss_runs", lambda r: r.withField("in_loss", F.lit(False))))
+    assert {r.loss_chars for r in chat.digests(other).collect()} == {0}
+    clash = spark.createDataFrame([(1, 0, "user", "x", 1, "y")], "conv_id long, turn long, role string, text string, turns int, formatted string")
+    assert chat.digests(chat.format_turns(chat.collect_turns(clash))).first().formatted_chars == len("### user: x</turn>\n")
+
+
 # URL filter
 
 
@@ -421,6 +435,69 @@ def test_mixing(spark, documents):
     assert {(r.doc_id, r.n) for r in words} == {(r.doc_id, r.taken) for r in got if r.taken}
 
 
+def long_hash(seed, *values):
+    """As Spark hashes longs and strings, one after another."""
+    import struct
+
+    import xxhash
+
+    h = 42
+    for v in (seed, *values):
+        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v) if v >= 2**31 or v is not seed else struct.pack("<i", v), h)
+    return h
+
+
+def test_mixing_draw(spark):
+    rows = [("sa", 9000, 9000.0), ("sb", 3000, 4100.0), ("sc", 500, 1.0), ("n", 40_000, 23_456.0)]
+    plan = mixing.slot_plan(spark.createDataFrame(rows, "skey string, source_size long, target double"), 8)
+    slots = {r.skey: r.slots for r in plan.collect()}
+    total, low, line = sum(slots.values()), 0.0, []
+    for k in sorted(slots):
+        line.append((k, low, low := low + slots[k] / total))
+    want = collections.Counter()
+    for i in range(total):
+        x = (long_hash(mixing.SEED, "draw", i // 64, i % 64) >> 11) / 2**53
+        want[i // 64, next((k for k, a, b in line if a <= x < b), line[-1][0])] += 1
+    assert {(r.shard, r.skey): r.drawn for r in mixing.drawn_counts(plan, 64).collect()} == dict(want)
+    counts = mixing.shard_counts(plan, 64)
+    by = collections.defaultdict(list)
+    for r in counts.collect():
+        by[r.skey].append((r.shard, r.first, r.blocks))
+    for k, n in slots.items():
+        at, drawn, all_drawn = 0, 0, sum(v for (_, s), v in want.items() if s == k)
+        assert abs(all_drawn - n) < 5 * n**0.5 + 1
+        for shard, first, blocks in sorted(by[k]):
+            assert first == at
+            at += blocks
+            if all_drawn:
+                drawn = sum(v for (i, s), v in want.items() if s == k and i <= shard)
+                assert abs(at - drawn * n / all_drawn) <= 1
+        assert at == n
+    # The slots in all shards are each source's, one after another, and a shard has as many of each as it was dealt.
+    made = mixing.mix_slots(plan, counts.withColumnRenamed("blocks", "blocks_drawn"), 8).collect()
+    assert collections.Counter((r.shard, r.skey) for r in made) == {(i, k): n for k in by for i, _, n in by[k]}
+    for k, n in slots.items():
+        assert sorted(r.slot for r in made if r.skey == k) == list(range(n))
+        epoch = [r.block for r in made if r.skey == k and r.epoch == 0]
+        assert len(set(epoch)) == len(epoch)
+    assert sum(r.words for r in made if r.skey == "n") == 23_456
+
+
+def test_mixing_uses_the_draw(spark, documents):
+    plan = mixing.mix(documents, block=64)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shard" in plan and "draw" in plan
+    got = mixing.mix(documents, block=64, shard_slots=64).collect()
+    assert max(r.shards for r in got) > 1 and all((r.shards > 0) == (r.taken > 0) for r in got)
+
+
+def test_mixing_of_equal_ids(spark):
+    df = docs(spark, ["a b c", "d e", "d e", None, "f g h i"], sources=["b"] * 5, ids=[None, None, None, None, 1]).withColumn("spans", F.lit(1)).withColumn("row", F.lit(2))
+    got = mixing.mixed_documents(df, block=2)
+    assert got.columns == df.columns
+    words = collections.Counter(w for r in got.collect() for w in r.text.split())
+    assert sum(words.values()) in (16, 17) and all(words[w] <= (4 if w in "de" else 2) for w in words)
+
+
 def test_mixing_cases(spark):
     df = docs(spark, ["a b c", None, "", " ", "x " * 500, "y", "y", "z z"], sources=["b", "a", None, "c", None, "b", "b", "é"], ids=[1, 2, 3, 4, None, 6, 6, 7])
     got = mixing.mix(df, block=8).collect()
