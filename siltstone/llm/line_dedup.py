@@ -1,34 +1,37 @@
 """Line dedup by an exact set-similarity join of lines, with DataFrame functions only.
 
-A line's tokens are its word 5-grams. Equal lines are gathered first. Of the distinct lines, tokens are
-ordered by rarity, counted over all lines in a table of fixed size (a token's rarity is its bucket's
-count, so that the order is the same for all lines), and a line is listed under its rarest tokens, so
-many that two similar lines share one of them. Lines of one list meet if length and token positions
-allow the similarity, and then whole sets decide. A line goes if an earlier line, by document id and
-line number, is equal or similar to it.
-
-Each line of a list is first compared with the list's earliest; only lines that stay are compared with
-all earlier ones.
-
-Defined cases: lines of fewer than ``WORDS`` words always stay and remove nothing, unless ``short`` is
-set: then such a line's one token is its whole word sequence, as in ``ngram_join``, and only lines without words always stay; null or empty text
-stays as it is; rows without id keep their lines and remove nothing; rows that repeat an id, a line
-number and the line are one line, and other lines of a repeated id and number are judged together; very long lines are compared whole; an empty table gives an empty
-result; other columns are kept by ``clean_documents``.
+A line's tokens are its word 5-grams; a line of fewer words has its whole word sequence as its only
+token, so that of short lines equal ones are similar. Tokens are ordered by rarity: by how often their
+first word's bucket of a table of fixed size was counted over all lines, then by hash, so that the
+order is the same for all lines. A line is listed under its rarest tokens, so many that two similar
+lines share one of them. Lines of one list meet if length and token positions allow the similarity, and
+then whole sets decide. A line goes if an earlier line, by document id and line number, is equal or
+similar to it.
+
+Texts are not shuffled for this: a line is known by its document and number. Equal lines are found by
+128 bits of hashes, counted before any exchange; of a line that is a fixed share of all lines or more,
+only the first is listed. Each line of a list is first compared with the list's earliest; only lines
+that stay are compared with all earlier ones.
+
+Defined cases: lines without words always stay and remove nothing; null or empty text stays as it is;
+rows without id keep their lines and remove nothing; rows that repeat an id, a line number and the line
+are one line, and other lines of a repeated id and number are judged together; very long lines are
+compared whole; an empty table gives an empty result; other columns, whatever their names, are kept by
+``clean_documents``, but n_lines and n_removed where it is to count.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, discard, materialize, release, table
+from .common import SPACE, discard, materialize, table
 
 WORDS, NUM, DEN = 5, 80, 100
-#: Buckets of the rarity table; 64-bit words of the filter that tells which lines have candidates. Both are of fixed size.
-RARITY_BUCKETS, FILTER_WORDS = 1 << 14, 1 << 17
+#: Buckets of the rarity table; 64-bit words of the filter that tells which lines have candidates, at least and at most; a line that is more than such a part of all lines is listed once.
+RARITY_BUCKETS, FILTER_WORDS, MOST_FILTER_WORDS, HOT_PART = 1 << 14, 1 << 15, 1 << 21, 4096
 #: Steps of a rarity level in a doubling of the count.
 STEPS = 8
 _ODD_SPACES = ("  ", "\t", "\x0b", "\x0c", "\r")
@@ -46,17 +49,16 @@ def _key(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(7), line).alias("k2")
 
 
-def _gram(words: Column, first: Column) -> Column:
-    return F.xxhash64(*[F.get(words, first + k) for k in range(WORDS)])
+def _tokens(words: Column, rarity: Column) -> Column:
+    """The distinct tokens as longs in order: the high bits are the first word's rarity as the table has it, the others a hash."""
 
+    def token(i: Column) -> Column:
+        gram = F.slice(words, i, WORDS)
+        level = F.get(rarity, F.xxhash64(F.get(words, i - 1)).bitwiseAND(RARITY_BUCKETS - 1).cast("int"))
+        return level.bitwiseOR(F.shiftrightunsigned(F.xxhash64(gram), 10))
 
-def _starts(words: Column) -> Column:
-    """Where the tokens begin; a short line has one, of the words that it has (the hash passes over nulls)."""
-    return F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0)))
-
-
-def _tokens(words: Column) -> Column:
-    return F.array_distinct(F.transform(_starts(words), lambda i: _gram(words, i)))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(1)))
+    return F.sort_array(F.array_distinct(F.transform(starts, token)))
 
 
 def _dense(counts: DataFrame, size: int, key: str, value: str) -> Column:
@@ -78,111 +80,127 @@ def may_hold(bits: Column, id_: Column, words: int = FILTER_WORDS) -> Column:
     return F.getbit(F.get(bits, F.floor(bit / 64).cast("int")), F.pmod(bit, F.lit(64)).cast("int")) == 1
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, short: bool) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, no, line: every line that has words, with single spaces between them."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return rows.select("doc_id", F.posexplode(F.split("t", "\n")).alias("no", "line")).where(F.length("line") > (0 if short else 2 * WORDS - 2))
+    rows = rows.select("doc_id", F.posexplode(F.split("t", "\n")).alias("no", "raw")).where(F.length("raw") > 0)
+    return rows.select("doc_id", "no", _spaced(F.col("raw")).alias("line")).where(F.length("line") > 0)
+
 
+def equal_lines(lines: DataFrame) -> tuple[DataFrame, int]:
+    """Of lines that occur several times: k1, k2, their first place d, m, and c, how often; and the number of all lines."""
+    seen = Observation()
+    keys = lines.select("doc_id", "no", *_key(F.col("line"))).groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "no")).alias("f"), F.count("*").alias("c"))
+    keys = keys.observe(seen, F.sum("c").alias("n"))
+    out = materialize(keys.where("c > 1").select("k1", "k2", F.col("f.doc_id").alias("d"), F.col("f.no").alias("m"), "c"), "line-equal")
+    return out, seen.get["n"] or 0
 
-def distinct_lines(docs: DataFrame, id_col: str, text_col: str, short: bool = False) -> DataFrame:
-    """doc_id, no, k1, k2, line: every different line, its words with single spaces between, at its first place."""
-    first = F.min(F.struct("doc_id", "no", "line")).alias("f")
-    rows = _lines(docs, id_col, text_col, short).select("doc_id", "no", "line", *_key(F.col("line"))).groupBy("k1", "k2").agg(first)
-    rows = rows.select("k1", "k2", "f.doc_id", "f.no", _spaced(F.col("f.line")).alias("line"))
-    spaces = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
-    out = materialize(rows.where(F.length("line") > 0 if short else spaces >= WORDS - 1), "lines")
-    release(docs.sparkSession)  # the texts' exchange is as large as what follows
-    return out
 
+def rarity_table(lines: DataFrame) -> Column:
+    """The rarity levels of the buckets of words, in the high bits of longs; a constant of fixed size."""
+    words = lines.select(F.explode(F.split("line", " ")).alias("w")).select(F.xxhash64("w").bitwiseAND(RARITY_BUCKETS - 1).alias("b"))
+    levels = {r[0]: r[1] for r in words.groupBy("b").agg(F.ceil(STEPS * F.log2(F.count("*") + 1)).cast("int")).collect()}
+    return F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
 
-def _rare_first(rows: DataFrame, rarity: Column) -> DataFrame:
-    """Adds tokens: a line's tokens as longs that sort by rarity (the high bits, as the table has them), then hash."""
-    key = lambda h: F.get(rarity, h.bitwiseAND(RARITY_BUCKETS - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 10))
-    return rows.withColumn("tokens", F.sort_array(F.transform(_tokens(F.col("words")), key)))
 
+def _reach(num: int, den: int) -> tuple[Column, Column]:
+    """Smallest and largest size of a line similar to one of size n, the token at pos being the first common one."""
+    most = F.least(F.floor(F.lit(den) * F.col("n") / F.lit(float(num)) + 1e-9), F.floor((F.col("n") - F.col("pos")) * F.lit(num + den) / F.lit(float(num)) + 1e-9) - F.col("n"))
+    return F.ceil(F.lit(num) * F.col("n") / F.lit(float(den)) - 1e-9).alias("low"), most.alias("high")
 
-def _fits(l_n: Column, l_pos: Column, r_n: Column, r_pos: Column, num: int, den: int) -> Column:
-    """Whether two entries of one token can be similar: by length, and by what follows the token."""
-    rest = 1 + F.least(l_n - l_pos - 1, r_n - r_pos - 1)
-    return (den * F.least(l_n, r_n) >= num * F.greatest(l_n, r_n)) & (rest >= F.ceil(num * (l_n + r_n) / F.lit(float(num + den)) - 1e-9))
 
+_LINE, _TO = ["doc_id", "no"], ["to_id", "to_no"]
 
-def similar_lines(lines: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """doc_id, no of the distinct lines that are similar to an earlier one."""
-    worded = lines.select("doc_id", "no", F.split("line", " ").alias("words"))
-    # Unfolded rather than by a lambda, so that hashing and counting are compiled together.
-    each = worded.select("words", F.explode(_starts(F.col("words"))).alias("i"))
-    hashes = each.select(_gram(F.col("words"), F.col("i")).bitwiseAND(RARITY_BUCKETS - 1).alias("b"))
-    levels = {r[0]: r[1] for r in hashes.groupBy("b").agg(F.ceil(STEPS * F.log2(F.count("*") + 1)).cast("int")).collect()}
-    rarity = F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
+
+def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines: int, num: int = NUM, den: int = DEN) -> DataFrame:
+    """doc_id, no, k1 of the lines that are similar to an earlier one, those equal to an earlier one aside."""
+    rarity = rarity_table(lines)
+    # A line listed once at most: there are fewer than HOT_PART such keys.
+    hot = F.broadcast(equal.where(F.col("c") > max(HOT_PART, n_lines) / HOT_PART).select("k1", "k2", "d", "m"))
+    once = lines.withColumns(dict(zip(("k1", "k2"), _key(F.col("line")), strict=True))).join(hot, ["k1", "k2"], "left")
+    once = once.where("d is null or (d = doc_id and m = no)")
+    worded = once.select(*_LINE, _tokens(F.split("line", " "), rarity).alias("tokens"))
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, (n + F.floor(-num * n / F.lit(float(den)) + 1e-9) + 1).cast("int"))
-    listed = _rare_first(worded, rarity).select("doc_id", "no", n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
-    # A token's list: how many lines it has, and which is the earliest; lists of one line are done.
+    listed = worded.select(*_LINE, n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
+    low, high = _reach(num, den)
+    # Of two similar lines the smaller one stands early enough in the list; lists without such a one, or of one line, are done.
     in_list = Window.partitionBy("token")
-    entries = listed.withColumns({"m": F.count("*").over(in_list), "lead": F.min(F.struct("doc_id", "no", "n", "pos")).over(in_list)})
-    later = F.struct("doc_id", "no") > F.struct("lead.doc_id", "lead.no")
-    entries = materialize(entries.where("m > 1").withColumn("later", later), "line-lists")
-    release(lines.sparkSession)
-    mine, lead = (F.col("doc_id").alias("doc_id"), F.col("no").alias("no")), (F.col("lead.doc_id").alias("to_id"), F.col("lead.no").alias("to_no"))
-    tried = entries.where(F.col("later") & _fits(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), num, den))
-    led = _decided(tried.select(*mine, *lead).distinct(), lines, num, den)
-    gone = led.where("similar").select("doc_id", "no").distinct()
+    listed = listed.withColumns({"many": F.count("*").over(in_list), "early": F.max((high >= F.col("n")).cast("int")).over(in_list)})
+    listed = materialize(listed.where("many > 1 and early = 1").select("token", *_LINE, "n", "pos"), "line-lists")
+    # Without the lines that are equal to an earlier one: how many are left in a list, and which is the earliest.
+    listed_once = listed.join(copies.select(*_LINE), _LINE, "left_anti").withColumns({"many": F.count("*").over(in_list), "lead": F.min(F.struct(*_LINE, "n", "pos")).over(in_list)})
+    entries = materialize(listed_once.where("many > 1").select("*", low, high), "line-entries")
+    discard(listed)
+    places = entries.select(*_LINE).distinct()
+    sets = _sets(lines, places, rarity)
+    lead = (F.col("lead.doc_id").alias("to_id"), F.col("lead.no").alias("to_no"))
+    tried = entries.where(F.struct(*_LINE) > F.struct("lead.doc_id", "lead.no")).where(F.col("lead.n").between(F.col("low"), F.col("high")))
+    led = _decided(tried.select(*_LINE, *lead).distinct(), sets, num, den)
+    gone = led.where("similar").select(*_LINE).distinct()
     # Lines that stay so far with all earlier ones of their lists; a list of two has no other pair.
-    longer = entries.where("m > 2").drop("m", "lead", "later")
-    left, right = longer.join(gone, ["doc_id", "no"], "left_anti").alias("l"), longer.alias("r")
-    rest = left.join(right, "token").where(F.struct("l.doc_id", "l.no") > F.struct("r.doc_id", "r.no"))
-    rest = rest.where(_fits(F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos"), num, den))
+    longer = entries.where("many > 2").drop("many", "lead")
+    left, right = longer.join(gone, _LINE, "left_anti").alias("l"), longer.alias("r")
+    near = F.col("l.n").between(F.col("r.low"), F.col("r.high")) & F.col("r.n").between(F.col("l.low"), F.col("l.high"))
+    rest = left.join(right, "token").where(F.struct("l.doc_id", "l.no") > F.struct("r.doc_id", "r.no")).where(near)
     rest = rest.select("l.doc_id", "l.no", F.col("r.doc_id").alias("to_id"), F.col("r.no").alias("to_no")).distinct()
-    rest = rest.join(led.drop("similar"), ["doc_id", "no", "to_id", "to_no"], "left_anti")
-    late = _decided(rest, lines, num, den)
-    near = materialize(gone.union(late.where("similar").select("doc_id", "no")).distinct(), "line-near")
-    discard(entries, led, late)
-    return near
+    late = _decided(rest.join(led.drop("similar"), _LINE + _TO, "left_anti"), sets, num, den)
+    found = gone.union(late.where("similar").select(*_LINE)).distinct()
+    found = materialize(sets.select(*_LINE, "k1").join(found, _LINE, "left_semi"), "line-near")
+    discard(entries, sets, led, late)
+    return found
+
+
+def _sets(lines: DataFrame, places: DataFrame, rarity: Column) -> DataFrame:
+    """doc_id, no, k1, set of the lines at the places; a bit filter keeps most of the others from being read closely."""
+    place = F.xxhash64(*_LINE)
+    words = 1 << max(0, places.count() // 4).bit_length()
+    words = min(MOST_FILTER_WORDS, max(FILTER_WORDS, words))
+    held = lines.where(may_hold(id_filter(places.select(place.alias("id")), words), place, words))
+    held = held.select(*_LINE, _key(F.col("line"))[0], _tokens(F.split("line", " "), rarity).alias("set"))
+    return materialize(held.join(places, _LINE, "left_semi"), "line-sets")
 
 
-def _decided(pairs: DataFrame, lines: DataFrame, num: int, den: int) -> DataFrame:
+def _decided(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (doc_id, no, to_id, to_no) with similar, by the whole sets of both lines."""
-    pairs = materialize(pairs, "line-pairs")
-    places = pairs.select("doc_id", "no").union(pairs.select("to_id", "to_no"))
-    held = lines.where(may_hold(id_filter(places.select(F.xxhash64("doc_id", "no").alias("id"))), F.xxhash64("doc_id", "no")))
-    sets = held.select("doc_id", "no", F.split("line", " ").alias("words")).select("doc_id", "no", _tokens(F.col("words")).alias("set"))
-    sets = materialize(sets, "line-sets")
-    both = pairs.join(sets.withColumnRenamed("set", "a"), ["doc_id", "no"]).join(sets.toDF("to_id", "to_no", "b"), ["to_id", "to_no"])
+    both = pairs.join(sets.select(*_LINE, F.col("set").alias("a")), _LINE).join(sets.select("doc_id", "no", "set").toDF(*_TO, "b"), _TO)
     inter = F.size(F.array_intersect("a", "b"))
     similar = den * inter >= num * (F.size("a") + F.size("b") - inter)
-    out = materialize(both.select("doc_id", "no", "to_id", "to_no", similar.alias("similar")), "line-decided")
-    discard(pairs, sets)
-    return out
+    return materialize(both.select(*_LINE, *_TO, similar.alias("similar")), "line-decided")
 
 
-def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN, short: bool = False) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN) -> DataFrame:
     """doc_id, no, k1: the places of lines that go."""
-    lines = distinct_lines(docs, id_col, text_col, short)
-    near = similar_lines(lines, num, den).withColumn("near", F.lit(True))
-    firsts = lines.select("doc_id", "no", "k1", "k2").join(near, ["doc_id", "no"], "left").withColumnsRenamed({"doc_id": "d", "no": "m"})
-    firsts = materialize(firsts, "line-firsts")
-    discard(lines)
-    rows = _lines(docs, id_col, text_col, short).select("doc_id", "no", *_key(F.col("line"))).join(firsts, ["k1", "k2"])
-    later = (F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m"))
-    return rows.where(later | F.col("near")).select("doc_id", "no", "k1").distinct()
-
-
-def clean_documents(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN, counts: bool = False, short: bool = False) -> DataFrame:
-    """The documents without the lines that go; with counts, also n_lines and n_removed; with short, lines of fewer than WORDS words are judged too."""
-    gone = removed_lines(docs, id_col, text_col, num, den, short).groupBy("doc_id").agg(F.collect_list(F.struct("no", "k1")).alias("_gone"))
-    rows = docs.join(gone.withColumnRenamed("doc_id", "_doc"), F.col(id_col).cast("long") == F.col("_doc"), "left").drop("_doc")
-    lines = F.split(text_col, "\n")
-    stay = F.filter(lines, lambda x, i: ~F.array_contains("_gone", F.struct(i.alias("no"), F.xxhash64(x).alias("k1"))))
-    extra = {"n_lines": F.size(lines), "n_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size(lines) - F.size(stay))} if counts else {}
-    out = {text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))}
-    if "n_chars" in docs.columns:
-        out["n_chars"] = F.length(out[text_col]).cast("long")
-    return rows.withColumns(extra | out).drop("_gone")
+    lines = _lines(docs, id_col, text_col)
+    equal, n_lines = equal_lines(lines)
+    copies = lines.select(*_LINE, *_key(F.col("line"))).join(equal, ["k1", "k2"]).where((F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m")))
+    copies = materialize(copies.select(*_LINE, "k1"), "line-copies")
+    near = similar_lines(lines, equal, copies, n_lines, num, den)
+    return copies.union(near.select(*_LINE, "k1"))
+
+
+def clean_documents(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN, counts: bool = False) -> DataFrame:
+    """The documents without the lines that go; with counts, also n_lines and n_removed."""
+    gone = removed_lines(docs, id_col, text_col, num, den).groupBy("doc_id").agg(F.collect_set(F.struct("no", "k1")).alias("gone"))
+    # The documents' own columns stand in one struct, so that their names do not matter.
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = rows.join(gone, F.col("key") == F.col("doc_id"), "left").withColumn("lines", F.split(F.col("row")[text_col].cast("string"), "\n"))
+    its = F.filter("gone", lambda g: F.xxhash64(_spaced(F.get("lines", g["no"]))) == g["k1"])
+    rows = rows.withColumn("nos", F.transform(its, lambda g: g["no"]))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("nos"))
+    text = F.when(F.coalesce(F.size("nos"), F.lit(0)) > 0, F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")).otherwise(F.col("row")[text_col])
+    rows = rows.withColumn("new", text)
+    out = {c: F.col("row")[c] for c in docs.columns} | {text_col: F.col("new")}
+    if "n_chars" in out:
+        out["n_chars"] = F.length("new").cast("long")
+    if counts:
+        out |= {"n_lines": F.size("lines"), "n_removed": F.coalesce(F.size("nos"), F.lit(0))}
+    return rows.select(*[c.alias(name) for name, c in out.items()])
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
     rows = clean_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
-    return rows.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).alias("n_lines"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"), "text")
+    return rows.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).alias("n_lines"), "n_removed", "text")
 
 
 QUERIES = {"op8_line_dedup": op8}
@@ -191,9 +209,9 @@ ORACLE_SQL = {
 with l as (
   select doc_id, no, lines[no] as line from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as no from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents))
 ), w as (select *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as w from l),
-f as (select *, row_number() over (partition by line order by doc_id, no) as copy from w where len(w) >= 5),
+f as (select *, row_number() over (partition by line order by doc_id, no) as copy from w where len(w) > 0),
 u as (select *, row_number() over (order by doc_id, no) as k from f where copy = 1),
-g as (select distinct k, array_to_string(list_slice(w, i, i + 4), ' ') as g from (select k, w, unnest(range(1, len(w) - 3)) as i from u)),
+g as (select distinct k, array_to_string(list_slice(w, i, i + 4), ' ') as g from (select k, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from u)),
 n as (select k, count(*) as n from g group by k),
 near as (select a.k from g a join g b on a.g = b.g and b.k < a.k join n s on s.k = a.k join n t on t.k = b.k group by a.k, b.k, s.n, t.n having 100 * count(*) >= 80 * (s.n + t.n - count(*))),
 gone as (select doc_id, no from f where copy > 1 union select doc_id, no from u where k in (select k from near))
