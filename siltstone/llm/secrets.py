@@ -4,7 +4,8 @@ A candidate is a run of key characters of ``SHORTEST`` or more that holds a digi
 of any length that is assigned to a name. Runs are split at each ``=`` first, padding apart. The forest sees its length, the transitions between its characters' classes
 and how unlike words' their pairs are, how much of it dictionary words cover, its path, and the words
 beside it. It is trained by Spark on labelled findings: rows of a text, the finding's place in it, its
-path, and whether it is a secret. Where no findings are given, ``example_findings`` makes some by rule.
+path, and whether it is a secret. What words beside it and parts of its path say is learned from the
+findings: the log odds of secrets with them. Where no findings are given, ``example_findings`` makes some by rule.
 
 The dictionary counts the words of all documents: those that occur ``DICTIONARY_LEAST`` times and
 ``DICTIONARY_SHARE`` times as often as the commonest, of ``DICTIONARY_MOST`` words at most.
@@ -12,7 +13,7 @@ The dictionary counts the words of all documents: those that occur ``DICTIONARY_
 Defined cases: null or empty text has no candidates, a null path is the empty path; very long texts are
 scanned whole, and a candidate may be as long as they are; each occurrence of a
 repeated value is a finding of its own, as are those of repeated rows; a null id is kept; an empty
-table gives an empty result; other columns are ignored.
+table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ _PART = re.compile(r"[^=]+=*")
 _ASSIGNED = re.compile(r"""([A-Za-z_][\w.-]*)["']?\s{0,3}(?::=|=>|[=:])\s{0,3}["']?$""")
 _DIGIT, _LETTER, _WORD = re.compile("[0-9]"), re.compile("[A-Za-z]"), re.compile(r"[^\W\d_]+")
 
-# Words beside a finding, or in a path, that speak for or against a secret.
+# Words that example_findings puts beside a finding, or in a path, of a secret or of something else.
 FOR_WORDS = ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "auth", "authorization", "bearer", "credential", "credentials", "private", "access")
 AGAINST_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "guid", "revision", "etag", "integrity", "version", "id", "example", "sample", "dummy", "placeholder", "fake", "test")
 AGAINST_PATHS = ("test", "tests", "example", "examples", "sample", "fixture", "fixtures", "doc", "docs", "lock", "mock", "vendor")
@@ -46,7 +47,7 @@ PLACEHOLDERS = ("example", "changeme", "your", "xxxx", "placeholder", "dummy", "
 
 FEATURES = (
     "length", "class_changes", "digits", "upper", "symbols", "hex", "entropy", "odd_pairs", "odd_pair_mean", "dictionary", "placeholder",
-    "assigned", "for_words", "against_words", "against_path", "path_depth", "quoted", "dotted", "grouped",
+    "assigned", "name_odds", "words_for", "words_against", "path_odds", "path_depth", "quoted", "dotted", "grouped",
 )
 
 
@@ -74,25 +75,58 @@ class Lexicon:
         return covered / letters if letters else 0.0
 
 
+class Context:
+    """What neighbouring words and path parts say, learned from labelled findings: the log odds of a secret with them."""
+
+    def __init__(self, findings: list[tuple[str, int, int, str, bool]]):
+        secrets = sum(f[4] for f in findings)
+        self.base = (secrets + 1) / (len(findings) - secrets + 1)
+        self.words, self.parts = self._odds((neighbours(t, a, b), s) for t, a, b, _, s in findings), self._odds((path_parts(p), s) for *_, p, s in findings)
+
+    def _odds(self, rows) -> dict[str, float]:
+        yes, no = Counter(), Counter()
+        for words, secret in rows:
+            (yes if secret else no).update(set(words))
+        # A word that occurs a few times says little, whatever it occurs with.
+        return {w: math.log((yes[w] + 2 * self.base) / (no[w] + 2) / self.base) for w in yes | no if yes[w] + no[w] >= 3}
+
+    def said(self, words: set[str]) -> list[float]:
+        """What the parts of the name say in all, and the most that a word beside says for a secret, and against one."""
+        odds = {w: self.words[w] for w in words if w in self.words}
+        beside = [x for w, x in odds.items() if w[0] != "="]
+        return [sum((x for w, x in odds.items() if w[0] == "="), 0.0), max([0.0, *beside]), min([0.0, *beside])]
+
+
+def neighbours(text: str, start: int, end: int) -> set[str]:
+    """The words beside a finding, in small letters: those before it after a <, those behind it after a >, and the parts of a name that it is assigned to after a =."""
+    before, after = text[max(0, start - 80) : start], text[end : end + 20]
+    name = _ASSIGNED.search(before)
+    tagged = (("<", before[-40:]), (">", after), ("=", name.group(1) if name else ""))
+    return {tag + w.lower() for tag, part in tagged for w in _WORD.findall(part)}
+
+
+def path_parts(path: str | None) -> list[str]:
+    return [p.lower() for p in re.split(r"[/\\._-]+", path or "") if p]
+
+
 def _kind(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
-def features(text: str, start: int, end: int, path: str, lexicon: Lexicon) -> list[float]:
-    value, before, after = text[start:end], text[max(0, start - 80) : start], text[end : end + 40]
+def features(text: str, start: int, end: int, path: str, lexicon: Lexicon, context: Context) -> list[float]:
+    value, before = text[start:end], text[max(0, start - 80) : start]
     n, low = len(value), value.lower()
     kinds = [_kind(c) for c in value]
     count = Counter(value)
     odd = [lexicon.pairs.get(a + b, -9.0) for a, b in zip(low, low[1:], strict=False) if a.isalpha() and b.isalpha()]
     name = _ASSIGNED.search(before)
-    beside = {w.lower() for w in _WORD.findall(before[-40:] + " " + after[:20])} | ({w.lower() for w in _WORD.findall(name.group(1))} if name else set())
-    parts = [p.lower() for p in re.split(r"[/\\._-]+", path) if p]
+    parts = path_parts(path)
+    known = [context.parts[p] for p in parts if p in context.parts]
     return [
         float(n), sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, n - 1), kinds.count(2) / n, kinds.count(1) / n, kinds.count(3) / n,
         float(all(c in "0123456789abcdef-" for c in low)), -sum(k / n * math.log2(k / n) for k in count.values()),
         sum(x < -6 for x in odd) / max(1, n - 1), sum(odd) / len(odd) if odd else -9.0, lexicon.coverage(value), float(any(p in low for p in PLACEHOLDERS)),
-        float(name is not None), float(sum(w in beside for w in FOR_WORDS)), float(sum(w in beside for w in AGAINST_WORDS)),
-        float(any(p in AGAINST_PATHS for p in parts)), float(len(parts)), float(before[-1:] in "\"'" and before != ""), value.count(".") / n,
+        float(name is not None), *context.said(neighbours(text, start, end)), min(known, default=0.0) + max(known, default=0.0), float(len(parts)), float(before[-1:] in "\"'" and before != ""), value.count(".") / n,
         float(bool(re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value))),
     ]
 
@@ -170,8 +204,8 @@ def learn_lexicon(docs: DataFrame, text_col: str) -> Lexicon:
     return Lexicon(Counter({r[0]: r[1] for r in found if r[1] >= least}))
 
 
-def train(spark: SparkSession, findings: list[tuple[str, int, int, str, bool]], lexicon: Lexicon):
-    rows = [(features(t, a, b, p or "", lexicon), float(s)) for t, a, b, p, s in findings]
+def train(spark: SparkSession, findings: list[tuple[str, int, int, str, bool]], lexicon: Lexicon, context: Context):
+    rows = [(features(t, a, b, p or "", lexicon, context), float(s)) for t, a, b, p, s in findings]
     data = spark.createDataFrame(rows, "f array<double>, label double").select(array_to_vector("f").alias("features"), "label")
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(data)
 
@@ -181,8 +215,10 @@ def scan(docs: DataFrame, findings: list[tuple[str, int, int, str, bool]] | None
     spark = docs.sparkSession
     prepare(spark)
     lexicon = learn_lexicon(docs, text_col)
-    model = train(spark, findings if findings is not None else example_findings(sorted(lexicon.words)), lexicon)
-    shared = spark.sparkContext.broadcast(lexicon)
+    findings = findings if findings is not None else example_findings(sorted(lexicon.words))
+    context = Context(findings)
+    model = train(spark, findings, lexicon, context)
+    shared = spark.sparkContext.broadcast((lexicon, context))
     out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("value_sha256", pa.string()), ("f", pa.list_(pa.float64()))])
 
     def run(batches):
@@ -191,7 +227,7 @@ def scan(docs: DataFrame, findings: list[tuple[str, int, int, str, bool]] | None
             for i, t, p in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 t = t.as_py() or ""
                 for a, e in candidates(t):
-                    rows.append((i, a, e - a, hashlib.sha256(t[a:e].encode("utf-8", "replace")).hexdigest(), features(t, a, e, p or "", shared.value)))
+                    rows.append((i, a, e - a, hashlib.sha256(t[a:e].encode("utf-8", "replace")).hexdigest(), features(t, a, e, p or "", *shared.value)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 

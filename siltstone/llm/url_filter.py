@@ -2,20 +2,24 @@
 
 Listed rules (host and path prefix) decide first. Other urls are judged by rules that FP-growth
 mines from labelled urls: an url's items are its host's labels, path segments (digits as ``#``) and
-query keys, and its label is an item too. Rules that conclude on a label are pruned by support and
-confidence, then by rules that say the same with fewer items. They are matched through an inverted
-index: each rule stands in the bucket of its rarest item, so an url looks at the buckets of its own
-items alone, checks that all items of a rule are there, and takes the most confident one.
+query keys, all of them, and its label is an item too. Rules that conclude on a label are pruned by
+support, by confidence, with a threshold of its own for each label, and by how sure it is that the
+confidence is above the label's share of all labelled urls; then by rules that say the same with fewer
+items. They are matched through an inverted index: each rule stands in the bucket of its rarest item,
+so an url looks at the buckets of its own items alone, checks that all items of a rule are there, and
+takes the rule of the largest lift: its confidence as a multiple of its label's share.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, fits no listed rule and
-has no items, so it is allowed; a null label takes no part in mining; repeated rows are judged alike;
-of rules of equal confidence the one of larger support, then block, wins; without labelled urls no
-rules are mined and all other urls are allowed; other columns do not matter.
+has no items, so it is allowed; a null label takes no part in mining; repeated rows are judged alike
+and each count in mining; of rules of equal lift the one of larger confidence, then support, then block,
+wins; without labelled urls no rules are mined and all other urls are allowed; an empty table gives an
+empty result; very long urls are mined and judged whole; other columns, whatever their names, do not matter.
 """
 
 from __future__ import annotations
 
 import json
+from itertools import combinations
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -30,9 +34,9 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-#: Least support, urls and confidence of a mined rule; labelled urls that mining reads at most, items of one
-#: of them at most (the host's end comes first), and rules that are kept, the most confident first.
-MIN_SUPPORT, MIN_URLS, MIN_CONFIDENCE, SAMPLE, ITEMS, MOST_RULES, BUCKETS = 0.002, 20, 0.75, 200_000, 10, 2000, 512
+#: Of a mined rule: least support, least urls, least confidence by label, least standard deviations above the
+#: label's share, and most items. Labelled urls that mining reads, about; buckets of the rule index.
+MIN_SUPPORT, MIN_URLS, BLOCK_CONFIDENCE, ALLOW_CONFIDENCE, SURE, RULE_ITEMS, SAMPLE, BUCKETS = 0.002, 20, 0.4, 0.75, 2.0, 4, 200_000, 512
 BLOCK, ALLOW = "=block", "=allow"
 
 
@@ -83,46 +87,60 @@ def _bucket(text: str, n: int) -> int:
     return zlib.crc32(text.encode()) % n
 
 
-def mine_rules(labelled: DataFrame, min_support=MIN_SUPPORT, min_urls=MIN_URLS, min_confidence=MIN_CONFIDENCE, sample=SAMPLE, most_items=ITEMS, most_rules=MOST_RULES) -> list[dict]:
-    """Of (url, blocked) rows: rules with items, verdict, confidence, support. The model has a bounded size."""
-    host, path = url_parts(F.col("url"))
+def baskets(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """items of (url, blocked) rows that have both, the label among them; of many rows, about as many as sample, drawn row by row."""
     rows = labelled.where("blocked is not null and url is not null").select("url", "blocked")
     n = rows.count()
+    if n > sample:
+        rows = rows.where(F.rand(1) < sample / n)
+    host, path = url_parts(F.col("url"))
+    return rows.select(F.concat(items(F.col("url"), host, path), F.array(F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))).alias("items"))
+
+
+def mine_rules(labelled: DataFrame, min_support=MIN_SUPPORT, min_urls=MIN_URLS, block_confidence=BLOCK_CONFIDENCE, allow_confidence=ALLOW_CONFIDENCE, sure=SURE, most_items=RULE_ITEMS, sample=SAMPLE) -> list[dict]:
+    """Of (url, blocked) rows: rules with items, block, confidence, support, lift and key, the rarest item."""
+    rows = baskets(labelled, sample).persist()
+    n = rows.count()
     if not n:
         return []
-    if n > sample:
-        rows = rows.where(F.pmod(F.xxhash64("url"), F.lit(n)) < sample)
-    basket = F.concat(F.slice(items(F.col("url"), host, path), 1, most_items), F.array(F.when(F.col("blocked"), BLOCK).otherwise(ALLOW)))
-    support = min(1.0, max(min_support, min_urls / min(n, sample)))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(rows.select(basket.alias("items")))
-    found = model.associationRules.where(F.element_at("consequent", 1).isin(BLOCK, ALLOW))
-    found = found.where(~F.exists("antecedent", lambda i: i.isin(BLOCK, ALLOW)))
-    found = found.select(F.array_sort("antecedent").alias("items"), (F.element_at("consequent", 1) == BLOCK).alias("block"), "confidence", "support")
-    found = found.orderBy(F.desc("confidence"), F.desc("support"), "items").limit(most_rules)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_urls / n)), minConfidence=min(block_confidence, allow_confidence)).fit(rows)
     single = {r["items"][0]: r["freq"] for r in model.freqItemsets.where("size(items) = 1").collect()}
-    kept: list[dict] = []
+    share = {c: rows.where(F.array_contains("items", c)).count() / n for c in (BLOCK, ALLOW)}
+    rows.unpersist()
+    found = model.associationRules.where(F.element_at("consequent", 1).isin(BLOCK, ALLOW)).where(F.size("antecedent") <= most_items)
+    found = found.where(~F.exists("antecedent", lambda i: i.isin(BLOCK, ALLOW)))
+    block, base = F.element_at("consequent", 1) == BLOCK, F.when(F.element_at("consequent", 1) == BLOCK, share[BLOCK]).otherwise(share[ALLOW])
+    urls = F.round(F.col("support") * n / F.col("confidence"))
+    above = (F.col("confidence") - base) * F.sqrt(urls) >= sure * F.sqrt(base * (1 - base))
+    enough = F.col("confidence") >= F.when(block, block_confidence).otherwise(allow_confidence)
+    found = found.where(above & enough & (F.col("confidence") > base)).select(F.array_sort("antecedent").alias("items"), block.alias("block"), "confidence", "support", (F.col("confidence") / base).alias("lift"))
+    best: dict[bool, dict[tuple, float]] = {True: {}, False: {}}
+    out = []
+    # Shorter rules first; best is the largest confidence of a set's own rule and of its subsets' rules.
     for r in sorted(found.collect(), key=lambda r: (len(r["items"]), r["items"])):
-        own = set(r["items"])
-        if not any(k["block"] == r["block"] and k["confidence"] >= r["confidence"] and own.issuperset(k["items"]) for k in kept):
-            kept.append(r.asDict() | {"key": min(r["items"], key=lambda i: (single.get(i, 0), i))})
-    return kept
+        own, b = tuple(r["items"]), r["block"]
+        below = max((best[b].get(s, 0.0) for k in range(1, len(own)) for s in combinations(own, k)), default=0.0)
+        best[b][own] = max(below, r["confidence"])
+        if r["confidence"] > below:
+            out.append(r.asDict() | {"key": min(own, key=lambda i: (single.get(i, 0), i))})
+    return out
 
 
 def mined_verdict(tokens: Column, rules: list[dict], buckets: int = BUCKETS) -> Column:
-    """block or allow by the most confident rule all of whose items are tokens; null if there is none."""
+    """block or allow by the rule of the largest lift all of whose items are tokens; null if there is none."""
     if not rules:
         return F.lit(None).cast("string")
     table: list[list[dict]] = [[] for _ in range(buckets)]
     for r in rules:
         table[_bucket(r["key"], buckets)].append(r)
-    index = _literal(table, "array<array<struct<key:string,items:array<string>,block:boolean,confidence:double,support:double>>>")
+    index = _literal(table, "array<array<struct<key:string,items:array<string>,block:boolean,confidence:double,support:double,lift:double>>>")
 
     def posted(t: Column) -> Column:
         at = F.pmod(F.crc32(t.cast("binary")), F.lit(buckets)).cast("int")
         return F.filter(F.get(index, at), lambda r: (r["key"] == t) & (F.size(F.array_except(r["items"], tokens)) == 0))
 
     hits = F.flatten(F.transform(tokens, posted))
-    best = F.array_max(F.transform(hits, lambda r: F.struct(r["confidence"].alias("c"), r["support"].alias("s"), r["block"].alias("b"))))
+    best = F.array_max(F.transform(hits, lambda r: F.struct(r["lift"].alias("l"), r["confidence"].alias("c"), r["support"].alias("s"), r["block"].alias("b"))))
     return F.when(F.size(hits) > 0, F.when(best["b"], "block").otherwise("allow"))
 
 

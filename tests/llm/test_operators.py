@@ -333,14 +333,71 @@ def test_url_rules(spark):
     assert [(r.host, r.path, r.rule, r.verdict) for r in got] == [c[1:] for c in cases]
 
 
-def test_url_mining(spark):
-    rows = [(f"http://w{i % 9}.casino.org/win/{i}?ref=a", True) for i in range(60)] + [(f"http://w{i % 9}.news.org/read/{i}", False) for i in range(60)] + [(None, True), ("http://x.org/", None)]
+def url_items(url):
+    rest = url.split("://", 1)[1]
+    host, path, query = re.match(r"([^/?#]*)([^?#]*)(?:\?([^#]*))?", rest).groups()
+    out = {"h:" + x for x in host.lower().split(".") if x} | {"p:" + re.sub("[0-9]+", "#", x) for x in path.split("/") if x}
+    return out | {"q:" + x.split("=")[0] for x in (query or "").split("&") if x.split("=")[0]}
+
+
+def brute_rules(rows, min_urls, block, allow, sure, most):
+    """Every rule by counting every set of items of every url."""
+    import itertools
+
+    held = [(url_items(u), b) for u, b in rows if u is not None and b is not None]
+    n, count, hit = len(held), collections.Counter(), collections.Counter()
+    for x, b in held:
+        for k in range(1, most + 1):
+            for s in itertools.combinations(sorted(x), k):
+                count[s] += 1
+                hit[s, b] += 1
+    share, out = {b: sum(y == b for _, y in held) / n for b in (True, False)}, {}
+    for (s, b), m in hit.items():
+        c = m / count[s]
+        if m >= max(min_urls, 0.002 * n) and c >= (block if b else allow) and c > share[b] and (c - share[b]) * count[s] ** 0.5 >= sure * (share[b] * (1 - share[b])) ** 0.5:
+            out[s, b] = (c, m / n, c / share[b])
+    return {k: v for k, v in out.items() if not any(b == k[1] and set(s) < set(k[0]) and w[0] >= v[0] for (s, b), w in out.items())}
+
+
+def test_url_mining_equals_enumeration(spark):
+    rng = random.Random(10)
+    rows = []
+    for i in range(600):
+        host, bad = rng.choice(["a.org", "b.org", "c.net", "www.d.com"]), rng.random() < 0.2
+        path = "/".join(rng.choice(["x", "y", "win", "read", str(i)]) for _ in range(rng.randint(0, 3)))
+        rows.append((f"http://{host}/{path}" + rng.choice(["", "?ref=1", "?id=2&ref=3"]), bad or ("win" in path and rng.random() < 0.6)))
+    rows += [(None, True), ("http://x.org/", None)]
     rules = url_filter.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean"))
-    assert all(len(r["items"]) == 1 for r in rules if r["block"])  # what fewer items say is not said again
-    pages = spark.createDataFrame([(1, "http://w3.casino.org/win/777"), (2, "http://w3.news.org/read/7"), (3, "http://else.org/")], "page_id long, url string")
-    assert [r.verdict for r in url_filter.judge(pages, rules).orderBy("page_id").collect()] == ["block", "allow", "allow"]
-    by_hand = lambda u: {t for t in ("h:casino", "p:win", "q:ref") if t[2:] in u}
-    assert all(set(r["items"]) & by_hand("casino win ref") for r in rules if r["block"])
+    want = brute_rules(rows, 20, url_filter.BLOCK_CONFIDENCE, url_filter.ALLOW_CONFIDENCE, url_filter.SURE, url_filter.RULE_ITEMS)
+    got = {(tuple(r["items"]), r["block"]): (r["confidence"], r["support"], r["lift"]) for r in rules}
+    assert set(got) == set(want) and any(b for _, b in got) and any(not b for _, b in got)
+    assert all(abs(x - y) < 1e-9 for k in got for x, y in zip(got[k], want[k], strict=True))
+    urls = [u for u, _ in rows[:300]] + [None, "no url", "http://other.example/q?z"]
+    judged = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules, listed=()).collect()
+    verdicts = set()
+    for r in judged:
+        u = urls[r.page_id]
+        hits = [(v[2], v[0], v[1], k[1]) for k, v in want.items() if u and "://" in u and set(k[0]) <= url_items(u)]
+        assert r.verdict == ("block" if hits and max(hits)[3] else "allow"), u
+        verdicts.add(r.verdict)
+    assert verdicts == {"allow", "block"}
+
+
+def test_url_mining_reads_long_urls_whole(spark):
+    long = "/".join(f"s{i}" for i in range(3))
+    rows = [(f"http://h{i}.org/a{i}/b{i}/c{i}/d{i}/e{i}/f{i}/g{i}/{long}/{'bad' if i % 4 == 0 else 'good'}?k{i}=1&last={i}", i % 4 == 0) for i in range(200)]
+    rules = url_filter.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean"))
+    assert {tuple(r["items"]) for r in rules if r["block"]} == {("p:bad",)}
+
+
+def test_url_cases(spark):
+    none = spark.createDataFrame([], "url string, blocked boolean")
+    assert url_filter.mine_rules(none) == []
+    pages = spark.createDataFrame([(1, "http://a.org/"), (1, "http://a.org/"), (None, None)], "page_id long, url string")
+    pages = pages.withColumns({c: F.lit("x") for c in ("host", "path", "rule", "verdict", "tokens", "hit")})
+    got = url_filter.judge(pages, []).collect()
+    assert sorted((r.page_id or 0, r.host, r.verdict) for r in got) == [(0, "", "allow"), (1, "a.org", "allow"), (1, "a.org", "allow")]
+    assert url_filter.judge(pages.limit(0), []).count() == 0
 
 
 # Line dedup
@@ -531,11 +588,12 @@ def test_mixing_cases(spark):
 
 def test_secrets_held_out(spark):
     words = [f"{a}{b}" for a in ("sta", "mor", "len", "pri", "ton") for b in ("der", "ing", "able", "ment", "sel")]
-    lexicon = secrets.Lexicon(collections.Counter(dict.fromkeys(words, 9)))
-    model = secrets.train(spark, secrets.example_findings(words, 1500, seed=1), lexicon)
+    lexicon, findings = secrets.Lexicon(collections.Counter(dict.fromkeys(words, 9))), secrets.example_findings(words, 1500, seed=1)
+    context = secrets.Context(findings)
+    model = secrets.train(spark, findings, lexicon, context)
     from pyspark.ml.functions import array_to_vector
 
-    rows = [(secrets.features(t, a, b, p, lexicon), float(s)) for t, a, b, p, s in secrets.example_findings(words, 600, seed=2)]
+    rows = [(secrets.features(t, a, b, p, lexicon, context), float(s)) for t, a, b, p, s in secrets.example_findings(words, 600, seed=2)]
     out = model.transform(spark.createDataFrame(rows, "f array<double>, label double").select(array_to_vector("f").alias("features"), "label"))
     assert out.select(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0] > 0.95
 
@@ -551,6 +609,45 @@ def test_secrets(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_secrets_learns_words_and_paths_from_findings(spark):
+    """Findings of other words and paths than the made ones: what speaks for a secret is learned, not listed."""
+    rng = random.Random(12)
+
+    def made(n):
+        out = []
+        for _ in range(n):
+            secret, key = rng.random() < 0.5, "".join(rng.choice("0123456789abcdef") for _ in range(40))
+            by_path = rng.random() < 0.5
+            before = f"la phrase {'sesame' if by_path or secret else 'empreinte'} = "
+            path = ("prive/serveur" if secret else "exemples/serveur") if by_path else "notes"
+            out.append((before + key + " fin", len(before), len(before) + 40, path, secret))
+        return out
+
+    findings = made(800)
+    context = secrets.Context(findings)
+    assert context.words["=sesame"] > 0 > context.words["=empreinte"] and context.parts["prive"] > 1 > -1 > context.parts["exemples"]
+    rows = made(200)
+    table = spark.createDataFrame([(i, t, p) for i, (t, _, _, p, _) in enumerate(rows)], "doc_id long, text string, source string")
+    got = {r.doc_id: r.secret for r in secrets.scan(table, findings).collect()}
+    assert sum(got[i] == r[4] for i, r in enumerate(rows)) >= 190
+
+
+def test_secrets_planted_in_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in rows.select("doc_id", "text").collect()}
+    planted = {(i, m.start(1)) for i, t in texts.items() for m in re.finditer(r"""token = "([0-9a-f]{40})\"""", t)}
+    found = secrets.scan(rows).collect()
+    flagged = {(r.doc_id, r.start) for r in found if r.secret}
+    assert planted and len(planted & flagged) >= 0.95 * len(planted) and len(flagged - planted) <= 0.1 * len(planted) + 1, (len(planted), len(flagged), flagged - planted)
+
+
+def test_secrets_cases(spark):
+    key = hashlib.sha1(b"y").hexdigest()
+    df = docs(spark, [f'token = "{key}"'] * 3 + [f'token = "{key}"'], ids=[1, 1, None, 2]).withColumns({c: F.lit("x") for c in ("path", "f", "features", "secret", "start")})
+    got = secrets.scan(df).collect()
+    assert sorted((r.doc_id or 0) for r in got) == [0, 1, 1, 2] and len({r.value_sha256 for r in got}) == 1
+
+
 def test_secrets_of_any_length(spark):
     rng = random.Random(8)
     draw = lambda k: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(k))
