@@ -50,7 +50,7 @@ def _key(line: Column) -> tuple[Column, Column]:
 
 
 def _tokens(words: Column, rarity: Column) -> Column:
-    """The distinct tokens as longs in order: the high bits are the first word's rarity as the table has it, the others a hash."""
+    """The distinct tokens as longs in order: the high bits are the first word's rarity as the table has it, the others a hash. Words have to be a column: within a lambda an expression is worked out for each element."""
 
     def token(i: Column) -> Column:
         gram = F.slice(words, i, WORDS)
@@ -119,7 +119,7 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     hot = F.broadcast(equal.where(F.col("c") > max(HOT_PART, n_lines) / HOT_PART).select("k1", "k2", "d", "m"))
     once = lines.withColumns(dict(zip(("k1", "k2"), _key(F.col("line")), strict=True))).join(hot, ["k1", "k2"], "left")
     once = once.where("d is null or (d = doc_id and m = no)")
-    worded = once.select(*_LINE, _tokens(F.split("line", " "), rarity).alias("tokens"))
+    worded = once.select(*_LINE, F.split("line", " ").alias("words")).select(*_LINE, _tokens(F.col("words"), rarity).alias("tokens"))
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, (n + F.floor(-num * n / F.lit(float(den)) + 1e-9) + 1).cast("int"))
     listed = worded.select(*_LINE, n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
@@ -157,7 +157,7 @@ def _sets(lines: DataFrame, places: DataFrame, rarity: Column) -> DataFrame:
     words = 1 << max(0, places.count() // 4).bit_length()
     words = min(MOST_FILTER_WORDS, max(FILTER_WORDS, words))
     held = lines.where(may_hold(id_filter(places.select(place.alias("id")), words), place, words))
-    held = held.select(*_LINE, _key(F.col("line"))[0], _tokens(F.split("line", " "), rarity).alias("set"))
+    held = held.select(*_LINE, _key(F.col("line"))[0], F.split("line", " ").alias("words")).select(*_LINE, "k1", _tokens(F.col("words"), rarity).alias("set"))
     return materialize(held.join(places, _LINE, "left_semi"), "line-sets")
 
 
