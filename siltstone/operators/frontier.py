@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import backoff
@@ -37,12 +37,35 @@ def eligible_searches(urls: DataFrame, visited: DataFrame, schedule: DataFrame,
     return ready(urls.join(visited.select("url"), "url", "left_anti"), schedule, "search", now)
 
 
-def ordered_tasks(pages: DataFrame, sizes: DataFrame) -> DataFrame:
-    """kind, url, rank: sizes first, the latest of them first; then pages in order. Each takes (pos, url)."""
+def _ranked_tasks(pages: DataFrame, sizes: DataFrame) -> DataFrame:
     tasks = pages.select(F.lit("page").alias("kind"), "url", "pos").unionByName(sizes.select(F.lit("size").alias("kind"), "url", "pos"))
     tasks = ordered_distinct(tasks, "pos", "kind", "url")
     front = F.when(F.col("kind") == "size", -F.col("pos")).otherwise(F.col("pos"))
-    return tasks.withColumn("rank", F.struct((F.col("kind") == "page").cast("int").alias("a"), front.alias("b"))).orderBy("rank").drop("rank", "pos")
+    return tasks.select("kind", "url", (F.col("kind") == "page").cast("int").alias("a"), front.alias("b"))
+
+
+def ordered_tasks(pages: DataFrame, sizes: DataFrame) -> DataFrame:
+    """kind, url: sizes first, the latest of them first; then pages in order. Each takes (pos, url)."""
+    return _ranked_tasks(pages, sizes).orderBy("a", "b").select("kind", "url")
+
+
+def placed_tasks(pages: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The tasks with their place, from 1."""
+    return numbered(_ranked_tasks(pages, sizes), ["a", "b"], "place").select("kind", "url", "place")
+
+
+def numbered(rows: DataFrame, order: list[str], to: str, first: int = 1) -> DataFrame:
+    """Adds consecutive numbers in the order of the columns: rows are dealt by ranges, counted in each, and numbered there.
+
+    The ranges are those of a sort, so that no task sees all rows; what is collected is one count for each partition.
+    """
+    spark = rows.sparkSession
+    dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
+    low = dealt.groupBy("_part").agg(F.count("*").alias("_n"), F.min(F.struct(*order)).alias("_low"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    low = low.select("_part", before.alias("_before"))
+    inner = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn("_in", inner).join(F.broadcast(low), "_part").withColumn(to, (F.col("_before") + F.col("_in") - 1 + first).cast("long")).drop("_part", "_in", "_before")
 
 
 def reachable(start: DataFrame, links: DataFrame, folder: str, most: int = 1000) -> DataFrame:

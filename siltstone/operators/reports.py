@@ -53,9 +53,16 @@ def earliest(*deadlines: Column) -> Column:
     return F.least(*deadlines)
 
 
-def download_report(downloads: DataFrame) -> DataFrame:
-    """status, n, bytes of one output root's downloads."""
-    return downloads.groupBy("status").agg(F.count("*").alias("n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
+def of_root(downloads: DataFrame, root: str | None) -> DataFrame:
+    """One output root's downloads, or all where none is named."""
+    return downloads if root is None else downloads.where(F.col("output_root") == root)
+
+
+def download_report(downloads: DataFrame, root: str | None = None) -> DataFrame:
+    """status, n, bytes of one output root's downloads; bytes_done is what its finished ones hold, the same on each row."""
+    rows = of_root(downloads, root).groupBy("status").agg(F.count("*").alias("n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes"))
+    done = rows.where("status = 'done'").agg(F.coalesce(F.sum("bytes"), F.lit(0))).scalar()
+    return rows.withColumn("bytes_done", done)
 
 
 def language_media(audios: DataFrame, languages: list[str] | None) -> DataFrame | None:
@@ -81,11 +88,11 @@ def download_jobs(audios: DataFrame, languages: list[str] | None = None) -> Data
     return jobs.select("audio_url", "first_id", title.alias("title"), F.coalesce("pages", none).alias("pages"), F.coalesce("languages", none).alias("languages"))
 
 
-def eligible_jobs(jobs: DataFrame, downloads: DataFrame, now: Column, limit: int | None = None) -> DataFrame:
-    """Jobs that are pending or due, in order of their first rows; the limit counts eligible ones."""
-    if limit is not None and limit < 1:
-        raise ValueError("limit must be at least 1")
-    state = jobs.join(downloads.select("audio_url", "status", "next_attempt"), "audio_url", "left")
+def eligible_jobs(jobs: DataFrame, downloads: DataFrame, now: Column, limit: int | None = None, root: str | None = None) -> DataFrame:
+    """Jobs that are pending or due in the output root, in order of their first rows; the limit counts eligible ones."""
+    if limit is not None and (isinstance(limit, bool) or not isinstance(limit, int) or limit < 1):
+        raise ValueError("limit must be a whole number of at least 1")
+    state = jobs.join(of_root(downloads, root).select("audio_url", "status", "next_attempt"), "audio_url", "left")
     status = F.coalesce("status", F.lit("pending"))
     due = (status == "retry") & F.coalesce(F.col("next_attempt") <= now, F.lit(False))
     rows = state.where((status == "pending") | due).drop("status", "next_attempt").orderBy("first_id")

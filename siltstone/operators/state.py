@@ -20,12 +20,22 @@ def last_wins(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> Da
     return both.withColumn("_n", first).where("_n = 1").drop("_n", "_new")
 
 
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The columns of new replace those of old; the others stay as they are. Of new rows of one key the largest order counts."""
+    columns = [c for c in new.columns if c not in keys]
+    last = new.groupBy(*keys).agg(F.max_by(F.struct(*columns, F.lit(True).alias("_new")), F.col(order)).alias("_last"))
+    both = old.join(last, keys, "full_outer")
+    seen = F.col("_last")["_new"]
+    out = {c: F.col(c) for c in old.columns} | {c: F.when(seen, F.col("_last")[c]).otherwise(F.col(c) if c in old.columns else F.lit(None)) for c in columns}
+    return both.select(*[c.alias(n) for n, c in out.items()])
+
+
 def first_wins(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Adds the keys that old does not have; a null key equals nothing and is always added."""
     some_null = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
     n = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    fresh = new.withColumn("_n", n).where((F.col("_n") == 1) | some_null).drop("_n").join(old.select(*keys), keys, "left_anti")
-    return old.unionByName(fresh, allowMissingColumns=True)
+    fresh = new.where(~some_null).withColumn("_n", n).where("_n = 1").drop("_n").join(old.select(*keys), keys, "left_anti")
+    return old.unionByName(fresh, allowMissingColumns=True).unionByName(new.where(some_null), allowMissingColumns=True)
 
 
 def clear(table: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
@@ -58,15 +68,29 @@ def pause_until(old: Column, failures: DataFrame) -> DataFrame:
     return failures.where("blocked").agg(F.greatest(old, F.max(end)).alias("pause_until"))
 
 
+def numbered(failures: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Failures with the number of attempts that each one brings its key to."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("at"))
+    held = table.select(*keys, F.col("attempts").alias("_before"))
+    return failures.withColumn("_nth", nth).join(held, keys, "left").withColumn("attempts", F.coalesce("_before", F.lit(0)) + F.col("_nth")).drop("_nth", "_before")
+
+
+def paused(crawl_state: DataFrame, failures: DataFrame, base: Column | None = None) -> DataFrame:
+    """crawl_state after failures (attempts, at, delay, blocked): a blocked one moves the end of the pause on, never back."""
+    wait = backoff.seconds(F.col("delay"), F.col("attempts"), base)
+    ends = failures.where("blocked").agg(F.max(F.col("at") + wait).alias("value")).where("value is not null").select(F.lit("pause_until").alias("key"), "value")
+    both = crawl_state.select("key", "value").unionByName(ends)
+    return both.groupBy("key").agg(F.max("value").alias("value"))
+
+
 def save_sizes(sizes: DataFrame, found: DataFrame) -> DataFrame:
-    """Found sizes overwrite; the next attempt is cleared, attempts stay as they were."""
-    kept = sizes.select("audio_url", F.col("attempts").alias("_attempts"))
-    rows = found.join(kept, "audio_url", "left").withColumn("attempts", F.coalesce("_attempts", F.lit(0))).drop("_attempts")
-    return last_wins(sizes, rows.withColumn("next_attempt", F.lit(None).cast("double")), ["audio_url"], "checked_at")
+    """Found sizes overwrite what they name; the next attempt is cleared, attempts stay as they were."""
+    rows = upsert(sizes, found.withColumn("next_attempt", F.lit(None).cast("double")), ["audio_url"], "checked_at")
+    return rows.withColumn("attempts", F.coalesce("attempts", F.lit(0)))
 
 
 def defer_sizes(sizes: DataFrame, failures: DataFrame) -> DataFrame:
-    """Size rows after failures (audio_url, at, delay, error): retry, or suspended at the last attempt."""
+    """Size rows after failures (audio_url, at, delay, error): retry, or suspended at the last attempt; sizes found before stay."""
     both = folded(failures, ["audio_url"]).join(sizes.select("audio_url", "attempts"), "audio_url", "left")
     attempts = F.coalesce("attempts", F.lit(0)) + F.col("n")
     due = backoff.next_attempt(F.col("last.at"), F.col("last.delay"), attempts, F.lit(backoff.SIZE_BASE))
@@ -74,43 +98,71 @@ def defer_sizes(sizes: DataFrame, failures: DataFrame) -> DataFrame:
         "audio_url", F.when(due.isNull(), "suspended").otherwise("retry").alias("status"), cut_error(F.col("last.error")).alias("detail"),
         F.col("last.at").alias("checked_at"), attempts.cast("int").alias("attempts"), due.alias("next_attempt"),
     )
-    return last_wins(sizes, rows, ["audio_url"], "checked_at")
+    return upsert(sizes, rows, ["audio_url"], "checked_at")
+
+
+def _rooted(df: DataFrame) -> DataFrame:
+    """Downloads are kept for each output root; events without one belong to the root without a name."""
+    return df if "output_root" in df.columns else df.withColumn("output_root", F.lit(""))
+
+
+_DOWNLOAD = ["output_root", "audio_url"]
 
 
 def fail_downloads(downloads: DataFrame, failures: DataFrame) -> DataFrame:
-    """Downloads after failures (audio_url, at, delay, error, kind): missing and invalid are final."""
-    both = folded(failures, ["audio_url"]).join(downloads.select("audio_url", "attempts"), "audio_url", "left")
+    """Downloads after failures (output_root, audio_url, at, delay, error, kind): missing and invalid are final."""
+    downloads, failures = _rooted(downloads), _rooted(failures)
+    both = folded(failures, _DOWNLOAD).join(downloads.select(*_DOWNLOAD, "attempts"), _DOWNLOAD, "left")
     attempts = F.coalesce("attempts", F.lit(0)) + F.col("n")
-    final = F.col("last.kind").isin("missing", "invalid")
+    final = F.coalesce(F.col("last.kind").isin("missing", "invalid"), F.lit(False))
     due = F.when(~final, backoff.next_attempt(F.col("last.at"), F.col("last.delay"), attempts, F.lit(backoff.SIZE_BASE)))
     rows = both.select(
-        "audio_url", F.when(final, F.col("last.kind")).when(due.isNull(), "suspended").otherwise("retry").alias("status"),
+        *_DOWNLOAD, F.when(final, F.col("last.kind")).when(due.isNull(), "suspended").otherwise("retry").alias("status"),
         attempts.cast("int").alias("attempts"), due.alias("next_attempt"), cut_error(F.col("last.error")).alias("detail"), F.col("last.at").alias("updated_at"),
     )
-    return last_wins(downloads, rows, ["audio_url"], "updated_at")
+    return upsert(downloads, rows, _DOWNLOAD, "updated_at")
 
 
-def save_downloads(downloads: DataFrame, audios: DataFrame, sizes: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """After finished downloads (audio_url, file, size_bytes, at): downloads, audios with file names, sizes."""
-    rows = done.select("audio_url", F.lit("done").alias("status"), F.col("file").alias("file_path"), "size_bytes", F.lit(0).alias("attempts"), F.col("at").alias("updated_at"))
-    names = done.select("audio_url", F.col("file").alias("_file"))
-    audios = audios.join(names, "audio_url", "left").withColumn("file_name", F.coalesce("_file", "file_name")).drop("_file")
-    known = done.select("audio_url", "size_bytes", F.lit("known").alias("status"), F.lit("DOWNLOAD").alias("method"), F.col("at").alias("checked_at"))
-    return last_wins(downloads, rows, ["audio_url"], "updated_at"), audios, save_sizes(sizes, known)
-
-
-def repair_downloads(downloads: DataFrame, valid: DataFrame) -> DataFrame:
-    """Done downloads without a valid file (audio_url of valid) are pending again."""
-    mark = valid.select("audio_url", F.lit(True).alias("_ok")).distinct()
-    lost = (F.col("status") == "done") & F.col("_ok").isNull()
-    rows = downloads.join(mark, "audio_url", "left")
-    return rows.withColumn("attempts", F.when(lost, 0).otherwise(F.col("attempts"))).withColumn("status", F.when(lost, "pending").otherwise(F.col("status"))).drop("_ok")
+#: How a size that a download has shown is recorded.
+DOWNLOADED = {"status": "known", "method": "DOWNLOAD", "detail": "Fichier téléchargé"}
 
 
-def reset_failed(downloads: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
-    """Retry, suspended and invalid (never missing) are pending again, of the chosen audio urls only if given."""
+def save_downloads(downloads: DataFrame, audios: DataFrame, sizes: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """After finished downloads (output_root, audio_url, file, size_bytes, final_url, at): downloads, audios with file names, sizes."""
+    downloads, done = _rooted(downloads), _rooted(done)
+    if "final_url" not in done.columns:
+        done = done.withColumn("final_url", F.lit(None).cast("string"))
+    rows = done.select(
+        *_DOWNLOAD, F.lit("done").alias("status"), F.col("file").alias("file_path"), "size_bytes",
+        F.lit(None).cast("double").alias("next_attempt"), F.lit("").alias("detail"), F.col("at").alias("updated_at"),
+    )
+    last = done.groupBy("audio_url").agg(F.max_by("file", "at").alias("_file"))
+    audios = audios.join(last, "audio_url", "left").withColumn("file_name", F.coalesce("_file", "file_name")).select(audios.columns)
+    known = done.select("audio_url", "size_bytes", "final_url", *[F.lit(x).alias(c) for c, x in DOWNLOADED.items()], F.col("at").alias("checked_at"))
+    downloads = upsert(downloads, rows, _DOWNLOAD, "updated_at").withColumn("attempts", F.coalesce("attempts", F.lit(0)))
+    return downloads, audios, save_sizes(sizes, known)
+
+
+def repair_downloads(downloads: DataFrame, valid: DataFrame, audios: DataFrame | None = None):
+    """Done downloads without a valid file (output_root, audio_url of valid) are pending again; with audios, also those, their lost files' names removed."""
+    downloads, valid = _rooted(downloads), _rooted(valid)
+    mark = valid.select(*_DOWNLOAD, F.lit(True).alias("_ok")).distinct()
+    rows = downloads.join(mark, _DOWNLOAD, "left").withColumn("_lost", (F.col("status") == "done") & F.col("_ok").isNull())
+    lost = F.col("_lost")
+    fixed = {"attempts": F.when(lost, 0).otherwise(F.col("attempts")), "next_attempt": F.when(~lost, F.col("next_attempt")), "status": F.when(lost, "pending").otherwise(F.col("status"))}
+    out = rows.select(*[(fixed[c] if c in fixed else F.col(c)).alias(c) for c in downloads.columns])
+    if audios is None:
+        return out
+    gone = rows.where(lost).select("audio_url", F.lit("").alias("_none")).distinct()
+    return out, audios.join(gone, "audio_url", "left").withColumn("file_name", F.coalesce("_none", "file_name")).select(audios.columns)
+
+
+def reset_failed(downloads: DataFrame, chosen: DataFrame | None = None, root: str | None = None) -> DataFrame:
+    """Retry, suspended and invalid (never missing) are pending again, of the chosen audio urls and of the root only if given."""
     again = F.col("status").isin("retry", "suspended", "invalid")
     rows = downloads
+    if root is not None:
+        again = again & (F.col("output_root") == root)
     if chosen is not None:
         rows = rows.join(chosen.select("audio_url", F.lit(True).alias("_c")).distinct(), "audio_url", "left")
         again = again & F.col("_c").isNotNull()
@@ -122,8 +174,20 @@ def upgrade_schedule(schedule: DataFrame, queue: DataFrame, prefix: str, done: b
     """Once: forgets page retries of queued urls whose error begins with the prefix (ASCII case does not matter)."""
     if done:
         return schedule
-    old = schedule.where((F.col("kind") == "page") & F.col("error").ilike(prefix.replace("%", r"\%").replace("_", r"\_") + "%")).join(queue.select("url"), "url", "left_semi")
-    return clear(schedule, old, ["kind", "url"])
+    return clear(schedule, outdated(schedule, queue, prefix), ["kind", "url"])
+
+
+def outdated(schedule: DataFrame, queue: DataFrame, prefix: str) -> DataFrame:
+    begins = F.col("error").ilike(prefix.replace("%", r"\%").replace("_", r"\_") + "%")
+    return schedule.where((F.col("kind") == "page") & begins).join(queue.select("url"), "url", "left_semi")
+
+
+def upgrade_parser(schedule: DataFrame, queue: DataFrame, crawl_state: DataFrame, prefix: str, flag: str = "parser_v2") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The next schedule and crawl_state, and how many rows were forgotten; where the flag is set nothing changes."""
+    ran = crawl_state.where(F.col("key") == flag).select(F.lit(True).alias("_ran")).limit(1)
+    old = outdated(schedule, queue, prefix).join(F.broadcast(ran), F.lit(True), "left_anti")
+    fresh = schedule.sparkSession.createDataFrame([(flag, 1.0)], "key string, value double")
+    return clear(schedule, old, ["kind", "url"]), first_wins(crawl_state, fresh, ["key"], "value"), old.agg(F.count("*").alias("forgotten"))
 
 
 def dispatch_failures(failures: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import text, urls
@@ -120,18 +119,19 @@ def next_size_retry(spark, d):
     return reports.next_deadline(v.audio_sizes(spark, d).where("status = 'retry'"), F.lit(v.NOW))
 
 
-@query(f"with {v.AUDIOS}, {v.DOWNLOADS} select min(next_attempt) as deadline from downloads where status = 'retry' and audio_url in (select audio_url from audios where lang = 'fr')")
+@query(f"with {v.AUDIOS}, {v.DOWNLOADS} select min(greatest(next_attempt, {v.NOW}e0)) as deadline from downloads where output_root = 'r0' and status = 'retry' and audio_url in (select audio_url from audios where lang = 'fr')")
 def next_download_retry(spark, d):
     chosen = reports.language_media(v.audios(spark, d), ["fr"])
-    rows = v.downloads(spark, d).where("status = 'retry'").join(chosen, "audio_url", "left_semi")
-    return reports.next_deadline(rows, F.lit(None).cast("double"))
+    rows = reports.of_root(v.downloads(spark, d), "r0").where("status = 'retry'").join(chosen, "audio_url", "left_semi")
+    return reports.next_deadline(rows, F.lit(v.NOW))
 
 
-@query(f"with {v.SCHEDULE}, {v.SIZES} select least((select min(next_attempt) from retry_schedule), (select min(next_attempt) from audio_sizes where status = 'retry')) as deadline")
+@query(f"with {v.SCHEDULE}, {v.SIZES}, x as (select (select min(greatest(next_attempt, {v.NOW + 900}e0)) from retry_schedule) as a, (select min(greatest(next_attempt, {v.NOW + 900}e0)) from audio_sizes where status = 'retry') as b) select least(a, b) as deadline from x")
 def global_deadline(spark, d):
-    a = v.retry_schedule(spark, d).agg(F.min("next_attempt").alias("a"))
-    b = v.audio_sizes(spark, d).where("status = 'retry'").agg(F.min("next_attempt").alias("b"))
-    return spark.range(1).select(reports.earliest(a.scalar(), b.scalar(), F.lit(None).cast("double")).alias("deadline"))
+    pause = F.lit(v.NOW + 900)
+    a = reports.next_deadline(v.retry_schedule(spark, d), pause)
+    b = reports.next_deadline(v.audio_sizes(spark, d).where("status = 'retry'"), pause)
+    return spark.range(1).select(reports.earliest(a.scalar(), b.scalar()).alias("deadline"))
 
 
 @query(f"with {v.SCHEDULE} select kind, url, cast(attempts as int) as attempts, next_attempt from retry_schedule")
@@ -182,15 +182,15 @@ def jobs_language_filter(spark, d):
 
 
 @query(f"""with {v.AUDIOS}, {v.DOWNLOADS}, j as (select audio_url, min(id) as first_id from audios group by 1)
-select j.audio_url, first_id from j left join downloads s on s.audio_url = j.audio_url
+select j.audio_url, first_id from j left join (select * from downloads where output_root = 'r0') s on s.audio_url = j.audio_url
 where coalesce(s.status, 'pending') = 'pending' or (s.status = 'retry' and s.next_attempt <= {v.NOW}) order by first_id limit 20""")
 def jobs_limited(spark, d):
-    return reports.eligible_jobs(reports.download_jobs(v.audios(spark, d)), v.downloads(spark, d), F.lit(v.NOW), 20).select("audio_url", "first_id")
+    return reports.eligible_jobs(reports.download_jobs(v.audios(spark, d)), v.downloads(spark, d), F.lit(v.NOW), 20, "r0").select("audio_url", "first_id")
 
 
-@query(f"with {v.DOWNLOADS} select status, count(*) as n, cast(coalesce(sum(size_bytes), 0) as bigint) as bytes from downloads group by status")
+@query(f"with {v.DOWNLOADS}, mine as (select * from downloads where output_root = 'r0') select status, count(*) as n, cast(coalesce(sum(size_bytes), 0) as bigint) as bytes, (select cast(coalesce(sum(size_bytes), 0) as bigint) from mine where status = 'done') as bytes_done from mine group by status")
 def download_report(spark, d):
-    return reports.download_report(v.downloads(spark, d))
+    return reports.download_report(v.downloads(spark, d), "r0")
 
 
 @query(f"with {v.AUDIOS} select count(*) as n, cast(sum(id) as bigint) as ids from (select min(id) as id from audios group by lang, audio_url)")
@@ -199,12 +199,11 @@ def dedupe_media(spark, d):
     return state.first_wins(rows.limit(0), rows, ["url", "audio_url"], "id").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
 
-@query(f"with {v.OUTCOMES} select status, count(*) as n, sum(page_id)::bigint as ids from (select url, 'exploitable' as status, page_id from pages where page_id % 3 = 0 union all select url, status, page_id from page_outcomes where page_id % 3 <> 0) group by status")
+@query(f"with {v.OUTCOMES} select url, case when page_id % 3 = 0 then 'exploitable' else status end as status, '' as detail, case when page_id % 3 = 0 then page_id + 1e6 else cast(page_id as double) end as checked_at from page_outcomes")
 def upsert_last_wins(spark, d):
     old = v.page_outcomes(spark, d)
     new = old.where("checked_at % 3 = 0").withColumns({"status": F.lit("exploitable"), "checked_at": F.col("checked_at") + 1e6})
-    rows = state.last_wins(old, new, ["url"], "checked_at")
-    return rows.groupBy("status").agg(F.count("*").alias("n"), F.sum(F.col("checked_at") % 1e6).cast("long").alias("ids"))
+    return state.last_wins(old, new, ["url"], "checked_at")
 
 
 @query("select count(*) as n from (select url from pages where page_id % 2 = 0 union select url from pages where page_id % 3 = 0)")
@@ -219,41 +218,89 @@ def add_visited_pages(spark, d):
     return state.first_wins(pages.where("page_id % 2 = 0").select("url"), pages.where("page_id % 2 <> 0 or page_id % 3 = 0").select("url"), ["url"], "url").agg(F.count("*").alias("n"))
 
 
-@query(f"with {v.AUDIOS}, {v.DOWNLOADS} select case when status in ('retry', 'suspended', 'invalid') and audio_url in (select audio_url from audios where lang = 'de') then 'pending' else status end as status, count(*) as n from downloads group by 1")
+@query(f"""with {v.AUDIOS}, {v.DOWNLOADS}, x as (select *, output_root = 'r0' and status in ('retry', 'suspended', 'invalid') and audio_url in (select audio_url from audios where lang = 'de') as again from downloads)
+select output_root, audio_url, case when again then 'pending' else status end as status, file_path, size_bytes, case when again then 0 else attempts end as attempts, case when not again then next_attempt end as next_attempt, detail, updated_at from x""")
 def reset_failed(spark, d):
-    rows = state.reset_failed(v.downloads(spark, d), reports.language_media(v.audios(spark, d), ["de"]))
-    return rows.groupBy("status").agg(F.count("*").alias("n"))
+    return state.reset_failed(v.downloads(spark, d), reports.language_media(v.audios(spark, d), ["de"]), "r0")
 
 
-@query(f"with {v.DOWNLOADS} select case when status = 'done' and size_bytes % 2 = 1 then 'pending' else status end as status, count(*) as n, cast(sum(case when status = 'done' and size_bytes % 2 = 1 then 0 else attempts end) as bigint) as attempts from downloads group by 1")
+@query(f"""with {v.DOWNLOADS}, x as (select *, status = 'done' and size_bytes % 2 = 1 as lost from downloads)
+select output_root, audio_url, case when lost then 'pending' else status end as status, file_path, size_bytes, case when lost then 0 else attempts end as attempts, case when not lost then next_attempt end as next_attempt, detail, updated_at from x""")
 def repair_downloads(spark, d):
     rows = v.downloads(spark, d)
-    fixed = state.repair_downloads(rows, rows.where("size_bytes % 2 = 0"))
-    return fixed.groupBy("status").agg(F.count("*").alias("n"), F.sum("attempts").alias("attempts"))
+    return state.repair_downloads(rows, rows.where("size_bytes % 2 = 0"))
 
 
-@query(f"""with {v.SIZES} select audio_url, case when attempts + 1 < 5 then 'retry' else 'suspended' end as status, cast(attempts + 1 as int) as attempts,
-case when attempts + 1 < 5 then {v.NOW} + greatest(300, least(3600, 60 * power(2, attempts))) end as next_attempt from audio_sizes where status = 'retry'""")
+@query(f"with {v.AUDIOS}, {v.DOWNLOADS} select id, audio_url, case when audio_url in (select audio_url from downloads where status = 'done' and size_bytes % 2 = 1) then '' else 'old' end as file_name from audios")
+def repaired_names(spark, d):
+    rows, named = v.downloads(spark, d), v.audios(spark, d).withColumn("file_name", F.lit("old"))
+    return state.repair_downloads(rows, rows.where("size_bytes % 2 = 0"), named)[1].select("id", "audio_url", "file_name")
+
+
+@query(f"""with {v.SIZES}, x as (select *, status = 'retry' as failed from audio_sizes)
+select audio_url, size_bytes, final_url, case when not failed then status when attempts + 1 < 5 then 'retry' else 'suspended' end as status, method, case when failed then 'late' else detail end as detail,
+case when failed then {v.NOW + 1}e0 else checked_at end as checked_at, cast(case when failed then attempts + 1 else attempts end as int) as attempts,
+case when not failed then next_attempt when attempts + 1 < 5 then {v.NOW + 1}e0 + greatest(300, least(3600, 60 * power(2, attempts))) end as next_attempt from x""")
 def defer_sizes(spark, d):
-    sizes = v.audio_sizes(spark, d).where("status = 'retry'")
-    fails = sizes.select("audio_url", F.lit(v.NOW).alias("at"), F.lit(300).alias("delay"), F.lit("late").alias("error"))
-    return state.defer_sizes(sizes, fails).select("audio_url", "status", "attempts", "next_attempt")
+    sizes = v.audio_sizes(spark, d)
+    fails = sizes.where("status = 'retry'").select("audio_url", F.lit(v.NOW + 1).alias("at"), F.lit(300).alias("delay"), F.lit("late").alias("error"))
+    return state.defer_sizes(sizes, fails)
 
 
-@query(f"with {v.SIZES} select status, count(*) as n, cast(sum(attempts) as bigint) as attempts, count(next_attempt) as due from (select attempts, case when attempts = 4 then 'known' else status end as status, case when attempts <> 4 then next_attempt end as next_attempt from audio_sizes) group by status")
+@query(f"""with {v.SIZES} select audio_url, case when attempts = 4 then 7 else size_bytes end as size_bytes, case when attempts = 4 then 'to' else final_url end as final_url, case when attempts = 4 then 'known' else status end as status,
+method, case when attempts = 4 then 'found' else detail end as detail, case when attempts = 4 then {v.NOW + 1}e0 else checked_at end as checked_at, attempts, case when attempts <> 4 then next_attempt end as next_attempt from audio_sizes""")
 def save_sizes(spark, d):
     sizes = v.audio_sizes(spark, d)
-    found = sizes.where("attempts = 4").select("audio_url", F.lit(7).cast("long").alias("size_bytes"), F.lit("known").alias("status"), F.lit(v.NOW + 1).alias("checked_at"))
-    return state.save_sizes(sizes, found).groupBy("status").agg(F.count("*").alias("n"), F.sum("attempts").alias("attempts"), F.count("next_attempt").alias("due"))
+    found = sizes.where("attempts = 4").select("audio_url", F.lit(7).cast("long").alias("size_bytes"), F.lit("to").alias("final_url"), F.lit("known").alias("status"), F.lit("found").alias("detail"), F.lit(v.NOW + 1).alias("checked_at"))
+    return state.save_sizes(sizes, found)
 
 
-@query(f"""with {v.DOWNLOADS} select case when attempts = 0 then 'missing' when attempts = 1 then 'invalid' when attempts + 1 < 5 then 'retry' else 'suspended' end as status, count(*) as n,
-count(case when attempts not in (0, 1) and attempts + 1 < 5 then 1 end) as due from downloads group by 1""")
+@query(f"""with {v.DOWNLOADS} select output_root, audio_url, case when attempts = 0 then 'missing' when attempts = 1 then 'invalid' when attempts + 1 < 5 then 'retry' else 'suspended' end as status, file_path, size_bytes, cast(attempts + 1 as int) as attempts,
+case when attempts not in (0, 1) and attempts + 1 < 5 then {v.NOW + 1}e0 + greatest(60, least(3600, 60 * power(2, attempts))) end as next_attempt, 'x' as detail, {v.NOW + 1}e0 as updated_at from downloads""")
 def fail_downloads(spark, d):
     rows = v.downloads(spark, d)
     kind = F.when(F.col("attempts") == 0, "missing").when(F.col("attempts") == 1, "invalid").otherwise("retry")
-    fails = rows.select("audio_url", F.lit(v.NOW + 1).alias("at"), F.lit(60).alias("delay"), F.lit("x").alias("error"), kind.alias("kind"))
-    return state.fail_downloads(rows, fails).groupBy("status").agg(F.count("*").alias("n"), F.count("next_attempt").alias("due"))
+    fails = rows.select("output_root", "audio_url", F.lit(v.NOW + 1).alias("at"), F.lit(60).alias("delay"), F.lit("x").alias("error"), kind.alias("kind"))
+    return state.fail_downloads(rows, fails)
+
+
+def _finished(spark, d):
+    rows = v.downloads(spark, d).where("attempts = 2")
+    return rows.select("output_root", "audio_url", F.concat(F.lit("n/"), "audio_url").alias("file"), F.lit(9).cast("long").alias("size_bytes"), F.concat(F.lit("to-"), "audio_url").alias("final_url"), F.lit(v.NOW + 1).alias("at"))
+
+
+@query(f"""with {v.DOWNLOADS}, x as (select *, attempts = 2 as fresh from downloads)
+select output_root, audio_url, case when fresh then 'done' else status end as status, case when fresh then 'n/' || audio_url else file_path end as file_path, case when fresh then 9 else size_bytes end as size_bytes, attempts,
+case when not fresh then next_attempt end as next_attempt, case when fresh then '' else detail end as detail, case when fresh then {v.NOW + 1}e0 else updated_at end as updated_at from x""")
+def save_downloads(spark, d):
+    return state.save_downloads(v.downloads(spark, d), v.audios(spark, d), v.audio_sizes(spark, d), _finished(spark, d))[0]
+
+
+@query(f"with {v.AUDIOS}, {v.DOWNLOADS} select id, audio_url, case when audio_url in (select audio_url from downloads where attempts = 2) then 'n/' || audio_url else '' end as file_name from audios")
+def saved_names(spark, d):
+    return state.save_downloads(v.downloads(spark, d), v.audios(spark, d), v.audio_sizes(spark, d), _finished(spark, d))[1].select("id", "audio_url", "file_name")
+
+
+@query(f"""with {v.SIZES}, x as (select *, attempts = 2 as fresh from audio_sizes)
+select audio_url, case when fresh then 9 else size_bytes end as size_bytes, case when fresh then 'to-' || audio_url else final_url end as final_url, case when fresh then 'known' else status end as status, case when fresh then 'DOWNLOAD' else method end as method,
+case when fresh then 'Fichier téléchargé' else detail end as detail, case when fresh then {v.NOW + 1}e0 else checked_at end as checked_at, attempts, case when not fresh then next_attempt end as next_attempt from x""")
+def saved_sizes(spark, d):
+    return state.save_downloads(v.downloads(spark, d), v.audios(spark, d), v.audio_sizes(spark, d), _finished(spark, d))[2]
+
+
+@query(f"with {v.SCHEDULE}, f as (select *, row_number() over (partition by kind, url order by seen) as attempts from failures) select 'pause_until' as key, greatest(1e6, max(seen + greatest(60, least(3600, 60 * power(2, least(attempts - 1, 10)))))) as value from f where cast(url as bigint) % 2 = 0")
+def pause_written(spark, d):
+    fails = v.failures(spark, d).withColumn("blocked", F.col("url").cast("long") % 2 == 0)
+    empty = spark.createDataFrame([], "kind string, url string, attempts int")
+    return state.paused(spark.createDataFrame([("pause_until", 1e6)], "key string, value double"), state.numbered(fails, empty, ["kind", "url"]))
+
+
+@query(f"with {v.AUDIOS} select count(*) as n, 0 as unpaused from audios")
+def pause_gate_closed(spark, d):
+    rows = v.audios(spark, d)
+    crawl = spark.createDataFrame([("pause_until", v.NOW + 1)], "key string, value double")
+    shown = reports.when_running(rows, crawl, F.lit(v.NOW)).agg(F.count("*").alias("unpaused"))
+    return rows.agg(F.count("*").alias("n")).select("n", shown.scalar().cast("int").alias("unpaused"))
 
 
 _GRAPH = "edges as (select distinct o_custkey % 997 as a, (o_orderkey * 7 + o_custkey) % 997 as b from orders where o_orderkey % 5 = 0)"
@@ -300,9 +347,9 @@ def language_folders(spark, d):
     return jobs.select("audio_url", text.language_folder(F.col("languages")).alias("folder"))
 
 
-@query("select event_id, printf('%dj %02d:%02d:%02d', s // 86400, s // 3600 % 24, s // 60 % 60, s % 60) as shown from (select event_id, cast(floor(value * 1000) as bigint) as s from events where value >= 0)")
+@query("select event_id, printf('%dj %02d:%02d:%02d', s // 86400, s // 3600 % 24, s // 60 % 60, s % 60) as shown from (select event_id, greatest(0, cast(floor(value * 1000) as bigint)) as s from events)")
 def duration_fmt(spark, d):
-    return load(spark, d, "events").where("value >= 0").select("event_id", text.duration(F.floor(F.col("value") * 1000)).alias("shown"))
+    return load(spark, d, "events").select("event_id", text.duration(F.floor(F.col("value") * 1000)).alias("shown"))
 
 
 @query("select l_orderkey, l_linenumber, printf('%.3f Go (%.3f Gio)', n / 1e9, n / 1073741824) as shown from (select l_orderkey, l_linenumber, cast(l_partkey * 1000003 as double) as n from lineitem)")
@@ -322,8 +369,7 @@ def progress_report(spark, d):
 def task_order(spark, d):
     pages = load(spark, d, "pages").select("url", F.col("page_id").alias("pos"))
     sizes = load(spark, d, "labels").select(F.concat(F.lit("m"), "doc_id").alias("url"), F.col("doc_id").alias("pos"))
-    once = frontier.ordered_tasks(pages, sizes).withColumn("n", F.monotonically_increasing_id())
-    return once.select("kind", "url", F.row_number().over(Window.orderBy("n")).cast("long").alias("place"))
+    return frontier.placed_tasks(pages, sizes)
 
 
 @query("select count(*) as n, cast(sum(seen) as bigint) as places from (select lang, source, min(doc_id) as seen from documents group by 1, 2)")
