@@ -1,13 +1,17 @@
 """HTML pages to records: search cards, page metadata, media, child links, validity.
 
-Pages are parsed in Arrow batches by the standard library's tokenizer into a small tree; one pass gives
-one struct for each page, so that a page is parsed once whatever is selected from it.
+Pages are parsed in Arrow batches by the standard library's tokenizer into a small tree whose elements
+are numbered in document order and listed by tag, class, id and attribute, so that a selector looks at
+the elements that can fit and no others. One struct for each page is made, so that a page is parsed once
+whatever is selected from it; where only links are asked for, no tree is made.
 """
 
 from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from itertools import takewhile
+from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,6 +27,7 @@ CARDS = ".node--view-mode-teaser.node--type-page-media, .node--view-mode-teaser.
 UNREAD = CARDS + ", .wrapper-content h3 a, iframe, [data-drupal-views-infinite-scroll-content-wrapper]"
 SECTIONS, SECTION_TITLES = "#videos, #collections, #dossiers", ("vidéos", "videos", "collections", "dossiers", "podcasts")
 NEXT_LINKS = '.pager__item--next a[href], a[rel~="next"]'
+CHALLENGE_IMAGE = "/sites/default/files/bot_challenge.png"
 REFUSAL = re.compile(r"403 forbidden|access denied|service unavailable|challenge\.*|just a moment\.*", re.IGNORECASE)
 FIELDS = {
     "desc": ".field--name-field-description",
@@ -34,19 +39,13 @@ FIELDS = {
 
 
 class Node:
-    __slots__ = ("attrs", "children", "classes", "name", "parent")
+    """An element. ``no`` is its place in document order, ``end`` that of its last descendant; ``index`` lists a tree's elements by key."""
 
-    def __init__(self, name: str, attrs: dict, parent: Node | None):
-        self.name, self.attrs, self.parent, self.children = name, attrs, parent, []
-        self.classes = attrs.get("class", "").split()
+    __slots__ = ("attrs", "children", "classes", "end", "index", "name", "no", "parent")
 
-    def walk(self):
-        """Elements below, in document order."""
-        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+    def __init__(self, name: str, attrs: dict, parent: Node | None, no: int = 0, index: dict | None = None):
+        self.name, self.attrs, self.parent, self.children, self.no, self.end, self.index = name, attrs, parent, [], no, no, index
+        self.classes = attrs.get("class", "").split()
 
     def text(self) -> str:
         """Each text stripped, blank ones left out, joined by one space."""
@@ -67,12 +66,13 @@ class Node:
             node = node.parent
 
     def select(self, selector: str) -> list[Node]:
-        groups = compiled(selector)
-        return [n for n in self.walk() if any(_matches(n, g) for g in groups)]
+        """Elements below that fit, in document order."""
+        found = {n.no: n for key, group in compiled(selector) for n in self.index.get(key, ()) if self.no < n.no <= self.end and _matches(n, group)}
+        return [found[no] for no in sorted(found)]
 
     def first(self, selector: str) -> Node | None:
-        groups = compiled(selector)
-        return next((n for n in self.walk() if any(_matches(n, g) for g in groups)), None)
+        firsts = (next((n for n in self.index.get(key, ()) if self.no < n.no <= self.end and _matches(n, group)), None) for key, group in compiled(selector))
+        return min((n for n in firsts if n), key=lambda n: n.no, default=None)
 
 
 _STEP = re.compile(r'([\w-]+)?((?:\.[\w-]+|#[\w-]+|\[[^\]]+\])*)$')
@@ -82,7 +82,7 @@ _compiled: dict[str, list] = {}
 
 
 def compiled(selector: str) -> list:
-    """Groups of steps (tag, tests), from the outermost ancestor to the element."""
+    """Groups of steps (tag, tests), from the outermost ancestor to the element; before each, a key that the element has in the index."""
     if selector not in _compiled:
         groups = []
         for group in selector.split(","):
@@ -90,7 +90,9 @@ def compiled(selector: str) -> list:
             for word in _WORD.findall(group):
                 tag, rest = _STEP.match(word).groups()
                 steps.append((tag, _PART.findall(rest)))
-            groups.append(steps)
+            tag, tests = steps[-1]
+            keys = [f"#{ident}" if ident else f".{cls}" if cls else f"[{attr}" for cls, ident, attr, _, _ in tests]
+            groups.append((min([*keys, *([tag] if tag else [])], key=lambda k: "#.[".find(k[0]) % 4), steps))
         _compiled[selector] = groups
     return _compiled[selector]
 
@@ -124,13 +126,19 @@ def _matches(node: Node, steps: list) -> bool:
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("", {}, None)
+        self.index: dict[str, list[Node]] = {}
+        self.root = self.at = Node("", {}, None, 0, self.index)
+        self.all = [self.root]
 
     def handle_starttag(self, tag, attrs):
         seen: dict[str, str] = {}
         for k, v in attrs:
             seen[k] = v or ""
-        node = Node(tag, seen, self.at)
+        node = Node(tag, seen, self.at, len(self.all), self.index)
+        self.all.append(node)
+        keys = {tag, *(f".{c}" for c in node.classes), *(f"[{k}" for k in seen)} | ({f"#{seen['id']}"} if "id" in seen else set())
+        for key in keys:
+            self.index.setdefault(key, []).append(node)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
@@ -156,6 +164,8 @@ def parse(html: str | None) -> Node:
     builder = _Builder()
     builder.feed(html or "")
     builder.close()
+    for node in reversed(builder.all[1:]):
+        node.parent.end = max(node.parent.end, node.end)
     return builder.root
 
 
@@ -199,53 +209,66 @@ def _problem(tree: Node, html: str) -> tuple[str | None, Node | None]:
     return None, root
 
 
-def _sections(tree: Node, root: Node) -> list[Node]:
-    found = tree.select(SECTIONS)
+def _regions(tree: Node, root: Node) -> list[Node]:
+    """Parts that list other pages: sections of known ids, and what stands between a heading of a known title and the next heading."""
+    regions = tree.select(SECTIONS)
     for heading in root.select("h2"):
-        if heading.text().lower() not in SECTION_TITLES:
-            continue
-        beside = heading.parent.children
-        for node in beside[next(i for i, n in enumerate(beside) if n is heading) + 1 :]:
-            if isinstance(node, Node):
-                if node.name == "h2":
-                    break
-                found.append(node)
-    return found
+        if heading.text().lower() in SECTION_TITLES:
+            after = (n for n in heading.parent.children if isinstance(n, Node) and n.no > heading.no)
+            regions += takewhile(lambda n: n.name != "h2", after)
+    return regions
 
 
-def _children(tree: Node, root: Node, url: str) -> tuple[dict[str, str], bool]:
-    """Links to the pages that a collection lists, with their labels; and whether it has any cards."""
-    origin = split_resolved(url, "")
-    host, path = (origin[3], origin[4]) if origin else (None, None)
+def link_table(tree: Node, root: Node, url: str) -> tuple[list[tuple[str, str, str]], int]:
+    """(kind, url, label) of the links to other pages of the site, those of cards and then those to a next page of this one; and the number of cards."""
+    own, rows = split_resolved(url, ""), []
 
-    def internal(href: str) -> tuple[str, str] | None:
-        x = split_resolved(url, href)
-        return (x[1], x[4]) if x and x[2] in ("http", "https") and x[3] == host and x[1] and x[1] != url else None
+    def target(link: Node | None) -> tuple | None:
+        to = split_resolved(url, link.attrs["href"]) if link else None
+        return to if to and own and to[2] in ("http", "https") and to[3] == own[3] and to[1] not in ("", url) else None
 
+    regions = _regions(tree, root)
     whole = root.name == "main" or root.attrs.get("role") == "main"
-    cards, sections = [] if whole else root.select(CARDS), _sections(tree, root)
-    for section in sections:
-        cards += section.select(".wrapper-content") + ([section] if "wrapper-content" in section.classes else [])
-    pages: dict[str, str] = {}
+    cards = [] if whole else root.select(CARDS)
+    for region in regions:
+        cards += region.select(".wrapper-content") + [region] * ("wrapper-content" in region.classes)
     for card in cards:
         link = card.first("h3 a[href], h2 a[href]")
-        target = link and link.attrs["href"].strip() and internal(link.attrs["href"])
-        if target and target[0] not in pages:
+        to = target(link) if link and link.attrs["href"].strip() else None
+        if to:
             around = next((up for up in card.above() if TEASER in up.classes), card)
             label = around.first(".field--name-field-type-production, .wrapper-bundle")
-            pages[target[0]] = label.text() if label else ""
-    for part in (root, *sections):
-        for link in part.select(NEXT_LINKS):
-            target = internal(link.attrs.get("href", ""))
-            if target and target[1] == path:
-                pages[target[0]] = "pagination"
-    return pages, bool(cards)
+            rows.append(("card", to[1], label.text() if label else ""))
+    nexts = [target(link) for part in (root, *regions) for link in part.select(NEXT_LINKS)]
+    return rows + [("next", to[1], "pagination") for to in nexts if to and to[4] == own[4]], len(cards)
+
+
+def child_pages(rows: list[tuple[str, str, str]]) -> list[dict]:
+    """Each linked page once, at its first place: with the label of its first card, but that of a next page if it is one."""
+    labels: dict[str, str] = {}
+    for kind, to, label in rows:
+        if kind == "next" or to not in labels:
+            labels[to] = label
+    return [{"pos": i, "url": to, "type_": label} for i, (to, label) in enumerate(labels.items())]
+
+
+def is_challenge(tree: Node, html: str, url: str, image: str = CHALLENGE_IMAGE) -> bool:
+    """Whether a page asks, without a script, to load an image of its own https site and to come again within a minute."""
+    own = split_resolved(url, "")
+    again = next((n for n in tree.select("meta[http-equiv]") if n.attrs["http-equiv"].lower() == "refresh"), None)
+    if "bot_challenge.png?" not in html or own is None or own[2] != "https" or again is None or tree.first("script"):
+        return False
+    wait = again.attrs.get("content", "").strip()
+    if not re.fullmatch(r"\d+(?:\.\d+)?", wait) or float(wait) > 60:
+        return False
+    shown = (urlsplit(urljoin(url, n.attrs["src"])) for n in tree.select("img[src]"))
+    return any((x.scheme, x.netloc, x.path) == ("https", own[3], image) and x.query for x in shown)
 
 
 PAGE = (
     "struct<titre:string,desc:string,audios:array<string>,lieu:string,langues:array<string>,cdt:string,citation:string,doi:string,"
     "pages:array<struct<pos:int,url:string,type_:string>>,status:string,error_kind:string,error:string,"
-    "old_selector:boolean,links:array<string>,h1:string,last_page:string,counter:string,text:string>"
+    "old_selector:boolean,links:array<string>,h1:string,last_page:string,counter:string,text:string,challenge:boolean>"
 )
 
 
@@ -260,6 +283,7 @@ def page_record(html: str | None, url: str | None) -> dict:
         "old_selector": tree.first("article.node--view-mode-full") is not None,
         "links": [n.attrs["href"] for n in tree.select("a[href]")], "h1": text(tree.first("h1")),
         "last_page": last.attrs["href"] if last else None, "counter": text(tree.first("#global-search-results-counter")), "text": tree.text()[:1500],
+        "challenge": is_challenge(tree, html, url),
     }
     why, root = _problem(tree, html)
     if why:
@@ -270,9 +294,9 @@ def page_record(html: str | None, url: str | None) -> dict:
     sources = [n for n in _own(root, "source[src][type]") if n.attrs["type"].partition(";")[0].strip().lower() in MEDIA_TYPES and n.attrs["src"].strip()]
     found = [split_resolved(url, n.attrs["src"]) for n in sources]
     out["audios"] = list(dict.fromkeys(x[0] for x in found if x))
-    pages, cards = _children(tree, root, url)
-    out["pages"] = [{"pos": i, "url": u, "type_": t} for i, (u, t) in enumerate(pages.items())]
-    if out["audios"] or pages:
+    rows, cards = link_table(tree, root, url)
+    out["pages"] = child_pages(rows)
+    if out["audios"] or rows:
         out["status"] = "exploitable"
     elif cards or root.first(UNREAD):
         out |= {"error_kind": "unrecognized", "error": "cards or a player, but nothing to read"}
@@ -292,6 +316,42 @@ def parse_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     return pages.select(*keep, record(F.col(html_col), F.col(url_col)).alias("page"))
 
 
+class _Anchors(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hrefs: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            href = dict(attrs).get("href", None) if any(k == "href" for k, _ in attrs) else False
+            if href is not False:
+                self.hrefs.append(href or "")
+
+
+LINKS = "struct<base:struct<url:string,plain:string,scheme:string,netloc:string,path:string>,links:array<struct<href:string,url:string,plain:string,scheme:string,netloc:string,path:string>>>"
+
+
+def page_links(html: str | None, url: str | None) -> dict:
+    """The page's own resolved url, and every anchor's reference with the url that it resolves to (null parts if it is none)."""
+    found = _Anchors()
+    found.feed(html or "")
+    found.close()
+    names, none = ("url", "plain", "scheme", "netloc", "path"), (None,) * 5
+    parts = lambda href: dict(zip(names, (split_resolved(url, href) if url is not None else None) or none, strict=True))
+    return {"base": parts(""), "links": [{"href": h} | parts(h) for h in found.hrefs]}
+
+
+def parse_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """The pages with a struct ``found`` of links in place of the html."""
+    keep = [c for c in pages.columns if c != html_col]
+
+    @F.pandas_udf(LINKS)
+    def links(html: pd.Series, url: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([page_links(h, u) for h, u in zip(html, url, strict=True)])
+
+    return pages.select(*keep, links(F.col(html_col), F.col(url_col)).alias("found"))
+
+
 def parse_searches(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """source, pos, url, type_: the cards of search pages."""
 

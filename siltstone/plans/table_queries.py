@@ -27,9 +27,9 @@ def query(sql: str | None = None):
 
 def page_links(spark, d):
     """page_id, source and the resolved link of every anchor of the pages."""
-    parsed = html.parse_pages(load(spark, d, "pages"))
-    links = parsed.select("page_id", F.col("url").alias("source"), F.posexplode("page.links").alias("pos", "href"))
-    return links.select("page_id", "source", "pos", urls.resolve("source", "href").alias("to"), urls.resolve("source", F.lit("")).alias("base"))
+    parsed = html.parse_links(load(spark, d, "pages").select("page_id", "url", "html"))
+    rows = parsed.select("page_id", F.col("url").alias("source"), F.col("found.base").alias("base"), F.posexplode("found.links").alias("pos", "to"))
+    return rows.select("page_id", "source", "pos", "to", "base")
 
 
 _LINKS = """links as (select page_id, url as source, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) as site,

@@ -59,3 +59,39 @@ def test_search_items_keep_first_place_and_last_label():
     card = '<article><div class="field--name-field-type-production">{}</div><div class="wrapper-content"><h3><a href="{}">t</a></h3></div></article>'
     got = html.search_items('<div class="search-results">' + card.format("A", "/1") + card.format("B", "/2") + card.format("C", "/1") + "</div>", BASE)
     assert [(x["url"][-2:], x["type_"]) for x in got] == [("/1", "c"), ("/2", "b")]
+
+
+def test_index_finds_what_a_walk_finds():
+    import random
+
+    rng, tags = random.Random(1), ["div", "p", "a", "h2", "span"]
+    for _ in range(60):
+        text = "".join(rng.choice([f'<{rng.choice(tags)} class="{rng.choice("xyz")} {rng.choice("xyz")}" id="i{rng.randrange(4)}" href="{rng.choice("uv")}">', f"</{rng.choice(tags)}>", "<br>", "t"]) for _ in range(40))
+        tree = html.parse(text)
+
+        def below(node):
+            for c in node.children:
+                if isinstance(c, html.Node):
+                    yield c
+                    yield from below(c)
+
+        for selector in (".x", "p .y", "#i1 a[href]", "div, .z span", 'a[href="u"]', "[href] p", "h2.x.y"):
+            groups = [g for _, g in html.compiled(selector)]
+            for root in [tree, *tree.select("div")]:
+                want = [n for n in below(root) if any(html._matches(n, g) for g in groups)]
+                assert root.select(selector) == want and root.first(selector) is (want[0] if want else None)
+
+
+def test_links_of_anchors():
+    got = html.page_links('<a href="/x?q#f">1</a><a name="n">2</a><A HREF>3</A><p href="/no"><a href="http://[">4</a>', "https://h.org/c")
+    assert [(x["href"], x["plain"]) for x in got["links"]] == [("/x?q#f", "https://h.org/x?q"), ("", "https://h.org/c"), ("http://[", None)]
+    assert got["base"]["netloc"] == "h.org" and html.page_links(None, None) == {"base": dict.fromkeys(("url", "plain", "scheme", "netloc", "path")), "links": []}
+    tree = html.parse('<a href="/a" href="/b">1</a>')
+    assert html.page_links('<a href="/a" href="/b">1</a>', "https://h.org")["links"][0]["href"] == tree.first("a").attrs["href"]
+
+
+def test_challenge():
+    page = '<html><head><meta http-equiv="Refresh" content="{}"></head><body><img src="/sites/default/files/bot_challenge.png{}">{}</body></html>'
+    shape = lambda *x, url="https://h.org/a": html.page_record(page.format(*x), url)["challenge"]
+    assert shape("5", "?1", "") and shape(" 2.5 ", "?k=v", "")
+    assert not shape("61", "?1", "") and not shape("x", "?1", "") and not shape("5", "", "") and not shape("5", "?1", "<script></script>") and not shape("5", "?1", "", url="http://h.org/a")
