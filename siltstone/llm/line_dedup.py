@@ -2,16 +2,16 @@
 
 A line's tokens are its word 5-grams; a line of fewer words has its whole word sequence as its only
 token, so that of short lines equal ones are similar. Tokens are ordered by rarity: by how often their
-first word's bucket of a table of fixed size was counted over all lines, then by hash, so that the
-order is the same for all lines. A line is listed under its rarest tokens, so many that two similar
+bucket of a table of fixed size was counted over all lines, then by hash, so that the order is the same
+for all lines. A line is listed under its rarest tokens, so many that two similar
 lines share one of them. Lines of one list meet if length and token positions allow the similarity, and
 then whole sets decide. A line goes if an earlier line, by document id and line number, is equal or
 similar to it.
 
-Texts are not shuffled for this: a line is known by its document and number. Equal lines are found by
+Lines are written once and not shuffled: a line is known by its document and number. Equal lines are found by
 128 bits of hashes, counted before any exchange; of a line that is a fixed share of all lines or more,
 only the first is listed. Each line of a list is first compared with the list's earliest; only lines
-that stay are compared with all earlier ones.
+that stay are compared with all earlier ones, where sketches of both leave enough in common.
 
 Defined cases: lines without words always stay and remove nothing; null or empty text stays as it is;
 rows without id keep their lines and remove nothing; rows that repeat an id, a line number and the line
@@ -34,6 +34,8 @@ WORDS, NUM, DEN = 5, 80, 100
 RARITY_BUCKETS, FILTER_WORDS, MOST_FILTER_WORDS, HOT_PART = 1 << 14, 1 << 15, 1 << 21, 4096
 #: Steps of a rarity level in a doubling of the count.
 STEPS = 8
+#: 64-bit words of a line's bit sketch: a bit that one line has and another lacks proves a token outside the intersection.
+SKETCH = [f"s{k}" for k in range(4)]
 _ODD_SPACES = ("  ", "\t", "\x0b", "\x0c", "\r")
 
 
@@ -49,16 +51,19 @@ def _key(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(7), line).alias("k2")
 
 
-def _tokens(words: Column, rarity: Column) -> Column:
-    """The distinct tokens as longs in order: the high bits are the first word's rarity as the table has it, the others a hash. Words have to be a column: within a lambda an expression is worked out for each element."""
+def with_tokens(rows: DataFrame, rarity: Column) -> DataFrame:
+    """Adds tokens to rows with a line: the distinct ones as longs in order, of which the high bits are the rarity as the table has it, the others a hash.
 
-    def token(i: Column) -> Column:
-        gram = F.slice(words, i, WORDS)
-        level = F.get(rarity, F.xxhash64(F.get(words, i - 1)).bitwiseAND(RARITY_BUCKETS - 1).cast("int"))
-        return level.bitwiseOR(F.shiftrightunsigned(F.xxhash64(gram), 10))
-
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(1)))
-    return F.sort_array(F.array_distinct(F.transform(starts, token)))
+    Hashes of two, four and five words are made one from another. Each step is a column of its own: within
+    a lambda, an expression would be worked out anew for each element.
+    """
+    size, pair = F.size("_w"), lambda x, y: F.xxhash64(x, y)
+    rows = rows.withColumn("_w", F.split("line", " "))
+    rows = rows.withColumn("_two", F.zip_with("_w", F.slice("_w", 2, size), pair))
+    rows = rows.withColumn("_four", F.zip_with("_two", F.slice("_two", 3, size), pair))
+    rows = rows.withColumn("_five", F.slice(F.zip_with("_four", F.slice("_w", WORDS, size), pair), 1, F.greatest(size - (WORDS - 1), F.lit(1))))
+    key = lambda h: F.get(rarity, h.bitwiseAND(RARITY_BUCKETS - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 10))
+    return rows.withColumn("tokens", F.sort_array(F.array_distinct(F.transform("_five", key)))).drop("_w", "_two", "_four", "_five")
 
 
 def _dense(counts: DataFrame, size: int, key: str, value: str) -> Column:
@@ -90,16 +95,17 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def equal_lines(lines: DataFrame) -> tuple[DataFrame, int]:
     """Of lines that occur several times: k1, k2, their first place d, m, and c, how often; and the number of all lines."""
     seen = Observation()
-    keys = lines.select("doc_id", "no", *_key(F.col("line"))).groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "no")).alias("f"), F.count("*").alias("c"))
-    keys = keys.observe(seen, F.sum("c").alias("n"))
+    keys = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "no")).alias("f"), F.count("*").alias("c")).observe(seen, F.sum("c").alias("n"))
     out = materialize(keys.where("c > 1").select("k1", "k2", F.col("f.doc_id").alias("d"), F.col("f.no").alias("m"), "c"), "line-equal")
     return out, seen.get["n"] or 0
 
 
 def rarity_table(lines: DataFrame) -> Column:
-    """The rarity levels of the buckets of words, in the high bits of longs; a constant of fixed size."""
-    words = lines.select(F.explode(F.split("line", " ")).alias("w")).select(F.xxhash64("w").bitwiseAND(RARITY_BUCKETS - 1).alias("b"))
-    levels = {r[0]: r[1] for r in words.groupBy("b").agg(F.ceil(STEPS * F.log2(F.count("*") + 1)).cast("int")).collect()}
+    """The rarity levels of the buckets of tokens, in the high bits of longs; a constant of fixed size. Lines are unfolded, so that hashing and counting are compiled together."""
+    words, gram = F.col("w"), lambda k: F.get("w", F.col("i") + k)
+    each = lines.select(F.split("line", " ").alias("w")).select("w", F.explode(F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0)))).alias("i"))
+    token = F.xxhash64(F.xxhash64(F.xxhash64(gram(0), gram(1)), F.xxhash64(gram(2), gram(3))), gram(4))
+    levels = {r[0]: r[1] for r in each.groupBy(token.bitwiseAND(RARITY_BUCKETS - 1).alias("b")).agg(F.ceil(STEPS * F.log2(F.count("*") + 1)).cast("int")).collect()}
     return F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
 
 
@@ -117,9 +123,8 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     rarity = rarity_table(lines)
     # A line listed once at most: there are fewer than HOT_PART such keys.
     hot = F.broadcast(equal.where(F.col("c") > max(HOT_PART, n_lines) / HOT_PART).select("k1", "k2", "d", "m"))
-    once = lines.withColumns(dict(zip(("k1", "k2"), _key(F.col("line")), strict=True))).join(hot, ["k1", "k2"], "left")
-    once = once.where("d is null or (d = doc_id and m = no)")
-    worded = once.select(*_LINE, F.split("line", " ").alias("words")).select(*_LINE, _tokens(F.col("words"), rarity).alias("tokens"))
+    once = lines.join(hot, ["k1", "k2"], "left").where("d is null or (d = doc_id and m = no)")
+    worded = with_tokens(once.select(*_LINE, "line"), rarity)
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, (n + F.floor(-num * n / F.lit(float(den)) + 1e-9) + 1).cast("int"))
     listed = worded.select(*_LINE, n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
@@ -139,9 +144,12 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     led = _decided(tried.select(*_LINE, *lead).distinct(), sets, num, den)
     gone = led.where("similar").select(*_LINE).distinct()
     # Lines that stay so far with all earlier ones of their lists; a list of two has no other pair.
-    longer = entries.where("many > 2").drop("many", "lead")
+    longer = entries.where("many > 2").drop("many", "lead").join(sets.select(*_LINE, *_sketch("set")), _LINE)
     left, right = longer.join(gone, _LINE, "left_anti").alias("l"), longer.alias("r")
     near = F.col("l.n").between(F.col("r.low"), F.col("r.high")) & F.col("r.n").between(F.col("l.low"), F.col("l.high"))
+    lost = lambda a, b: sum((F.bit_count(F.col(f"{a}.{s}").bitwiseAND(F.bitwise_not(f"{b}.{s}"))) for s in SKETCH), F.lit(0))
+    need = F.ceil(F.lit(num) * (F.col("l.n") + F.col("r.n")) / F.lit(float(num + den)) - 1e-9)
+    near = near & (F.col("l.n") - lost("l", "r") >= need) & (F.col("r.n") - lost("r", "l") >= need)
     rest = left.join(right, "token").where(F.struct("l.doc_id", "l.no") > F.struct("r.doc_id", "r.no")).where(near)
     rest = rest.select("l.doc_id", "l.no", F.col("r.doc_id").alias("to_id"), F.col("r.no").alias("to_no")).distinct()
     late = _decided(rest.join(led.drop("similar"), _LINE + _TO, "left_anti"), sets, num, den)
@@ -151,13 +159,19 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     return found
 
 
+def _sketch(tokens: str) -> list[Column]:
+    in_word = lambda k: F.filter(tokens, lambda t: F.shiftright(t, 6).bitwiseAND(len(SKETCH) - 1) == k)
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))
+    return [F.aggregate(in_word(k), F.lit(0).cast("long"), lambda a, t: a.bitwiseOR(bit(t))).alias(s) for k, s in enumerate(SKETCH)]
+
+
 def _sets(lines: DataFrame, places: DataFrame, rarity: Column) -> DataFrame:
     """doc_id, no, k1, set of the lines at the places; a bit filter keeps most of the others from being read closely."""
     place = F.xxhash64(*_LINE)
     words = 1 << max(0, places.count() // 4).bit_length()
     words = min(MOST_FILTER_WORDS, max(FILTER_WORDS, words))
     held = lines.where(may_hold(id_filter(places.select(place.alias("id")), words), place, words))
-    held = held.select(*_LINE, _key(F.col("line"))[0], F.split("line", " ").alias("words")).select(*_LINE, "k1", _tokens(F.col("words"), rarity).alias("set"))
+    held = with_tokens(held.select(*_LINE, "k1", "line"), rarity).select(*_LINE, "k1", F.col("tokens").alias("set"))
     return materialize(held.join(places, _LINE, "left_semi"), "line-sets")
 
 
@@ -172,10 +186,12 @@ def _decided(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN) -> DataFrame:
     """doc_id, no, k1: the places of lines that go."""
     lines = _lines(docs, id_col, text_col)
+    lines = materialize(lines.select(*_LINE, *_key(F.col("line")), "line"), "lines")
     equal, n_lines = equal_lines(lines)
-    copies = lines.select(*_LINE, *_key(F.col("line"))).join(equal, ["k1", "k2"]).where((F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m")))
+    copies = lines.select(*_LINE, "k1", "k2").join(equal, ["k1", "k2"]).where((F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m")))
     copies = materialize(copies.select(*_LINE, "k1"), "line-copies")
     near = similar_lines(lines, equal, copies, n_lines, num, den)
+    discard(lines, equal)
     return copies.union(near.select(*_LINE, "k1"))
 
 
