@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from siltstone.functions import text, urls
 from siltstone.operators import frontier, html, reports, state
 from siltstone.plans import views as v
-from siltstone.sources.files import load
+from siltstone.sources.files import load, shared_folder
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -309,8 +307,7 @@ _GRAPH = "edges as (select distinct o_custkey % 997 as a, (o_orderkey * 7 + o_cu
 @query(f"with recursive {_GRAPH}, r as (select 1 as n union select e.b from r join edges e on e.a = r.n) select count(*) as reached, cast(sum(n) as bigint) as total from r")
 def reachability(spark, d):
     edges = load(spark, d, "orders").where("o_orderkey % 5 = 0").select((F.col("o_custkey") % 997).cast("string").alias("src"), ((F.col("o_orderkey") * 7 + F.col("o_custkey")) % 997).cast("string").alias("dst"))
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='siltstone-')}"
-    rows = frontier.reachable(spark.createDataFrame([("1",)], "url string"), edges, folder)
+    rows = frontier.reachable(spark.createDataFrame([("1",)], "url string"), edges, shared_folder(spark))
     return rows.agg(F.count("*").alias("reached"), F.sum(F.col("url").cast("long")).alias("total"))
 
 
@@ -318,8 +315,7 @@ def reachability(spark, d):
 @query("with recursive edges as (select distinct o_custkey as a, o_orderkey // 10 as b from orders), r as (select 1 as n union select e.b from r join edges e on e.a = r.n) select count(*) as reached, cast(sum(n) as bigint) as total from r")
 def reachability_orders(spark, d):
     edges = load(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("src"), F.expr("cast(o_orderkey div 10 as string)").alias("dst"))
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='siltstone-')}"
-    rows = frontier.reachable(spark.createDataFrame([("1",)], "url string"), edges, folder)
+    rows = frontier.reachable(spark.createDataFrame([("1",)], "url string"), edges, shared_folder(spark))
     return rows.agg(F.count("*").alias("reached"), F.sum(F.col("url").cast("long")).alias("total"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, by the session's setting; a local one of our own only where all runs in one process."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='siltstone-')}"
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """The columns of the schema, those that df lacks as nulls: old files get new columns."""
     fields = T.StructType.fromDDL(schema)
