@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.sources.files import shared_folder
+
 #: The white space that the operators split words at, as a Java regex class body.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
@@ -20,19 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='siltstone-')}"
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends, lost executors cost no recomputation."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
@@ -57,11 +50,19 @@ def release(spark: SparkSession) -> None:
 _shipped: set[str] = set()
 
 
+#: Bytes of an Arrow batch at most, but for one larger row.
+BATCH_BYTES = 8 << 20
+
+
 def prepare(spark: SparkSession, rows: int = 500) -> None:
-    """For operators that run Python on executors: sends them the package, and bounds what an Arrow batch of whole texts holds."""
-    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """For operators that run Python on executors: sends them the package, and bounds what an Arrow batch of whole texts holds.
+
+    Spark reads these bounds when a result is used, so they stay set in the session; larger ones only are lowered.
+    """
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(f"spark.sql.execution.arrow.{name}"))
+        if now <= 0 or now > most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
     context = spark.sparkContext
     package = Path(__file__).resolve().parent.parent
     if context.applicationId not in _shipped and package.is_dir():
@@ -73,6 +74,13 @@ def prepare(spark: SparkSession, rows: int = 500) -> None:
         context.addPyFile(to)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with signs after it as long as a column has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z only, whatever the locale or script."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize, prepare, table
 
-#: Bytes of distinct content that a table may hold before it spills, spill files per level, levels.
-LIMIT_BYTES, FANOUT, MAX_DEPTH = 64 << 20, 16, 8
+#: Bytes that a table may hold before it spills, spill files per level, levels; bytes that Python needs besides for a content and for a member.
+LIMIT_BYTES, FANOUT, MAX_DEPTH, CONTENT_BYTES, MEMBER_BYTES = 96 << 20, 16, 8, 200, 64
 NO_ID = (1 << 63) - 1
 
 _SPACES = b" \t\n\x0b\x0c\r"
@@ -67,7 +67,7 @@ class OpenTable:
         slots[at] = g = len(self.hashes)
         self.hashes.append(h)
         self.contents.append(content)
-        self.bytes += len(content)
+        self.bytes += len(content) + CONTENT_BYTES
         if 2 * len(self.hashes) > len(slots):
             self._grow()
         return g
@@ -96,7 +96,9 @@ def grace_groups(records, limit: int = LIMIT_BYTES, fanout: int = FANOUT, depth:
                     files = [open(os.path.join(folder, str(k)), "wb") for k in range(fanout)]  # noqa: SIM115
                 blob = payload if isinstance(payload, bytes) else bytes(payload)
                 files[(h >> 40) % fanout].write(struct.pack("<QQ", len(content), len(blob)) + content + blob)
-            elif g == len(members):
+                continue
+            open_table.bytes += len(payload) + MEMBER_BYTES
+            if g == len(members):
                 members.append([payload])
             else:
                 members[g].append(payload)

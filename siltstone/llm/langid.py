@@ -3,14 +3,17 @@
 Features are hashed letter bigrams and trigrams of the lower-cased text, with one sign for all that is
 no letter, as shares of the text's n-grams. Families are separated by one-versus-one linear support
 vector machines (squared hinge), and so are the languages of each family, on that family's texts
-alone. The machines are fitted on the driver, on a bounded sample of labelled texts (``PER_LANG``
-texts a language at most, ``SAMPLE_CHARS`` characters of each from a pseudorandom place, whole and in
-snippets). A prediction reads the whole text.
+alone. Languages of no known family are put together by their texts, ``MEMBERS`` to a family at most, so
+that the machines grow about as the languages do. They are fitted on the driver, on a bounded sample of
+labelled texts (the ``MOST_LANGS`` commonest languages, about ``PER_LANG`` texts of each, ``SAMPLE_CHARS``
+characters of a text from a pseudorandom place, whole and in snippets); the model's size is bounded by
+these. A prediction reads the whole text.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; rows without a language or
 a text take no part in fitting; with one language only it is predicted with score 1, with none every
 text is ``und``; texts of any length and repeated rows are treated alike; an empty table gives an
-empty result; other columns are ignored.
+empty result; other columns are ignored by ``identify``, whatever their names, and kept by ``annotate``,
+which refuses names of its own that the documents have already.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import types as T
 from .common import prepare, table
 
 UNKNOWN = "und"
-#: Families of common language codes; a code that is not here is a family of its own.
+#: Families of common language codes; others are put together by their texts.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "lb", "fy", "yi"),
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl", "oc", "la"),
@@ -39,12 +42,26 @@ FAMILIES = {
     "turkic": ("tr", "az", "kk", "uz"),
     "semitic": ("ar", "he", "mt"),
 }
-PER_LANG, SAMPLE_CHARS, SNIPPETS, BUCKET_BITS, ROUNDS = 500, 800, (12, 40, 120), 15, 60
+PER_LANG, MOST_LANGS, MEMBERS, SAMPLE_CHARS, SNIPPETS, BUCKET_BITS, ROUNDS = 500, 256, 12, 800, (12, 40, 120), 15, 60
+#: Characters of texts that are looked at together.
+GROUP_CHARS = 1 << 20
 _MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
 
 
-def family_of(lang: str) -> str:
-    return next((name for name, codes in FAMILIES.items() if lang.partition("-")[0].lower() in codes), lang)
+def family_of(lang: str) -> str | None:
+    return next((name for name, codes in FAMILIES.items() if lang.partition("-")[0].lower() in codes), None)
+
+
+def other_families(langs: list[str], centres: dict[str, np.ndarray], members: int = MEMBERS) -> dict[str, str]:
+    """The families of languages of no known one: a language and those whose n-gram shares are nearest to its own, named after it."""
+    left, out = list(langs), {}
+    while left:
+        first = centres[left[0]]
+        near = sorted(left, key=lambda x: (-float(first @ centres[x]), x)) if len(left) > 1 else left
+        near = [left[0], *[x for x in near if x != left[0]]][: members if len(langs) > members else 1]
+        out |= dict.fromkeys(near, f"like {near[0]}")
+        left = [x for x in left if x not in out]
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -102,6 +119,8 @@ class LanguageModel:
     def __init__(self, texts: list[str], langs: list[str], bits: int = BUCKET_BITS):
         self.bits, self.langs = bits, sorted(set(langs))
         families = {lang: family_of(lang) for lang in self.langs}
+        if others := [x for x in self.langs if families[x] is None]:
+            families |= other_families(others, self._centres(texts, langs, others))
         self.families = {f: [x for x in self.langs if families[x] == f] for f in sorted(set(families.values()))}
         self.pairs: list[tuple[str, str]] = []
         weights = []
@@ -119,6 +138,14 @@ class LanguageModel:
             self.pairs.append((a, b))
         self.weights = np.stack(weights, 1) if weights else np.zeros((1 << bits, 0), np.float32)
 
+    def _centres(self, texts: list[str], langs: list[str], others: list[str]) -> dict[str, np.ndarray]:
+        out = {}
+        for lang in others:
+            bucket, _, _ = ngrams([t for t, x in zip(texts, langs, strict=True) if x == lang], self.bits)
+            v = np.sqrt(np.bincount(bucket, minlength=1 << self.bits).astype(np.float64))
+            out[lang] = v / (np.linalg.norm(v) or 1.0)
+        return out
+
     def _vote(self, names: list[str], margins: dict, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The winner of each row by one-versus-one votes (then by margins), and its smallest margin over another."""
         votes, lead = np.zeros((len(names), len(rows))), np.full((len(names), len(rows)), np.inf)
@@ -131,7 +158,17 @@ class LanguageModel:
         return best, lead[best, np.arange(len(rows))]
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        """Language and score in 0 to 1 of each text."""
+        """Language and score in 0 to 1 of each text; texts are looked at in groups of bounded size."""
+        langs, scores, at = [], [np.zeros(0)], 0
+        while at < len(texts):
+            end, chars = at + 1, len(texts[at])
+            while end < len(texts) and chars + len(texts[end]) <= GROUP_CHARS:
+                chars, end = chars + len(texts[end]), end + 1
+            some, score = self._predict(texts[at:end])
+            langs, scores, at = langs + some, [*scores, score], end
+        return langs, np.concatenate(scores)
+
+    def _predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         langs, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
         if not texts or not self.langs:
             return langs.tolist(), score
@@ -152,7 +189,7 @@ class LanguageModel:
 def training_sample(docs: DataFrame, may_learn: Column, id_col: str, text_col: str, lang_col: str, per_lang: int = PER_LANG) -> tuple[list[str], list[str]]:
     """Texts and languages: a pseudorandom share of each language's rows, bounded in rows and characters."""
     rows = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGS).collect()}
     if not counts:
         return [], []
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col).cast("string")), F.lit(1 << 30)) / (1 << 30)

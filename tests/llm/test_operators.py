@@ -139,6 +139,32 @@ def test_langid_held_out(spark):
     assert n > 250 and right > 0.97
 
 
+def test_langid_family_comes_first():
+    """Machines of the families, then of the languages within each; a language wins only if its family has won."""
+    texts = ["the house and the sea"] * 9 + ["das Haus und die See"] * 9 + ["la maison et la mer"] * 9 + ["la casa y el mar"] * 9
+    langs = ["en"] * 9 + ["de"] * 9 + ["fr"] * 9 + ["es"] * 9
+    model = langid.LanguageModel(texts, langs)
+    assert set(model.pairs) == {("germanic", "romance"), ("de", "en"), ("es", "fr")}
+    assert model.predict(["the house", "die See und das Haus", "la mer", "el mar y la casa", "12"])[0] == ["en", "de", "fr", "es", "und"]
+    model.weights[:, model.pairs.index(("germanic", "romance"))] = -1.0  # romance always wins
+    assert set(model.predict(texts)[0]) <= {"fr", "es"}
+    votes = langid.LanguageModel([], [])._vote(["a", "b", "c"], {("a", "b"): np.array([1.0, -1.0]), ("a", "c"): np.array([2.0, 3.0]), ("b", "c"): np.array([1.0, 1.0])}, np.array([0, 1]))
+    assert votes[0].tolist() == [0, 1] and votes[1].tolist() == [1.0, 1.0]
+
+
+def test_langid_machines_grow_as_languages():
+    rng = random.Random(15)
+    codes = [f"x{a}{b}" for a in "abcdefghij" for b in "abcdef"]
+    letters = {c: rng.sample("abcdefghijklmnopqrstuvwxyz", 8) for c in codes}
+    texts, langs = zip(*[("".join(rng.choice(letters[c] + [" "]) for _ in range(60)), c) for c in codes for _ in range(3)], strict=True)
+    model = langid.LanguageModel(list(texts), list(langs), bits=10)
+    assert len(model.pairs) <= langid.MEMBERS * len(codes) / 2 + (len(codes) / langid.MEMBERS + 1) ** 2
+    right = sum(a == b for a, b in zip(model.predict(list(texts))[0], langs, strict=True))
+    assert right > 0.8 * len(texts)
+    long = ["der Haus " * 300_000, "x"]
+    assert len(langid.LanguageModel(["a b"], ["en"]).predict(long)[0]) == 2
+
+
 def test_langid_cases(spark):
     texts = ["the house of the king and the sea"] * 20 + ["der König und das Haus über die Straße"] * 20 + ["le roi et la maison où il était"] * 20 + [None, "", "123 !?", "und das ist die Straße"]
     langs = ["en"] * 20 + ["de"] * 20 + ["fr"] * 20 + [None] * 4

@@ -66,3 +66,21 @@ def test_encoding(stages):
 
 def test_run(spark, sf_dir, stages):
     assert corpus_pipeline.run(spark, sf_dir).count() == stages[4][1].count()
+
+
+def test_stages_of_odd_tables(spark, sf_dir):
+    """Nulls in any column, empty and repeated rows, clashing columns and an empty table go through every stage."""
+    rows = [(1, "the house of the king and the sea near the old town wall", "en", "a", 56), (1, "the house of the king and the sea near the old town wall", "en", "a", 56), (2, None, None, None, None), (3, "", "de", "a", 0), (None, "der König und das Haus über die Straße am alten Wall", None, None, 5), (4, "*" * 2000, "fr", "b", 1), (5, "mot " * 3000, "fr", None, 1)]
+    clash = {c: F.lit("x") for c in ("_pred", "_score", "row", "gone", "no", "spans", "n_taken", "first", "component_id", "tie", "size")}
+    full = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(clash)
+    for docs in (full, full.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            made = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            assert made.columns == full.columns
+            docs = made
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_stages_alone_on_odd_rows(spark, sf_dir):
+    df = spark.createDataFrame([(1, None, None, None, None), (1, "", None, None, 0), (None, None, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [stage(spark, df, sf_dir).count() for _, stage in corpus_pipeline.STAGES] == [0, 0, 3, 0, 3]
