@@ -21,10 +21,17 @@ def build_parser() -> argparse.ArgumentParser:
     one = sub.add_parser("crawl", help="read stored pages from start urls on")
     one.add_argument("--pages", required=True, help="parquet with url and html")
     one.add_argument("--state", required=True)
-    one.add_argument("--urls", required=True, help="text file of start urls")
+    start = one.add_mutually_exclusive_group(required=True)
+    start.add_argument("--urls", help="text file of start urls")
+    start.add_argument("--search", help="what the urls of search pages begin with; their numbers follow")
+    one.add_argument("--max-search-pages", type=int, default=None)
+    one.add_argument("--probes", help="parquet with audio_url, method, status and headers: sizes are measured by it")
+    one.add_argument("--watch", action="store_true", help="wait for what is due later, and go on")
     one.add_argument("--rounds", type=int, default=100)
     one = sub.add_parser("downloads", help="eligible downloads and counts")
     one.add_argument("--state", required=True)
+    one.add_argument("--output", default="", help="the root that downloads are kept for")
+    one.add_argument("--responses", help="parquet of media responses: a pass over them")
     one.add_argument("--limit", type=int, default=None)
     one.add_argument("--retry-failed", action="store_true")
     one.add_argument("--languages", "--lang", action="append", default=None, help="a label as it is in the table; '' for none; may be repeated")
@@ -42,16 +49,27 @@ def main(args: list[str] | None = None) -> int:
     if getattr(asked, "limit", None) is not None and asked.limit < 1:
         raise ValueError("--limit must be at least 1")
     spark, now = SparkSession.builder.getOrCreate(), asked.now if asked.now is not None else time.time()
-    if asked.command == "crawl":
+    if asked.command == "crawl" and asked.search:
+        probes = spark.read.parquet(asked.probes) if asked.probes else None
+        while True:
+            said = crawl.crawl_site(spark, spark.read.parquet(asked.pages), asked.state, asked.search, now, asked.max_search_pages, asked.rounds, probes)
+            print(json.dumps(said))
+            if not asked.watch or said["next"] is None:
+                break
+            time.sleep(max(0.0, said["next"] - time.time()))
+            now = max(time.time(), said["next"])
+    elif asked.command == "crawl":
         print(crawl.crawl(spark, spark.read.parquet(asked.pages), asked.state, files.url_list(spark, asked.urls), now, asked.rounds))
     elif asked.command == "downloads":
+        if asked.responses:
+            crawl.download_pass(spark, spark.read.parquet(asked.responses), asked.state, asked.output, now, asked.languages, asked.limit)
         held = crawl.tables(spark, asked.state, ("audios", "downloads"))
         rows = held["downloads"]
         if asked.retry_failed:
-            rows = state.reset_failed(rows, reports.language_media(held["audios"], asked.languages))
-        jobs = reports.eligible_jobs(reports.download_jobs(held["audios"], asked.languages), rows, F.lit(now), asked.limit)
+            rows = state.reset_failed(rows, reports.language_media(held["audios"], asked.languages), asked.output)
+        jobs = reports.eligible_jobs(reports.download_jobs(held["audios"], asked.languages), rows, F.lit(now), asked.limit, asked.output)
         jobs.write.mode("overwrite").json(f"{asked.state}/jobs")
-        print(json.dumps([r.asDict() for r in reports.download_report(rows).orderBy("status").collect()]))
+        print(json.dumps([r.asDict() for r in reports.download_report(rows, asked.output).orderBy("status").collect()]))
     elif asked.command == "sizes":
         print(json.dumps(crawl.size_report(spark, asked.state)))
     else:

@@ -21,10 +21,32 @@ def ordered_distinct(rows: DataFrame, pos: str, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(pos).alias(pos))
 
 
-def new_urls(items: DataFrame, visited: DataFrame, queue: DataFrame) -> DataFrame:
-    """url, type_ of items (pos, url, type_) that are neither visited nor queued; of a repeated url the first label counts."""
+def new_items(items: DataFrame, visited: DataFrame, queue: DataFrame) -> DataFrame:
+    """pos, url, type_ of items that are neither visited nor queued, each url once; of a repeated url the first place and label count."""
     first = items.groupBy("url").agg(F.min_by("type_", "pos").alias("type_"), F.min("pos").alias("pos")).where("url is not null")
-    return first.join(visited.select("url"), "url", "left_anti").join(queue.select("url"), "url", "left_anti").select("url", "type_")
+    return first.join(visited.select("url"), "url", "left_anti").join(queue.select("url"), "url", "left_anti").select("pos", "url", "type_")
+
+
+def new_urls(items: DataFrame, visited: DataFrame, queue: DataFrame) -> DataFrame:
+    """url, type_ of the new items."""
+    return new_items(items, visited, queue).select("url", "type_")
+
+
+def with_ids(table: DataFrame, order: list[str]) -> DataFrame:
+    """Rows without id get the numbers after the largest one, in the order of the columns."""
+    top = table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    fresh = numbered(table.where("id is null").drop("id"), order, "id", top + 1)
+    return table.where("id is not null").unionByName(fresh)
+
+
+def enqueue(queue: DataFrame, items: DataFrame, visited: DataFrame) -> DataFrame:
+    """The queue with new items (pos, url, type_) behind it, in their order."""
+    fresh = new_items(items, visited, queue)
+    return with_ids(queue.unionByName(fresh, allowMissingColumns=True), ["pos"]).select(queue.columns)
+
+
+def in_order(queue: DataFrame) -> DataFrame:
+    return queue.orderBy("id")
 
 
 def ready(work: DataFrame, schedule: DataFrame, kind: str, now: Column) -> DataFrame:

@@ -198,32 +198,40 @@ def dispatch_failures(failures: DataFrame) -> DataFrame:
 
 
 def save_pages(parsed: DataFrame, tables: dict[str, DataFrame], now: float) -> dict[str, DataFrame]:
-    """The next audios, visited, queue, outcomes and retry tables after readable pages: written together or not at all."""
+    """The next audios, visited, queue, outcomes and retry tables after readable pages: written together or not at all.
+
+    parsed is read for each table, so it should be stored. New rows are numbered in the order of the pages' urls.
+    """
     from siltstone.operators import frontier, html
 
     done = parsed.where("page.error_kind is null")
     urls = done.select("url")
-    top = tables["audios"].agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    rows = html.media_rows(done).withColumn("id", F.lit(top) + 1 + F.monotonically_increasing_id()).drop("pos")
+    rows = html.media_rows(done).withColumn("id", F.lit(None).cast("long"))
+    audios = first_wins(tables["audios"].withColumn("pos", F.lit(None).cast("int")), rows, ["url", "audio_url"], "pos")
     children = done.select(F.posexplode("page.pages").alias("_p", "c"), F.col("url").alias("_u")).select(F.struct("_u", "_p").alias("pos"), "c.url", "c.type_")
-    visited = first_wins(tables["visited"], urls, ["url"], "url")
-    fresh = frontier.new_urls(children, visited, tables["queue"])
-    queue = clear(tables["queue"].unionByName(fresh, allowMissingColumns=True), urls, ["url"])
+    visited = visit(tables["visited"], urls)
     return {
-        "audios": first_wins(tables["audios"], rows, ["url", "audio_url"], "id"), "visited": visited, "queue": queue,
+        "audios": frontier.with_ids(audios, ["url", "pos"]).drop("pos"), "visited": visited,
+        "queue": clear(frontier.enqueue(tables["queue"], children, visited), urls, ["url"]),
         "page_outcomes": last_wins(tables["page_outcomes"], html.outcome_rows(done, now), ["url"], "checked_at"),
         "retry_schedule": clear(tables["retry_schedule"], urls.withColumn("kind", F.lit("page")), ["kind", "url"]),
     }
 
 
+def visit(visited: DataFrame, urls: DataFrame) -> DataFrame:
+    """visited with the urls that it does not have, numbered in their order."""
+    from siltstone.operators import frontier
+
+    return frontier.with_ids(first_wins(visited, urls.select(F.lit(None).cast("long").alias("id"), "url"), ["url"], "url"), ["url"])
+
+
 def save_search(items: DataFrame, source: DataFrame, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The next visited, queue and retry tables after search pages (source: url) with items (pos, url, type_)."""
     from siltstone.operators import frontier
 
-    fresh = frontier.new_urls(items, tables["visited"], tables["queue"])
     return {
-        "visited": first_wins(tables["visited"], source.select("url"), ["url"], "url"),
-        "queue": tables["queue"].unionByName(fresh, allowMissingColumns=True),
+        "visited": visit(tables["visited"], source.select("url")),
+        "queue": frontier.enqueue(tables["queue"], items, tables["visited"]),
         "retry_schedule": clear(tables["retry_schedule"], source.select("url", F.lit("search").alias("kind")), ["kind", "url"]),
     }
 

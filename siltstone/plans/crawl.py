@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions import urls
 from siltstone.operators import classify, frontier, html, reports, state
+from siltstone.plans import flows
 from siltstone.sources import files
 
-TABLES = ("audios", "visited", "queue", "page_outcomes", "retry_schedule")
+TABLES = ("audios", "visited", "queue", "page_outcomes", "retry_schedule", "crawl_state", "audio_sizes", "downloads")
 
 
 def current(spark: SparkSession, folder: str) -> str | None:
@@ -28,42 +32,109 @@ def tables(spark: SparkSession, folder: str, names=TABLES) -> dict[str, DataFram
     return {n: files.read_state(spark, at, n) for n in names}
 
 
+def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """df as a table of the folder: what several tables read is worked out once."""
+    path = f"{folder}/rounds/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _advance(spark: SparkSession, folder: str, before: dict[str, DataFrame], after: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Writes a whole version: the tables of after, the others as they were."""
+    state.apply_all(before | after, folder)
+    return tables(spark, folder)
+
+
 def crawl(spark: SparkSession, pages: DataFrame, folder: str, start: DataFrame, now: float, rounds: int = 100) -> int:
-    """Reads pages (url, html) from the start urls on; returns the rounds that found something to read.
+    """Reads pages (url, html) from the start urls (pos, url) on; returns the rounds that found something to read.
 
     Pages that cannot be read yet stay queued with a retry; those to be reviewed are done with.
     """
-    state_now = tables(spark, folder)
-    fresh = frontier.new_urls(start.select("url", F.lit("").alias("type_"), F.lit(0).alias("pos")), state_now["visited"], state_now["queue"])
-    state_now["queue"] = state_now["queue"].unionByName(fresh, allowMissingColumns=True)
+    held = tables(spark, folder)
+    held = held | {"queue": frontier.enqueue(held["queue"], start.select("pos", "url", F.lit("").alias("type_")), held["visited"])}
+    return page_rounds(spark, pages, folder, held, now, rounds)
+
+
+def page_rounds(spark: SparkSession, pages: DataFrame, folder: str, held: dict[str, DataFrame], now: float, rounds: int = 100) -> int:
+    """Rounds over the queue, until one has nothing to read that is stored. A round parses each of its pages once."""
     for n in range(rounds):
-        due = frontier.ready(state_now["queue"].select("url").distinct(), state_now["retry_schedule"], "page", F.lit(now))
-        parsed = html.parse_pages(pages.join(due, "url", "left_semi").select("url", "html"))
-        after = state.save_pages(parsed, state_now, now)
+        due = frontier.ready(held["queue"].select("url").distinct(), held["retry_schedule"], "page", F.lit(now))
+        parsed = _stored(html.parse_pages(pages.select("url", "html").join(due, "url", "left_semi")), folder, "parsed")
+        if parsed.isEmpty():
+            _advance(spark, folder, held, {})
+            return n
+        after = state.save_pages(parsed, held, now)
         bad = parsed.where("page.error_kind is not null").select(
-            F.lit("page").alias("kind"), "url", F.lit(now).alias("at"), F.lit(60).alias("delay"), F.col("page.error").alias("error"), F.col("page.error_kind").alias("error_kind"), F.lit(200).alias("status"), F.lit(False).alias("blocked")
+            F.lit("page").alias("kind"), "url", F.lit(now).alias("at"), F.lit(60).alias("delay"), F.col("page.error").alias("error"), F.col("page.error_kind").alias("error_kind"), F.lit(200).alias("status"), F.col("page.challenge").alias("blocked")
         )
         sent = state.dispatch_failures(bad)
-        done = sent.where("action = 'outcome'")
+        done, deferred = sent.where("action = 'outcome'"), sent.where("action = 'defer'")
         rows = done.select("url", F.col("outcome").alias("status"), F.col("error").alias("detail"), F.col("at").alias("checked_at"))
         after["page_outcomes"] = state.last_wins(after["page_outcomes"], rows, ["url"], "checked_at")
-        after["visited"] = state.first_wins(after["visited"], done.select("url"), ["url"], "url")
+        after["visited"] = state.visit(after["visited"], done)
         after["queue"] = state.clear(after["queue"], done, ["url"])
-        after["retry_schedule"] = state.defer(after["retry_schedule"], sent.where("action = 'defer'").select("kind", "url", "at", "delay", "error"))
-        version = state.apply_all(after, folder)
-        read = files.read_state(spark, version, "visited").count() + files.read_state(spark, version, "retry_schedule").count()
-        if read == state_now["visited"].count() + state_now["retry_schedule"].count():
-            return n
-        state_now = tables(spark, folder)
+        after["retry_schedule"] = state.defer(after["retry_schedule"], deferred.select("kind", "url", "at", "delay", "error"))
+        after["crawl_state"] = state.paused(held["crawl_state"], state.numbered(deferred.select("kind", "url", "at", "delay", "blocked"), held["retry_schedule"], ["kind", "url"]))
+        held = _advance(spark, folder, held, after)
     return rounds
 
 
-def audit(urls: DataFrame, pages: DataFrame) -> DataFrame:
+def search_count(pages: DataFrame, first_url: str) -> DataFrame:
+    """pages, the number of search pages, by the first one: its last pager link, else its counter; null if it is not stored or says neither."""
+    page = html.parse_pages(pages.select("url", "html").where(F.col("url") == first_url)).select("page.last_page", "page.counter")
+    return page.select(urls.search_pages(F.col("last_page"), urls.number_text(F.col("counter"))).alias("pages"))
+
+
+def search_stage(spark: SparkSession, pages: DataFrame, folder: str, held: dict[str, DataFrame], prefix: str, now: float, cap: int | None = None) -> dict[str, DataFrame]:
+    """Queues what the stored search pages list: those that are not visited and whose retry, if there is one, is due."""
+    row = None if cap == 0 else search_count(pages, prefix + "0").first()
+    todo = frontier.search_urls(spark, prefix, (row and row["pages"]) or 0, cap)
+    todo = frontier.eligible_searches(todo, held["visited"], held["retry_schedule"], F.lit(now))
+    found = pages.select("url", "html").join(todo, "url")
+    items = _stored(html.parse_searches(found).join(todo.select(F.col("url").alias("source"), F.col("pos").alias("page")), "source"), folder, "search")
+    items = items.select(F.struct("page", "pos").alias("pos"), "url", "type_")
+    return _advance(spark, folder, held, state.save_search(items, found.select("url"), held))
+
+
+def crawl_site(spark: SparkSession, pages: DataFrame, folder: str, prefix: str, now: float, cap: int | None = None, rounds: int = 100, probes: DataFrame | None = None, redirects: DataFrame | None = None) -> dict:
+    """The whole crawl over stored responses: count, search pages, pages and, where probes are given, sizes; nothing while a pause lasts.
+
+    Returns whether it ran, the rounds over the queue, and the next deadline.
+    """
+    held = tables(spark, folder)
+    running = not reports.when_running(spark.range(1), held["crawl_state"], F.lit(now)).isEmpty()
+    n = 0
+    if running:
+        held = search_stage(spark, pages, folder, held, prefix, now, cap)
+        n = page_rounds(spark, pages, folder, held, now, rounds)
+        if probes is not None:
+            held = tables(spark, folder)
+            none = spark.createDataFrame([], "url string, status int, location string")
+            _advance(spark, folder, held, flows.size_stage(held, probes, redirects if redirects is not None else none, now))
+    return {"ran": running, "rounds": n, "next": next_deadline(spark, folder)}
+
+
+def next_deadline(spark: SparkSession, folder: str) -> float | None:
+    """When there is something to try again, a pause considered; None if there is nothing."""
+    held = tables(spark, folder)
+    pause = held["crawl_state"].where("key = 'pause_until'").agg(F.max("value")).first()[0]
+    due = [held["retry_schedule"], held["audio_sizes"].where("status = 'retry'"), held["downloads"].where("status = 'retry'")]
+    found = [reports.next_deadline(t, F.lit(pause).cast("double")).first()[0] for t in due]
+    return min((x for x in found if x is not None), default=None)
+
+
+def download_pass(spark: SparkSession, responses: DataFrame, folder: str, root: str, now: float, languages: list[str] | None = None, limit: int | None = None) -> dict[str, DataFrame]:
+    """One pass over stored media responses, for the jobs that are pending or due in the root."""
+    held = tables(spark, folder)
+    return _advance(spark, folder, held, flows.download_stage(held, responses, root, now, languages, limit))
+
+
+def audit(listed: DataFrame, pages: DataFrame) -> DataFrame:
     """url, html_name, ancien_selecteur_present, status, titre, audios, pages, detail for a list of urls, whether stored or not."""
     from siltstone.functions.text import snapshot_name
 
-    parsed = html.parse_pages(pages.select("url", "html"))
-    rows = urls.select("pos", "url").join(parsed, "url", "left")
+    parsed = html.parse_pages(pages.select("url", "html").join(listed.select("url"), "url", "left_semi"))
+    rows = listed.select("pos", "url").join(parsed, "url", "left")
     p, missing = F.col("page"), F.col("page").isNull()
     status = classify.audit_status(F.lit(False), F.when(missing, "absent").otherwise(p["error_kind"]), p["status"])
     return rows.select(
