@@ -27,7 +27,7 @@ import json
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, discard, materialize, table
+from .common import SPACE, discard, materialize, release, table
 
 WORDS, NUM, DEN = 5, 80, 100
 #: Buckets of the rarity table; 64-bit words of the filter that tells which lines have candidates, at least and at most; a line that is more than such a part of all lines is listed once.
@@ -109,10 +109,10 @@ def rarity_table(lines: DataFrame) -> Column:
     return F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
 
 
-def _reach(num: int, den: int) -> tuple[Column, Column]:
+def _reach(num: int, den: int, n: Column, pos: Column) -> tuple[Column, Column]:
     """Smallest and largest size of a line similar to one of size n, the token at pos being the first common one."""
-    most = F.least(F.floor(F.lit(den) * F.col("n") / F.lit(float(num)) + 1e-9), F.floor((F.col("n") - F.col("pos")) * F.lit(num + den) / F.lit(float(num)) + 1e-9) - F.col("n"))
-    return F.ceil(F.lit(num) * F.col("n") / F.lit(float(den)) - 1e-9).alias("low"), most.alias("high")
+    most = F.least(F.floor(F.lit(den) * n / F.lit(float(num)) + 1e-9), F.floor((n - pos) * F.lit(num + den) / F.lit(float(num)) + 1e-9) - n)
+    return F.ceil(F.lit(num) * n / F.lit(float(den)) - 1e-9), most
 
 
 _LINE, _TO = ["doc_id", "no"], ["to_id", "to_no"]
@@ -126,9 +126,9 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     once = lines.join(hot, ["k1", "k2"], "left").where("d is null or (d = doc_id and m = no)")
     worded = with_tokens(once.select(*_LINE, "line"), rarity)
     n = F.size("tokens")
-    prefix = F.slice("tokens", 1, (n + F.floor(-num * n / F.lit(float(den)) + 1e-9) + 1).cast("int"))
+    prefix = F.slice("tokens", 1, _prefix(n, num, den))
     listed = worded.select(*_LINE, n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
-    low, high = _reach(num, den)
+    low, high = (c.alias(name) for c, name in zip(_reach(num, den, F.col("n"), F.col("pos")), ("low", "high"), strict=True))
     # Of two similar lines the smaller one stands early enough in the list; lists without such a one, or of one line, are done.
     in_list = Window.partitionBy("token")
     listed = listed.withColumns({"many": F.count("*").over(in_list), "early": F.max((high >= F.col("n")).cast("int")).over(in_list)})
@@ -137,26 +137,46 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     listed_once = listed.join(copies.select(*_LINE), _LINE, "left_anti").withColumns({"many": F.count("*").over(in_list), "lead": F.min(F.struct(*_LINE, "n", "pos")).over(in_list)})
     entries = materialize(listed_once.where("many > 1").select("*", low, high), "line-entries")
     discard(listed)
-    places = entries.select(*_LINE).distinct()
+    release(lines.sparkSession)
+    tried, longer = _with_lead(entries, num, den), entries.where("many > 2").drop("many", "lead")
+    tried = materialize(tried, "line-tried")
+    places = tried.select(*_LINE).union(tried.select(*_TO)).union(longer.select(*_LINE)).distinct()
     sets = _sets(lines, places, rarity)
-    lead = (F.col("lead.doc_id").alias("to_id"), F.col("lead.no").alias("to_no"))
-    tried = entries.where(F.struct(*_LINE) > F.struct("lead.doc_id", "lead.no")).where(F.col("lead.n").between(F.col("low"), F.col("high")))
-    led = _decided(tried.select(*_LINE, *lead).distinct(), sets, num, den)
+    led = _decided(tried, sets, num, den)
     gone = led.where("similar").select(*_LINE).distinct()
     # Lines that stay so far with all earlier ones of their lists; a list of two has no other pair.
-    longer = entries.where("many > 2").drop("many", "lead").join(sets.select(*_LINE, *_sketch("set")), _LINE)
+    longer = longer.join(_chosen(sets, longer).select(*_LINE, *_sketch("set")), _LINE)
     left, right = longer.join(gone, _LINE, "left_anti").alias("l"), longer.alias("r")
     near = F.col("l.n").between(F.col("r.low"), F.col("r.high")) & F.col("r.n").between(F.col("l.low"), F.col("l.high"))
     lost = lambda a, b: sum((F.bit_count(F.col(f"{a}.{s}").bitwiseAND(F.bitwise_not(f"{b}.{s}"))) for s in SKETCH), F.lit(0))
-    need = F.ceil(F.lit(num) * (F.col("l.n") + F.col("r.n")) / F.lit(float(num + den)) - 1e-9)
+    need = _need(F.col("l.n"), F.col("r.n"), num, den)
     near = near & (F.col("l.n") - lost("l", "r") >= need) & (F.col("r.n") - lost("r", "l") >= need)
     rest = left.join(right, "token").where(F.struct("l.doc_id", "l.no") > F.struct("r.doc_id", "r.no")).where(near)
     rest = rest.select("l.doc_id", "l.no", F.col("r.doc_id").alias("to_id"), F.col("r.no").alias("to_no")).distinct()
-    late = _decided(rest.join(led.drop("similar"), _LINE + _TO, "left_anti"), sets, num, den)
-    found = gone.union(late.where("similar").select(*_LINE)).distinct()
-    found = materialize(sets.select(*_LINE, "k1").join(found, _LINE, "left_semi"), "line-near")
-    discard(entries, sets, led, late)
-    return found
+    rest = materialize(rest.join(tried, _LINE + _TO, "left_anti"), "line-rest")
+    late = _decided(rest, sets, num, den)
+    found = materialize(gone.union(late.where("similar").select(*_LINE)).distinct(), "line-found")
+    near = materialize(_chosen(sets, found).select(*_LINE, "k1").join(found, _LINE, "left_semi"), "line-near")
+    discard(entries, sets, tried, rest, led, late, found)
+    return near
+
+
+def _need(a: Column, b: Column, num: int, den: int) -> Column:
+    """Least intersection of similar lines of sizes a and b."""
+    return F.ceil(F.lit(num) * (a + b) / F.lit(float(num + den)) - 1e-9)
+
+
+def _prefix(n: Column, num: int, den: int) -> Column:
+    """So many of a line's first tokens are listed."""
+    return (n + F.floor(-num * n / F.lit(float(den)) + 1e-9) + 1).cast("int")
+
+
+def _with_lead(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (doc_id, no, to_id, to_no) of lines with the earliest of their lists that can be similar."""
+    low, high = _reach(num, den, F.col("lead.n"), F.col("lead.pos"))
+    fits = F.col("lead.n").between(F.col("low"), F.col("high")) & F.col("n").between(low, high)
+    pairs = entries.where(F.struct(*_LINE) > F.struct("lead.doc_id", "lead.no")).where(fits)
+    return pairs.select(*_LINE, F.col("lead.doc_id").alias("to_id"), F.col("lead.no").alias("to_no")).distinct()
 
 
 def _sketch(tokens: str) -> list[Column]:
@@ -165,18 +185,22 @@ def _sketch(tokens: str) -> list[Column]:
     return [F.aggregate(in_word(k), F.lit(0).cast("long"), lambda a, t: a.bitwiseOR(bit(t))).alias(s) for k, s in enumerate(SKETCH)]
 
 
-def _sets(lines: DataFrame, places: DataFrame, rarity: Column) -> DataFrame:
-    """doc_id, no, k1, set of the lines at the places; a bit filter keeps most of the others from being read closely."""
+def _chosen(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows at the places (doc_id, no), and a few others: by a bit filter whose size follows the places' number, within bounds. It only spares rows an exchange."""
     place = F.xxhash64(*_LINE)
     words = 1 << max(0, places.count() // 4).bit_length()
     words = min(MOST_FILTER_WORDS, max(FILTER_WORDS, words))
-    held = lines.where(may_hold(id_filter(places.select(place.alias("id")), words), place, words))
-    held = with_tokens(held.select(*_LINE, "k1", "line"), rarity).select(*_LINE, "k1", F.col("tokens").alias("set"))
-    return materialize(held.join(places, _LINE, "left_semi"), "line-sets")
+    return rows.where(may_hold(id_filter(places.select(place.alias("id")), words), place, words))
+
+
+def _sets(lines: DataFrame, places: DataFrame, rarity: Column) -> DataFrame:
+    """doc_id, no, k1, set of the lines at the places."""
+    return materialize(with_tokens(_chosen(lines, places).select(*_LINE, "k1", "line"), rarity).select(*_LINE, "k1", F.col("tokens").alias("set")), "line-sets")
 
 
 def _decided(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (doc_id, no, to_id, to_no) with similar, by the whole sets of both lines."""
+    sets = _chosen(sets, pairs.select(*_LINE).union(pairs.select(*_TO)))
     both = pairs.join(sets.select(*_LINE, F.col("set").alias("a")), _LINE).join(sets.select("doc_id", "no", "set").toDF(*_TO, "b"), _TO)
     inter = F.size(F.array_intersect("a", "b"))
     similar = den * inter >= num * (F.size("a") + F.size("b") - inter)
