@@ -34,6 +34,8 @@ def new_urls(items: DataFrame, visited: DataFrame, queue: DataFrame) -> DataFram
 
 def with_ids(table: DataFrame, order: list[str]) -> DataFrame:
     """Rows without id get the numbers after the largest one, in the order of the columns."""
+    if "id" not in table.columns:
+        table = table.withColumn("id", F.lit(None).cast("long"))
     top = table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     fresh = numbered(table.where("id is null").drop("id"), order, "id", top + 1)
     return table.where("id is not null").unionByName(fresh)

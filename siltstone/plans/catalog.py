@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.plans import literal_queries, table_queries
+from siltstone.plans import case_queries, literal_queries, table_queries
 
-QUERIES: dict = table_queries.QUERIES | literal_queries.QUERIES
-ORACLE_SQL: dict = table_queries.ORACLE_SQL | literal_queries.ORACLE_SQL
+QUERIES: dict = table_queries.QUERIES | literal_queries.QUERIES | case_queries.QUERIES
+ORACLE_SQL: dict = table_queries.ORACLE_SQL | literal_queries.ORACLE_SQL | case_queries.ORACLE_SQL

@@ -30,10 +30,13 @@ def _values(name: str, columns: str, rows: list[tuple]) -> str:
 COUNTS = [(None, 0), (None, 1), (None, 12), (None, 13), (None, 24), (None, 62254), ("?page=7", 5), ("?a=1&page=10&b", 0), ("?p=1", 25)]
 
 
+def paged(rows):
+    return rows.select("href", "total", urls.search_pages(F.col("href"), F.col("total")).alias("pages"))
+
+
 @query(f"with {_values('t', 'href, total', COUNTS)} select href, total::bigint as total, coalesce(try_cast(nullif(regexp_extract(href, '[?&]page=([0-9]+)', 1), '') as bigint) + 1, (total + 11) // 12)::bigint as pages from t")
 def page_count_boundaries(spark, d):
-    rows = spark.createDataFrame(COUNTS, "href string, total long")
-    return rows.select("href", "total", urls.search_pages(F.col("href"), F.col("total")).alias("pages"))
+    return paged(spark.createDataFrame(COUNTS, "href string, total long"))
 
 
 @query("select i as pos, 'https://media.example.org/search?page=' || i as url from range(40) r(i)")
@@ -56,19 +59,26 @@ RANGES = [("bytes 0-0/1234", 0), ("BYTES 0-0/9", 0), ("bytes 0-0/*", 0), ("bytes
 _PART = "try_cast(nullif(regexp_extract(r, '^bytes ([0-9]+)-([0-9]+)/([0-9]+)$', {}, 'i'), '') as bigint)"
 
 
+def ranged(rows):
+    return rows.select("r", "o", http.probe_range(F.col("r")).alias("probe"), http.resume_range(F.col("r"), F.col("o")).alias("resume"))
+
+
 @query(f"""with {_values('t', 'r, o', RANGES)} select r, o::bigint as o, try_cast(nullif(regexp_extract(r, '^bytes 0-0/([0-9]+)$', 1, 'i'), '') as bigint) as probe,
 case when {_PART.format(1)} = o and o <= {_PART.format(2)} and {_PART.format(2)} < {_PART.format(3)} then {_PART.format(3)} end as resume from t""")
 def content_range(spark, d):
-    rows = spark.createDataFrame(RANGES, "r string, o long")
-    return rows.select("r", "o", http.probe_range(F.col("r")).alias("probe"), http.resume_range(F.col("r"), F.col("o")).alias("resume"))
+    return ranged(spark.createDataFrame(RANGES, "r string, o long"))
 
 
 LENGTHS = [("100", ""), ("0", ""), ("-1", ""), ("1e3", ""), ("", ""), ("100", "chunked"), ("9223372036854775807", ""), ("9223372036854775808", "")]
 
 
+def lengths(rows):
+    return rows.select("n", "e", http.content_length(F.col("n"), F.col("e")).alias("size"))
+
+
 @query(f"with {_values('t', 'n, e', LENGTHS)} select n, e, case when regexp_matches(n, '^[0-9]+$') and e = '' and try_cast(n as bigint) > 0 then try_cast(n as bigint) end as size from t")
 def content_length(spark, d):
-    return spark.createDataFrame(LENGTHS, "n string, e string").select("n", "e", http.content_length(F.col("n"), F.col("e")).alias("size"))
+    return lengths(spark.createDataFrame(LENGTHS, "n string, e string"))
 
 
 TYPES = [("audio/MPEG; q=1", '"a"'), (" Text/HTML ;x", 'W/"a"'), ("", ""), ("application/octet-stream", '"'), ("audio/mp3", "x")]
@@ -82,6 +92,10 @@ def mime_and_etag(spark, d):
 FETCHES = [(s, w, c) for s in (200, 204, 301, 400, 403, 404, 410, 418, 429, 500, 503) for w in ("", "1000") for c in (False, True)]
 
 
+def fetched(rows):
+    return rows.withColumn("v", classify.fetch_class(F.col("status"), F.col("wait"), F.col("challenge"), F.lit(float(NOW)))).select("status", "wait", "challenge", "v.label", "v.blocked", "v.delay")
+
+
 @query(f"""with {_values('t', 'status, wait, challenge', FETCHES)}, w as (select *, (case when wait = '' then 0 else 1000 end) as asked from t)
 select status::int as status, wait, challenge,
 case when status in (404, 410) then 'permanent' when status = 429 or (status in (200, 403, 503) and challenge) or status = 403 or status >= 500 then 'retry' when status >= 400 then 'error' else 'ok' end as label,
@@ -89,8 +103,7 @@ case when status in (404, 410) then null when status = 429 or (status in (200, 4
 (case when status in (404, 410) then null when status = 429 then greatest(300, asked) when status in (200, 403, 503) and challenge and wait <> '' then greatest(300, asked) when status in (200, 403, 503) and challenge then 900
  when status = 403 then greatest(900, asked) when status >= 500 then greatest(300, asked) when status >= 400 then 60 end)::bigint as delay from w""")
 def fetch_class(spark, d):
-    rows = spark.createDataFrame(FETCHES, "status int, wait string, challenge boolean")
-    return rows.withColumn("v", classify.fetch_class(F.col("status"), F.col("wait"), F.col("challenge"), F.lit(float(NOW)))).select("status", "wait", "challenge", "v.label", "v.blocked", "v.delay")
+    return fetched(spark.createDataFrame(FETCHES, "status int, wait string, challenge boolean"))
 
 
 PROBES = [(m, s, t, n, r, w) for m in ("HEAD", "GET") for s in (200, 206, 404, 401, 429, 500, 501) for t, n, r in (("audio/mpeg", "1234", ""), ("audio/mpeg", "1", "bytes 0-0/777"), ("text/html", "99", ""), ("application/octet-stream", "", "")) for w in ("", "500")]
@@ -98,21 +111,31 @@ _PROBE = _values("t", "method, status, type, n, r, wait", PROBES)
 _SIZE = """case when type = 'text/html' then null when status = 200 then nullif(try_cast(nullif(n, '') as bigint), 0) when status = 206 and method = 'GET' and r <> '' then 777 end"""
 
 
+def probed(rows):
+    heads = F.create_map(*[F.lit(x) if isinstance(x, str) else x for x in ("content-type", F.col("type"), "Content-Length", F.col("n"), "Content-Range", F.col("r"), "Retry-After", F.col("wait"))])
+    v = classify.probe_class(F.col("method"), F.col("status"), heads, F.lit(float(NOW)))
+    return rows.withColumn("v", v).select(*rows.columns, "v.label", "v.size_bytes")
+
+
 @query(f"""with {_PROBE}, z as (select *, {_SIZE} as size from t)
 select method, status::int as status, type, n, r, wait,
 case when status in (401, 403, 429) or wait <> '' then 'retry' when status >= 500 and not (method = 'HEAD' and status = 501) then 'retry' when method = 'GET' and status in (404, 410) then 'missing'
  when size is not null then 'known' when method = 'HEAD' then 'next' when type = 'text/html' then 'retry' else 'unknown' end as label,
 case when status in (401, 403, 429) or wait <> '' then null when status >= 500 and not (method = 'HEAD' and status = 501) then null when method = 'GET' and status in (404, 410) then null else size::bigint end as size_bytes from z""")
 def probe_class(spark, d):
-    rows = spark.createDataFrame(PROBES, "method string, status int, type string, n string, r string, wait string")
-    heads = F.create_map(*[F.lit(x) if isinstance(x, str) else x for x in ("content-type", F.col("type"), "Content-Length", F.col("n"), "Content-Range", F.col("r"), "Retry-After", F.col("wait"))])
-    v = classify.probe_class(F.col("method"), F.col("status"), heads, F.lit(float(NOW)))
-    return rows.withColumn("v", v).select(*rows.columns, "v.label", "v.size_bytes")
+    return probed(spark.createDataFrame(PROBES, "method string, status int, type string, n string, r string, wait string"))
 
 
 MEDIA = [(s, t, w, x) for s in (200, 206, 401, 403, 404, 408, 416, 425, 429, 500, 503) for t in ("audio/mpeg", "text/html; charset=utf-8") for w in ("", "60") for x in ("", "Unexpected Error", "just a moment")]
 
 
+def classified(rows):
+    heads = F.create_map(F.lit("Content-Type"), F.col("type"), F.lit("Retry-After"), F.col("wait"))
+    puzzled = classify.challenge_text(F.col("sample"), F.col("sample"))
+    v = classify.media_class(F.col("status"), heads, F.col("sample"), puzzled, F.lit(float(NOW)))
+    return rows.withColumn("v", v).select(*rows.columns, "v.label", "v.delay")
+
+
 @query(f"""with {_values('t', 'status, type, wait, sample', MEDIA)}, p as (select *, (type like '%html%' or status in (401, 403, 503)) as page, sample = 'just a moment' as challenge, sample = 'Unexpected Error' as broken from t)
 select status::int as status, type, wait, sample,
 case when wait <> '' or status = 429 then 'retry' when status in (404, 410) then 'missing' when page and (status in (401, 403) or challenge) then 'retry' when page and (status >= 500 or broken) then 'retry' when page then 'invalid'
@@ -120,11 +143,7 @@ case when wait <> '' or status = 429 then 'retry' when status in (404, 410) then
 (case when wait <> '' or status = 429 then 300 when status in (404, 410) then null when page and (status in (401, 403) or challenge) then 300 when page and (status >= 500 or broken) then 60 when page then null
  when status >= 500 or status in (408, 425) then 60 end)::bigint as delay from p""")
 def media_class(spark, d):
-    rows = spark.createDataFrame(MEDIA, "status int, type string, wait string, sample string")
-    heads = F.create_map(F.lit("Content-Type"), F.col("type"), F.lit("Retry-After"), F.col("wait"))
-    puzzled = classify.challenge_text(F.col("sample"), F.col("sample"))
-    v = classify.media_class(F.col("status"), heads, F.col("sample"), puzzled, F.lit(float(NOW)))
-    return rows.withColumn("v", v).select(*rows.columns, "v.label", "v.delay")
+    return classified(spark.createDataFrame(MEDIA, "status int, type string, wait string, sample string"))
 
 
 TRANSFERS = [
