@@ -51,19 +51,23 @@ def _key(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(7), line).alias("k2")
 
 
-def with_tokens(rows: DataFrame, rarity: Column) -> DataFrame:
-    """Adds tokens to rows with a line: the distinct ones as longs in order, of which the high bits are the rarity as the table has it, the others a hash.
+def with_hashes(rows: DataFrame) -> DataFrame:
+    """Adds hashes of the tokens to rows with words w, in place of these.
 
     Hashes of two, four and five words are made one from another. Each step is a column of its own: within
     a lambda, an expression would be worked out anew for each element.
     """
-    size, pair = F.size("_w"), lambda x, y: F.xxhash64(x, y)
-    rows = rows.withColumn("_w", F.split("line", " "))
-    rows = rows.withColumn("_two", F.zip_with("_w", F.slice("_w", 2, size), pair))
+    size, pair = F.size("w"), lambda x, y: F.xxhash64(x, y)
+    rows = rows.withColumn("_two", F.zip_with("w", F.slice("w", 2, size), pair))
     rows = rows.withColumn("_four", F.zip_with("_two", F.slice("_two", 3, size), pair))
-    rows = rows.withColumn("_five", F.slice(F.zip_with("_four", F.slice("_w", WORDS, size), pair), 1, F.greatest(size - (WORDS - 1), F.lit(1))))
+    rows = rows.withColumn("hashes", F.slice(F.zip_with("_four", F.slice("w", WORDS, size), pair), 1, F.greatest(size - (WORDS - 1), F.lit(1))))
+    return rows.drop("w", "_two", "_four")
+
+
+def with_tokens(rows: DataFrame, rarity: Column) -> DataFrame:
+    """Adds tokens to rows with words w, in place of these: the distinct ones as longs in order, of which the high bits are the rarity as the table has it, the others a hash."""
     key = lambda h: F.get(rarity, h.bitwiseAND(RARITY_BUCKETS - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 10))
-    return rows.withColumn("tokens", F.sort_array(F.array_distinct(F.transform("_five", key)))).drop("_w", "_two", "_four", "_five")
+    return with_hashes(rows).withColumn("tokens", F.sort_array(F.array_distinct(F.transform("hashes", key)))).drop("hashes")
 
 
 def _dense(counts: DataFrame, size: int, key: str, value: str) -> Column:
@@ -103,7 +107,7 @@ def equal_lines(lines: DataFrame) -> tuple[DataFrame, int]:
 def rarity_table(lines: DataFrame) -> Column:
     """The rarity levels of the buckets of tokens, in the high bits of longs; a constant of fixed size. Lines are unfolded, so that hashing and counting are compiled together."""
     words, gram = F.col("w"), lambda k: F.get("w", F.col("i") + k)
-    each = lines.select(F.split("line", " ").alias("w")).select("w", F.explode(F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0)))).alias("i"))
+    each = lines.select("w", F.explode(F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0)))).alias("i"))
     token = F.xxhash64(F.xxhash64(F.xxhash64(gram(0), gram(1)), F.xxhash64(gram(2), gram(3))), gram(4))
     levels = {r[0]: r[1] for r in each.groupBy(token.bitwiseAND(RARITY_BUCKETS - 1).alias("b")).agg(F.ceil(STEPS * F.log2(F.count("*") + 1)).cast("int")).collect()}
     return F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
@@ -124,7 +128,7 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     # A line listed once at most: there are fewer than HOT_PART such keys.
     hot = F.broadcast(equal.where(F.col("c") > max(HOT_PART, n_lines) / HOT_PART).select("k1", "k2", "d", "m"))
     once = lines.join(hot, ["k1", "k2"], "left").where("d is null or (d = doc_id and m = no)")
-    worded = with_tokens(once.select(*_LINE, "line"), rarity)
+    worded = with_tokens(once.select(*_LINE, "w"), rarity)
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, _prefix(n, num, den))
     listed = worded.select(*_LINE, n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
@@ -141,7 +145,7 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     tried, longer = _with_lead(entries, num, den), entries.where("many > 2").drop("many", "lead")
     tried = materialize(tried, "line-tried")
     places = tried.select(*_LINE).union(tried.select(*_TO)).union(longer.select(*_LINE)).distinct()
-    sets = _sets(lines, places, rarity)
+    sets = _sets(lines, places)
     led = _decided(tried, sets, num, den)
     gone = led.where("similar").select(*_LINE).distinct()
     # Lines that stay so far with all earlier ones of their lists; a list of two has no other pair.
@@ -193,9 +197,10 @@ def _chosen(rows: DataFrame, places: DataFrame) -> DataFrame:
     return rows.where(may_hold(id_filter(places.select(place.alias("id")), words), place, words))
 
 
-def _sets(lines: DataFrame, places: DataFrame, rarity: Column) -> DataFrame:
-    """doc_id, no, k1, set of the lines at the places."""
-    return materialize(with_tokens(_chosen(lines, places).select(*_LINE, "k1", "line"), rarity).select(*_LINE, "k1", F.col("tokens").alias("set")), "line-sets")
+def _sets(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """doc_id, no, k1, set of the lines at the places: distinct hashes of their tokens."""
+    held = with_hashes(_chosen(lines, places).select(*_LINE, "k1", "w"))
+    return materialize(held.select(*_LINE, "k1", F.array_distinct("hashes").alias("set")), "line-sets")
 
 
 def _decided(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -210,7 +215,7 @@ def _decided(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN) -> DataFrame:
     """doc_id, no, k1: the places of lines that go."""
     lines = _lines(docs, id_col, text_col)
-    lines = materialize(lines.select(*_LINE, *_key(F.col("line")), "line"), "lines")
+    lines = materialize(lines.select(*_LINE, *_key(F.col("line")), F.split("line", " ").alias("w")), "lines")
     equal, n_lines = equal_lines(lines)
     copies = lines.select(*_LINE, "k1", "k2").join(equal, ["k1", "k2"]).where((F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m")))
     copies = materialize(copies.select(*_LINE, "k1"), "line-copies")
