@@ -171,7 +171,7 @@ def _taken(placed: DataFrame, slots: DataFrame, block: int) -> DataFrame:
 
 def _parts(docs: DataFrame, id_col: str, text_col: str, source_col: str, block: int, shard_slots: int, seed: int, weights, share: float):
     sizes = materialize(_sizes(docs, id_col, text_col, source_col), "mix-sizes")
-    targets = source_targets(sizes, weights, share)
+    targets = materialize(source_targets(sizes, weights, share), "mix-targets")  # a row for each source, read many times
     placed, plan = _placed(sizes), slot_plan(targets, block)
     counts = shard_counts(plan, shard_slots, seed).withColumnRenamed("blocks", "blocks_drawn")
     return sizes, targets, placed, _taken(placed, mix_slots(plan, counts, block, seed), block)
