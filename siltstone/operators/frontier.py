@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import backoff
+from siltstone.sources import files
 
 
 def search_urls(spark, prefix: str, count: int, cap: int | None = None) -> DataFrame:
@@ -79,17 +80,20 @@ def placed_tasks(pages: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def numbered(rows: DataFrame, order: list[str], to: str, first: int = 1) -> DataFrame:
-    """Adds consecutive numbers in the order of the columns: rows are dealt by ranges, counted in each, and numbered there.
+    """Adds consecutive numbers in the order of the columns: rows are dealt by ranges once and stored in order, and each range's count moves those after it.
 
-    The ranges are those of a sort, so that no task sees all rows; what is collected is one count for each partition.
+    Counts and numbers are read from the same stored rows, since another deal would sample other ranges. Rows of equal order are told
+    apart by where they stood, so that they too may be dealt to several ranges. No task sees all rows; what is broadcast is one count for each range.
     """
-    spark = rows.sparkSession
-    dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
-    low = dealt.groupBy("_part").agg(F.count("*").alias("_n"), F.min(F.struct(*order)).alias("_low"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    low = low.select("_part", before.alias("_before"))
-    inner = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return dealt.withColumn("_in", inner).join(F.broadcast(low), "_part").withColumn(to, (F.col("_before") + F.col("_in") - 1 + first).cast("long")).drop("_part", "_in", "_before")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    # The number of the range, then the place in it.
+    dealt = files.stored(dealt.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    low = dealt.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).select("_part", before.alias("_before"))
+    both = dealt.withColumn("_part", part).join(F.broadcast(low), "_part")
+    return both.withColumn(to, (F.col("_before") + place + first).cast("long")).select(*rows.columns, to)
 
 
 def reachable(start: DataFrame, links: DataFrame, folder: str, most: int = 1000) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,13 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back: worked out once, and lost executors cost no recomputation."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """The columns of the schema, those that df lacks as nulls: old files get new columns."""
     fields = T.StructType.fromDDL(schema)
