@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import ann, bpe, chat, exact_dedup, langid, line_dedup, mixing, ngram_join, secrets, url_filter
+from . import ann, bpe, chat, exact_dedup, filter_audit, importance, langid, line_dedup, mixing, ngram_join, secrets, sharding, url_filter
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 
-for _module in (ann, bpe, chat, exact_dedup, langid, line_dedup, mixing, ngram_join, secrets, url_filter):
+for _module in (ann, bpe, chat, exact_dedup, filter_audit, importance, langid, line_dedup, mixing, ngram_join, secrets, sharding, url_filter):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= getattr(_module, "ORACLE_SQL", {})
 
