@@ -148,3 +148,30 @@ def op13(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op13_importance": op13}
+
+#: The checksum is linear: each byte's share is its table entry, moved on by the bytes after it; the shares of a run are joined by xor.
+ORACLE_SQL = {
+    "op13_importance": r"""
+with recursive bits(b, k, v) as (select b::bigint, 0, b::bigint from range(256) as r(b) union all select b, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+crc_table as (select b, v from bits where k = 8),
+texts as (select 0 as side, row_number() over () as row_id, doc_id, text from documents union all select 1, row_number() over (), null, text from benchmark),
+worded as (select side, row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts),
+grams as (select side, row_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as g from worded),
+counted as (select side, row_id, g, count(*) as n from grams group by all),
+terms as (select g, row_number() over () as g_id, strlen(g) as size, hex(encode(g)) as h from (select distinct g from counted)),
+powers(d, b, v) as (select 0, b, v from crc_table union all select 0, -1, 4294967295
+  union all select d + 1, p.b, xor(t.v, p.v >> 8) from powers p join crc_table t on t.b = p.v & 255 where d <= (select max(size) from terms)),
+bytes as (select g_id, size, unnest(range(size)) as i, h from terms),
+raw as (select g_id, size - 1 - i as d, ('0x' || substr(h, 2 * i + 1, 2))::bigint as b from bytes union all select g_id, size, -1 from terms),
+hashed as (select g_id, xor(bit_xor(v), 4294967295) % 10000 as bucket from raw join powers using (d, b) group by g_id),
+bucketed as (select side, row_id, bucket, sum(n)::bigint as n from counted join terms using (g) join hashed using (g_id) group by all),
+totals as (select sum(n) filter (side = 0)::double as s, coalesce(sum(n) filter (side = 1), 0)::double as t from bucketed),
+per as (select bucket, coalesce(sum(n) filter (side = 0), 0)::double as s, coalesce(sum(n) filter (side = 1), 0)::double as t from bucketed group by bucket),
+gains as (select bucket, floor(1000 * ln((per.t + 1) * (totals.s + 10000) / ((per.s + 1) * (totals.t + 10000))))::bigint as gain from per, totals),
+weights as (select row_id, sum(n * gain)::bigint as weight, sum(n)::bigint as n_features from bucketed join gains using (bucket) where side = 0 group by row_id),
+scored as (select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from worded left join weights using (row_id) where side = 0),
+ranked as (select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls first) as r, count(*) filter (n_words >= 20) over () as able from scored)
+select doc_id, n_features, weight, score, case when n_words >= 20 and r <= 5 * able // 100 then r end as rank from ranked""",
+}
