@@ -22,11 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends, lost executors cost no recomputation."""
+def materialize(df: DataFrame, name: str, **options) -> DataFrame:
+    """Writes df to the shared folder, by the writer's options if any, and reads it back: lineage ends, lost executors cost no recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

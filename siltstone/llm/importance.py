@@ -32,6 +32,8 @@ from siltstone.operators.frontier import numbered
 
 from .common import materialize, prepare, table
 
+#: Bytes of a written group of rows; features that a block has, but for one longer document.
+GROUP_BYTES, BLOCK_FEATURES = 4 << 20, 1 << 17
 BUCKETS, LONGEST_RUN, SEED, FEWEST_WORDS, PERCENT, SCALE = 10_000, 3, 42, 20, 5, 1000
 #: All bytes of words as they are, A-Z lower-cased, all other bytes as spaces.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -50,26 +52,37 @@ def features(text: bytes, buckets: int = BUCKETS) -> tuple[int, np.ndarray]:
     return len(words), (np.concatenate(out) % buckets).astype(np.uint16)
 
 
+def _block(ids: list, words: list[int], streams: list[np.ndarray]) -> pa.RecordBatch:
+    columns = [
+        pa.array([ids], pa.list_(pa.int64())), pa.array([words], pa.list_(pa.int32())), pa.array([np.cumsum([len(s) for s in streams])], pa.list_(pa.int64())),
+        pa.array([np.concatenate(streams).astype("<u2").tobytes()], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "words", "ends", "stream"])
+
+
 def packed(docs: DataFrame, id_col: str | None = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """The bucket streams, a row for each block of documents."""
     if not 0 < buckets <= 1 << 16:
         raise ValueError("buckets are numbered by 16 bits")
     prepare(docs.sparkSession)
 
-    def of_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t.as_py() or b"", buckets) for t in batch.column(1)]
-            words, streams = [n for n, _ in found], [s for _, s in found]
-            if not streams:
-                continue
-            columns = [
-                pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([words], pa.list_(pa.int32())),
-                pa.array([np.cumsum([len(s) for s in streams])], pa.list_(pa.int64())), pa.array([np.concatenate(streams).astype("<u2").tobytes()], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "words", "ends", "stream"])
+            ids, words, streams, n = [], [], [], 0
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                many, stream = features(text.as_py() or b"", buckets)
+                if ids and n + len(stream) > BLOCK_FEATURES:
+                    yield _block(ids, words, streams)
+                    ids, words, streams, n = [], [], [], 0
+                ids.append(doc_id)
+                words.append(many)
+                streams.append(stream)
+                n += len(stream)
+            if ids:
+                yield _block(ids, words, streams)
 
     doc_id = F.col(id_col) if id_col else F.lit(None)
-    return docs.select(doc_id.cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(of_block, PACKED)
+    return docs.select(doc_id.cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(of_batch, PACKED)
 
 
 def bucket_counts(streams: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -125,7 +138,8 @@ def weighed(streams: DataFrame, gain: np.ndarray, seed: int = SEED) -> DataFrame
 
 def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_col: str = "text", percent: int = PERCENT, fewest: int = FEWEST_WORDS, seed: int = SEED, buckets: int = BUCKETS) -> DataFrame:
     """Every document's doc_id, n_words, n_features, weight, score and, where it is drawn, rank: percent of the documents of so many words at least."""
-    streams = materialize(packed(docs, id_col, text_col, buckets), "importance-streams")
+    # A reader holds a whole group of rows, so groups are made small.
+    streams = materialize(packed(docs, id_col, text_col, buckets), "importance-streams", **{"parquet.block.size": GROUP_BYTES, "parquet.enable.dictionary": "false"})
     gain = gains(bucket_counts(streams, buckets), bucket_counts(packed(target, None, target_col, buckets), buckets), buckets)
     rows = materialize(weighed(streams, gain, seed), "importance-scores")
     able = F.coalesce(F.col("n_words") >= fewest, F.lit(False))
