@@ -58,7 +58,7 @@ def other_families(langs: list[str], centres: dict[str, np.ndarray], members: in
     while left:
         first = centres[left[0]]
         near = sorted(left, key=lambda x: (-float(first @ centres[x]), x)) if len(left) > 1 else left
-        near = [left[0], *[x for x in near if x != left[0]]][: members if len(langs) > members else 1]
+        near = [left[0], *[x for x in near if x != left[0]]][:members]
         out |= dict.fromkeys(near, f"like {near[0]}")
         left = [x for x in left if x not in out]
     return out
@@ -174,13 +174,14 @@ class LanguageModel:
             return langs.tolist(), score
         bucket, doc, has = ngrams(texts, self.bits)
         count = np.maximum(np.bincount(doc, minlength=len(texts)), 1)
-        margins = {p: np.bincount(doc, self.weights[bucket, k], minlength=len(texts)) / count for k, p in enumerate(self.pairs)}
+        margin = lambda p, bucket, doc: np.bincount(doc, self.weights[bucket, self.pairs.index(p)], minlength=len(texts)) / count
         rows = np.flatnonzero(has)
         names = list(self.families)
-        family, lead = self._vote(names, margins, rows)
+        family, lead = self._vote(names, {p: margin(p, bucket, doc) for p in combinations(names, 2)}, rows)
         for k, f in enumerate(names):
             own = family == k
-            best, inner = self._vote(self.families[f], margins, rows[own])
+            its = np.isin(doc, rows[own])  # the machines of a family look at the texts that it has won
+            best, inner = self._vote(self.families[f], {p: margin(p, bucket[its], doc[its]) for p in combinations(self.families[f], 2)}, rows[own])
             langs[rows[own]] = np.array(self.families[f], object)[best]
             score[rows[own]] = 1 / (1 + np.exp(-4 * np.clip(np.minimum(lead[own], inner), -10, 10)))
         return langs.tolist(), score

@@ -382,7 +382,7 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
 def distinct_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one, of the smallest id, of each component; rows without id stay."""
     rows = ngram_components(docs, n, num, den, id_col, text_col)
-    drop = rows.groupBy("doc_id").agg(F.min(F.col("doc_id") == F.col("component_id")).alias("first")).where("not first")
+    drop = rows.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first")).where("not first")
     return docs.join(drop, docs[id_col].cast("long") == drop["doc_id"], "left_anti")
 
 

@@ -22,17 +22,21 @@ import hashlib
 import math
 import random
 import re
+import uuid
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, table
+from siltstone.sources.files import shared_folder
 
-SHORTEST, DICTIONARY_LEAST, DICTIONARY_SHARE, DICTIONARY_MOST, TREES, DEPTH, SEED = 16, 3, 1e-6, 20_000, 40, 8, 11
+from .common import discard, materialize, prepare, table
+
+#: A dictionary word occurs so often at least, and makes up such a share of all words: there are 1 / DICTIONARY_SHARE of them at most.
+SHORTEST, DICTIONARY_LEAST, DICTIONARY_SHARE, TREES, DEPTH, SEED = 16, 3, 5e-6, 40, 8, 11
 _RUN = re.compile(r"[A-Za-z0-9_+/.=~-]{%d,}" % SHORTEST)
 _GIVEN = re.compile(r"""[=:>]\s{0,3}["']?([A-Za-z0-9_+/.~-]+=*)""")
 _PART = re.compile(r"[^=]+=*")
@@ -55,7 +59,8 @@ class Lexicon:
     """Dictionary words and how often letters follow each other in them."""
 
     def __init__(self, words: Counter):
-        self.words = {w for w, n in words.most_common(DICTIONARY_MOST) if n >= DICTIONARY_LEAST and 3 <= len(w) <= 24}
+        self.words = {w for w, n in words.items() if n >= DICTIONARY_LEAST and len(w) >= 3}
+        self.longest = max(map(len, self.words), default=0)
         pairs = Counter(a + b for w in self.words for a, b in zip(w, w[1:], strict=False))
         first = Counter(p[0] for p in pairs.elements())
         self.pairs = {p: math.log((n + 0.1) / (first[p[0]] + 3)) for p, n in pairs.items()}
@@ -65,7 +70,7 @@ class Lexicon:
         low, covered, letters = value.lower(), 0, sum(map(str.isalpha, value))
         at = 0
         while at < len(low):
-            for size in range(min(24, len(low) - at), 3, -1):
+            for size in range(min(self.longest, len(low) - at), 3, -1):
                 if low[at : at + size] in self.words:
                     covered += size
                     at += size
@@ -197,17 +202,22 @@ def example_findings(words: list[str], n: int = 3000, seed: int = SEED) -> list[
 
 
 def learn_lexicon(docs: DataFrame, text_col: str) -> Lexicon:
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(\p{L}{3,24})"), 1)).alias("w"))
-    top = words.groupBy("w").count().where(F.col("count") >= DICTIONARY_LEAST).orderBy(F.desc("count"), "w").limit(DICTIONARY_MOST)
-    found = top.collect()
-    least = found[0][1] * DICTIONARY_SHARE if found else 0
-    return Lexicon(Counter({r[0]: r[1] for r in found if r[1] >= least}))
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(\p{L}{3,})"), 1)).alias("w"))
+    counts = materialize(words.groupBy("w").agg(F.count("*").alias("n")), "secret-words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    found = counts.where(F.col("n") >= max(float(DICTIONARY_LEAST), total * DICTIONARY_SHARE)).collect()
+    discard(counts)
+    return Lexicon(Counter({r["w"]: r["n"] for r in found}))
 
 
 def train(spark: SparkSession, findings: list[tuple[str, int, int, str, bool]], lexicon: Lexicon, context: Context):
     rows = [(features(t, a, b, p or "", lexicon, context), float(s)) for t, a, b, p, s in findings]
     data = spark.createDataFrame(rows, "f array<double>, label double").select(array_to_vector("f").alias("features"), "label")
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(data)
+    fitted = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(data)
+    # Stored and loaded again the model has no training summary: that one refers to the session, which tasks cannot be sent.
+    path = f"{shared_folder(spark)}/secret-forest-{uuid.uuid4().hex}"
+    fitted.save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan(docs: DataFrame, findings: list[tuple[str, int, int, str, bool]] | None = None, id_col="doc_id", text_col="text", path_col="source", threshold: float = 0.5) -> DataFrame:

@@ -4,8 +4,10 @@ Listed rules (host and path prefix) decide first. Other urls are judged by rules
 mines from labelled urls: an url's items are its host's labels, path segments (digits as ``#``) and
 query keys, all of them, and its label is an item too. Rules that conclude on a label are pruned by
 support, by confidence, with a threshold of its own for each label, and by how sure it is that the
-confidence is above the label's share of all labelled urls; then by rules that say the same with fewer
-items. They are matched through an inverted index: each rule stands in the bucket of its rarest item,
+confidence is above the label's share of all labelled urls, which must be the surer the more sets of items
+were looked at; then by rules that say the same with fewer items. Items that only ever come together in the
+labelled urls are one item for mining, the first of them, and any of them stands for it in an url: a template
+of many items does not multiply the sets. Rules are matched through an inverted index: each rule stands in the bucket of its rarest item,
 so an url looks at the buckets of its own items alone, checks that all items of a rule are there, and
 takes the rule of the largest lift: its confidence as a multiple of its label's share.
 
@@ -19,13 +21,16 @@ empty result; very long urls are mined and judged whole; other columns, whatever
 from __future__ import annotations
 
 import json
-from itertools import combinations
+import math
+from collections.abc import Iterator
+from itertools import combinations, product
+from statistics import NormalDist
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, materialize, table
 
 RULES = (
     ("com", "/", "allow"),
@@ -35,8 +40,8 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 #: Of a mined rule: least support, least urls, least confidence by label, least standard deviations above the
-#: label's share, and most items. Labelled urls that mining reads, about; buckets of the rule index.
-MIN_SUPPORT, MIN_URLS, BLOCK_CONFIDENCE, ALLOW_CONFIDENCE, SURE, RULE_ITEMS, SAMPLE, BUCKETS = 0.002, 20, 0.4, 0.75, 2.0, 4, 200_000, 512
+#: label's share, and most items. Rules that chance alone may be expected to make; labelled urls that mining reads, about; buckets of the rule index.
+MIN_SUPPORT, MIN_URLS, BLOCK_CONFIDENCE, ALLOW_CONFIDENCE, SURE, RULE_ITEMS, CHANCE, SAMPLE, BUCKETS = 0.002, 20, 0.4, 0.75, 2.0, 4, 0.05, 200_000, 512
 BLOCK, ALLOW = "=block", "=allow"
 
 
@@ -88,25 +93,60 @@ def _bucket(text: str, n: int) -> int:
 
 
 def baskets(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """items of (url, blocked) rows that have both, the label among them; of many rows, about as many as sample, drawn row by row."""
-    rows = labelled.where("blocked is not null and url is not null").select("url", "blocked")
+    """items of (url, blocked) rows that have both, the label among them; of many rows, about as many as sample, drawn by a hash of all the row's columns (an id makes rows differ)."""
+    rows = labelled.where("blocked is not null and url is not null")
     n = rows.count()
     if n > sample:
-        rows = rows.where(F.rand(1) < sample / n)
+        rows = rows.where(F.pmod(F.xxhash64(F.lit("basket"), *sorted(rows.columns)), F.lit(1 << 30)) < int(sample / n * (1 << 30)))
     host, path = url_parts(F.col("url"))
     return rows.select(F.concat(items(F.col("url"), host, path), F.array(F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))).alias("items"))
 
 
+def together(rows: DataFrame, least: int) -> dict[str, list[str]]:
+    """Of baskets: the items of as many rows as least, by the first of those that come in the same rows; labels aside.
+
+    Rows are compared by their number and two sums of hashes. There are at most as many such items as a row has in the mean, times the rows, divided by least.
+    """
+    each = rows.select(F.monotonically_increasing_id().alias("r"), F.explode("items").alias("item")).where(~F.col("item").isin(BLOCK, ALLOW))
+    sums = [F.sum(F.xxhash64(F.lit(k), "r").cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 2)]
+    marks = each.groupBy("item").agg(F.count("*").alias("n"), *sums).where(F.col("n") >= least)
+    groups = marks.groupBy("n", "s1", "s2").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    return {r["items"][0]: r["items"] for r in groups.select("items").collect()}
+
+
+def as_groups(tokens: Column, groups: dict[str, list[str]], buckets: int = BUCKETS) -> Column:
+    """The tokens with the first of their group in place of each."""
+    others = [(i, first) for first, items in groups.items() for i in items if i != first]
+    if not others:
+        return tokens
+    table: list[list[dict]] = [[] for _ in range(buckets)]
+    for i, first in others:
+        table[_bucket(i, buckets)].append({"i": i, "f": first})
+    index = _literal(table, "array<array<struct<i:string,f:string>>>")
+    found = lambda t: F.filter(F.get(index, F.pmod(F.crc32(t.cast("binary")), F.lit(buckets)).cast("int")), lambda r: r["i"] == t)
+    return F.array_distinct(F.transform(tokens, lambda t: F.coalesce(F.get(found(t), 0)["f"], t)))
+
+
+def least_deviations(sets: int, sure: float = SURE, chance: float = CHANCE) -> float:
+    """So many standard deviations that, of so many sets looked at, about chance are expected to reach them by chance."""
+    return max(sure, NormalDist().inv_cdf(1 - chance / max(1, sets))) if sets else sure
+
+
 def mine_rules(labelled: DataFrame, min_support=MIN_SUPPORT, min_urls=MIN_URLS, block_confidence=BLOCK_CONFIDENCE, allow_confidence=ALLOW_CONFIDENCE, sure=SURE, most_items=RULE_ITEMS, sample=SAMPLE) -> list[dict]:
-    """Of (url, blocked) rows: rules with items, block, confidence, support, lift and key, the rarest item."""
-    rows = baskets(labelled, sample).persist()
+    """Of (url, blocked) rows, which may have an id besides: rules with items, block, confidence, support, lift and key, the rarest item; groups has, of each item that stands for several, all of them."""
+    rows = materialize(baskets(labelled, sample), "url-baskets")
     n = rows.count()
     if not n:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_urls / n)), minConfidence=min(block_confidence, allow_confidence)).fit(rows)
+    least = max(min_support, min_urls / n)
+    groups = together(rows, math.ceil(least * n - 1e-9))
+    rows = materialize(rows.select(as_groups(F.col("items"), groups).alias("items")), "url-groups")
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least), minConfidence=min(block_confidence, allow_confidence)).fit(rows)
     single = {r["items"][0]: r["freq"] for r in model.freqItemsets.where("size(items) = 1").collect()}
-    share = {c: rows.where(F.array_contains("items", c)).count() / n for c in (BLOCK, ALLOW)}
-    rows.unpersist()
+    share = {c: single.get(c, 0) / n or rows.where(F.array_contains("items", c)).count() / n for c in (BLOCK, ALLOW)}
+    labels = F.size(F.array_intersect("items", F.array(F.lit(BLOCK), F.lit(ALLOW))))
+    sets = model.freqItemsets.where((labels == 1) & F.size("items").between(2, most_items + 1)).count()
+    sure = least_deviations(sets, sure)
     found = model.associationRules.where(F.element_at("consequent", 1).isin(BLOCK, ALLOW)).where(F.size("antecedent") <= most_items)
     found = found.where(~F.exists("antecedent", lambda i: i.isin(BLOCK, ALLOW)))
     block, base = F.element_at("consequent", 1) == BLOCK, F.when(F.element_at("consequent", 1) == BLOCK, share[BLOCK]).otherwise(share[ALLOW])
@@ -122,17 +162,25 @@ def mine_rules(labelled: DataFrame, min_support=MIN_SUPPORT, min_urls=MIN_URLS,
         below = max((best[b].get(s, 0.0) for k in range(1, len(own)) for s in combinations(own, k)), default=0.0)
         best[b][own] = max(below, r["confidence"])
         if r["confidence"] > below:
-            out.append(r.asDict() | {"key": min(own, key=lambda i: (single.get(i, 0), i))})
+            out.append(r.asDict() | {"key": min(own, key=lambda i: (single.get(i, 0), i)), "groups": {i: groups[i] for i in own if len(groups.get(i, ())) > 1}})
     return out
 
 
+def spelled_out(rules: list[dict]) -> Iterator[dict]:
+    """The rules with every choice of an item in place of one that stands for several."""
+    for r in rules:
+        for choice in product(*[r["groups"].get(i, [i]) for i in r["items"]]):
+            yield r | {"items": sorted(choice), "groups": {}}
+
+
 def mined_verdict(tokens: Column, rules: list[dict], buckets: int = BUCKETS) -> Column:
     """block or allow by the rule of the largest lift all of whose items are tokens; null if there is none."""
     if not rules:
         return F.lit(None).cast("string")
     table: list[list[dict]] = [[] for _ in range(buckets)]
     for r in rules:
-        table[_bucket(r["key"], buckets)].append(r)
+        table[_bucket(r["key"], buckets)].append({k: x for k, x in r.items() if k != "groups"})
+    tokens = as_groups(tokens, {i: g for r in rules for i, g in r["groups"].items()}, buckets)
     index = _literal(table, "array<array<struct<key:string,items:array<string>,block:boolean,confidence:double,support:double,lift:double>>>")
 
     def posted(t: Column) -> Column:
@@ -159,7 +207,7 @@ def op1(spark, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
     judged = labels.where("toxic is not null or quality is not null").groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad).alias("blocked"))
-    return judge(pages, mine_rules(pages.select("page_id", "url").join(judged, "page_id")))
+    return judge(pages, mine_rules(pages.select("page_id", "url").join(judged, "page_id").select("page_id", "url", "blocked")))
 
 
 QUERIES = {"op1_url_filter": op1}
