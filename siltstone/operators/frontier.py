@@ -33,19 +33,20 @@ def new_urls(items: DataFrame, visited: DataFrame, queue: DataFrame) -> DataFram
     return new_items(items, visited, queue).select("url", "type_")
 
 
-def with_ids(table: DataFrame, order: list[str]) -> DataFrame:
-    """Rows without id get the numbers after the largest one, in the order of the columns."""
+def with_ids(table: DataFrame, order: list[str], top: int | None = None) -> DataFrame:
+    """Rows without id get the numbers after the largest one (top, where the table is only part of one), in the order of the columns."""
     if "id" not in table.columns:
         table = table.withColumn("id", F.lit(None).cast("long"))
-    top = table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    if top is None:
+        top = table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     fresh = numbered(table.where("id is null").drop("id"), order, "id", top + 1)
     return table.where("id is not null").unionByName(fresh)
 
 
-def enqueue(queue: DataFrame, items: DataFrame, visited: DataFrame) -> DataFrame:
+def enqueue(queue: DataFrame, items: DataFrame, visited: DataFrame, top: int | None = None) -> DataFrame:
     """The queue with new items (pos, url, type_) behind it, in their order."""
     fresh = new_items(items, visited, queue)
-    return with_ids(queue.unionByName(fresh, allowMissingColumns=True), ["pos"]).select(queue.columns)
+    return with_ids(queue.unionByName(fresh, allowMissingColumns=True), ["pos"], top).select(queue.columns)
 
 
 def in_order(queue: DataFrame) -> DataFrame:

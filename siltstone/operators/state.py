@@ -197,41 +197,50 @@ def dispatch_failures(failures: DataFrame) -> DataFrame:
     return failures.withColumns({"outcome": outcome, "action": F.when(outcome.isNotNull(), "outcome").otherwise("defer"), "stops": outcome.isNull() & F.coalesce("blocked", F.lit(False))})
 
 
-def save_pages(parsed: DataFrame, tables: dict[str, DataFrame], now: float) -> dict[str, DataFrame]:
+def page_children(parsed: DataFrame) -> DataFrame:
+    """pos, url, type_ of what readable pages link to, in the order of the pages' urls and of the links in each."""
+    links = parsed.where("page.error_kind is null").select(F.posexplode("page.pages").alias("_p", "c"), F.col("url").alias("_u"))
+    return links.select(F.struct("_u", "_p").alias("pos"), "c.url", "c.type_")
+
+
+def save_pages(parsed: DataFrame, tables: dict[str, DataFrame], now: float, tops: dict[str, int] | None = None, children: DataFrame | None = None) -> dict[str, DataFrame]:
     """The next audios, visited, queue, outcomes and retry tables after readable pages: written together or not at all.
 
-    parsed is read for each table, so it should be stored. New rows are numbered in the order of the pages' urls.
+    parsed is read for each table, so it should be stored. New rows are numbered in the order of the pages' urls, after tops where the
+    tables are parts of larger ones; children are the new ones of the pages' links, where they are known.
     """
     from siltstone.operators import frontier, html
 
+    tops = tops or {}
     done = parsed.where("page.error_kind is null")
     urls = done.select("url")
     rows = html.media_rows(done).withColumn("id", F.lit(None).cast("long"))
     audios = first_wins(tables["audios"].withColumn("pos", F.lit(None).cast("int")), rows, ["url", "audio_url"], "pos")
-    children = done.select(F.posexplode("page.pages").alias("_p", "c"), F.col("url").alias("_u")).select(F.struct("_u", "_p").alias("pos"), "c.url", "c.type_")
-    visited = visit(tables["visited"], urls)
+    visited = visit(tables["visited"], urls, tops.get("visited"))
+    children = page_children(parsed) if children is None else children
     return {
-        "audios": frontier.with_ids(audios, ["url", "pos"]).drop("pos"), "visited": visited,
-        "queue": clear(frontier.enqueue(tables["queue"], children, visited), urls, ["url"]),
+        "audios": frontier.with_ids(audios, ["url", "pos"], tops.get("audios")).drop("pos"), "visited": visited,
+        "queue": clear(frontier.enqueue(tables["queue"], children, visited, tops.get("queue")), urls, ["url"]),
         "page_outcomes": last_wins(tables["page_outcomes"], html.outcome_rows(done, now), ["url"], "checked_at"),
         "retry_schedule": clear(tables["retry_schedule"], urls.withColumn("kind", F.lit("page")), ["kind", "url"]),
     }
 
 
-def visit(visited: DataFrame, urls: DataFrame) -> DataFrame:
+def visit(visited: DataFrame, urls: DataFrame, top: int | None = None) -> DataFrame:
     """visited with the urls that it does not have, numbered in their order."""
     from siltstone.operators import frontier
 
-    return frontier.with_ids(first_wins(visited, urls.select(F.lit(None).cast("long").alias("id"), "url"), ["url"], "url"), ["url"])
+    return frontier.with_ids(first_wins(visited, urls.select(F.lit(None).cast("long").alias("id"), "url"), ["url"], "url"), ["url"], top)
 
 
-def save_search(items: DataFrame, source: DataFrame, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def save_search(items: DataFrame, source: DataFrame, tables: dict[str, DataFrame], tops: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """The next visited, queue and retry tables after search pages (source: url) with items (pos, url, type_)."""
     from siltstone.operators import frontier
 
+    tops = tops or {}
     return {
-        "visited": visit(tables["visited"], source.select("url")),
-        "queue": frontier.enqueue(tables["queue"], items, tables["visited"]),
+        "visited": visit(tables["visited"], source.select("url"), tops.get("visited")),
+        "queue": frontier.enqueue(tables["queue"], items, tables["visited"], tops.get("queue")),
         "retry_schedule": clear(tables["retry_schedule"], source.select("url", F.lit("search").alias("kind")), ["kind", "url"]),
     }
 

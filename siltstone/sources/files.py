@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,12 +54,9 @@ def conform(df: DataFrame, schema: str) -> DataFrame:
 
 def read_state(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A state table, empty if it is not there yet."""
-    try:
-        return conform(spark.read.option("mergeSchema", "true").parquet(f"{folder}/{name}"), SCHEMAS[name])
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    if not path_exists(spark, f"{folder}/{name}"):
         return spark.createDataFrame([], SCHEMAS[name])
+    return conform(spark.read.option("mergeSchema", "true").parquet(f"{folder}/{name}"), SCHEMAS[name])
 
 
 def read_json(spark: SparkSession, path: str, schema: str, required: str) -> DataFrame:
@@ -80,17 +77,35 @@ def url_list(spark: SparkSession, path: str) -> DataFrame:
     return urls.groupBy("url").agg(F.min("pos").alias("pos")).select("pos", "url")
 
 
-def write_snapshots(pages: DataFrame, folder: str) -> None:
-    """Pages (url, html) by the name that their url has."""
+def snapshot_path(url: Column) -> Column:
+    """Where a page's snapshot lies: a folder by the first letters of its name, and the name, which the url's hash makes."""
     from siltstone.functions.text import snapshot_name
 
-    pages.select(snapshot_name(F.col("url")).alias("name"), "url", "html").write.mode("overwrite").parquet(folder)
+    name = snapshot_name(url)
+    return F.concat(F.lit("prefix="), F.substring(name, 1, 2), F.lit("/"), name)
 
 
-def receipts_with_files(receipts: DataFrame, files: DataFrame) -> DataFrame:
-    """Receipts (with file, relative) joined with a binaryFile listing (path, length, content) of one root."""
-    from siltstone.functions.media import audio_extension
+def write_snapshots(pages: DataFrame, folder: str) -> int:
+    """Pages (url, html) by the names that their urls have, one of each; what is there already is not written again. Returns how many were new."""
+    spark = pages.sparkSession
+    where = F.split(snapshot_path(F.col("url")), "/")
+    rows = pages.dropDuplicates(["url"]).select(F.substring(F.get(where, 0), 8, 2).alias("prefix"), F.get(where, 1).alias("name"), "url", "html")
+    if rows.isEmpty():
+        return 0
+    there = read_snapshots(spark, folder).select("prefix", "name")  # names only, of the folders that occur
+    fresh = stored(rows.join(there, ["prefix", "name"], "left_anti"), "snapshots")
+    fresh.repartition("prefix").write.mode("append").partitionBy("prefix").parquet(folder)
+    return fresh.count()
 
-    root = F.regexp_extract("path", r"([^/]+/[^/]+)$", 1)
-    there = files.select(root.alias("file"), F.col("length").alias("length"), audio_extension(F.substring("content", 1, 4096)).alias("extension"))
-    return receipts.join(there, "file", "left")
+
+def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """name, url, html, prefix of the snapshots."""
+    schema = "name string, url string, html string, prefix string"
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
