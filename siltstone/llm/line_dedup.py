@@ -2,7 +2,7 @@
 
 A line's tokens are its word 5-grams; a line of fewer words has its whole word sequence as its only
 token, so that of short lines equal ones are similar. Tokens are ordered by rarity: by how often their
-bucket of a table of fixed size was counted over all lines, then by hash, so that the order is the same
+bucket of a table of fixed size was counted over all different lines, then by hash, so that the order is the same
 for all lines. A line is listed under its rarest tokens, so many that two similar
 lines share one of them. Lines of one list meet if length and token positions allow the similarity, and
 then whole sets decide. A line goes if an earlier line, by document id and line number, is equal or
@@ -123,10 +123,10 @@ _LINE, _TO = ["doc_id", "no"], ["to_id", "to_no"]
 
 def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines: int, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, no, k1 of the lines that are similar to an earlier one, those equal to an earlier one aside."""
-    rarity = rarity_table(lines)
     # A line listed once at most: there are fewer than HOT_PART such keys.
     hot = F.broadcast(equal.where(F.col("c") > max(HOT_PART, n_lines) / HOT_PART).select("k1", "k2", "d", "m"))
-    once = lines.join(hot, ["k1", "k2"], "left").where("d is null or (d = doc_id and m = no)")
+    once = _without(lines, copies).join(hot, ["k1", "k2"], "left").where("d is null or (d = doc_id and m = no)")
+    rarity = rarity_table(once)
     worded = with_tokens(once.select(*_LINE, "w"), rarity)
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, _prefix(n, num, den))
@@ -196,6 +196,16 @@ def _chosen(rows: DataFrame, places: DataFrame) -> DataFrame:
     return rows.where(may_hold(id_filter(places.select(place.alias("id")), words), place, words))
 
 
+def _without(lines: DataFrame, copies: DataFrame) -> DataFrame:
+    """The lines without the copies, but for a few of these: by a bit filter of the copies and one of the others that it holds by chance. No line is exchanged."""
+    place = F.xxhash64(*_LINE)
+    words = min(MOST_FILTER_WORDS, max(FILTER_WORDS, 1 << max(0, copies.count() // 2).bit_length()))
+    bits = id_filter(copies.select(place.alias("id")), words)
+    spared = materialize(lines.select(*_LINE).where(may_hold(bits, place, words)).join(copies.select(*_LINE), _LINE, "left_anti"), "line-spared")
+    again = id_filter(spared.select(place.alias("id")), words)
+    return lines.where(~may_hold(bits, place, words) | may_hold(again, place, words))
+
+
 def _sets(lines: DataFrame, places: DataFrame) -> DataFrame:
     """doc_id, no, k1, set of the lines at the places: distinct hashes of their tokens."""
     held = with_hashes(_chosen(lines, places).select(*_LINE, "k1", "w"))
