@@ -328,28 +328,29 @@ class _Anchors(HTMLParser):
                 self.hrefs.append(href or "")
 
 
-LINKS = "struct<base:struct<url:string,plain:string,scheme:string,netloc:string,path:string>,links:array<struct<href:string,url:string,plain:string,scheme:string,netloc:string,path:string>>>"
+def anchors(html: str | None) -> list[str]:
+    """The references of a page's anchors, in order, as they are written."""
+    found = _Anchors()
+    found.feed(html or "")
+    found.close()
+    return found.hrefs
 
 
 def page_links(html: str | None, url: str | None) -> dict:
     """The page's own resolved url, and every anchor's reference with the url that it resolves to (null parts if it is none)."""
-    found = _Anchors()
-    found.feed(html or "")
-    found.close()
     names, none = ("url", "plain", "scheme", "netloc", "path"), (None,) * 5
     parts = lambda href: dict(zip(names, (split_resolved(url, href) if url is not None else None) or none, strict=True))
-    return {"base": parts(""), "links": [{"href": h} | parts(h) for h in found.hrefs]}
+    return {"base": parts(""), "links": [{"href": h} | parts(h) for h in anchors(html)]}
 
 
-def parse_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """The pages with a struct ``found`` of links in place of the html."""
-    keep = [c for c in pages.columns if c != html_col]
+def parse_anchors(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """The pages with hrefs, the references of their anchors, in place of the html. What they resolve to is left to ``urls.resolve``."""
 
-    @F.pandas_udf(LINKS)
-    def links(html: pd.Series, url: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([page_links(h, u) for h, u in zip(html, url, strict=True)])
+    @F.pandas_udf("array<string>")
+    def read(html: pd.Series) -> pd.Series:
+        return html.map(anchors)
 
-    return pages.select(*keep, links(F.col(html_col), F.col(url_col)).alias("found"))
+    return pages.select(*[c for c in pages.columns if c != html_col], read(F.col(html_col)).alias("hrefs"))
 
 
 def parse_searches(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:

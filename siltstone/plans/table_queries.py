@@ -24,10 +24,11 @@ def query(sql: str | None = None):
 
 
 def page_links(spark, d):
-    """page_id, source and the resolved link of every anchor of the pages."""
-    parsed = html.parse_links(load(spark, d, "pages").select("page_id", "url", "html"))
-    rows = parsed.select("page_id", F.col("url").alias("source"), F.col("found.base").alias("base"), F.posexplode("found.links").alias("pos", "to"))
-    return rows.select("page_id", "source", "pos", "to", "base")
+    """page_id, source, place and reference of every anchor of the pages, the url that it resolves to, and the page's own."""
+    rows = html.parse_anchors(load(spark, d, "pages").select("page_id", "url", "html"))
+    # Outer, since an inner explode would have the pages parsed once more, to leave out those without links.
+    rows = rows.select("page_id", F.col("url").alias("source"), F.posexplode_outer("hrefs").alias("pos", "href")).where("href is not null")
+    return rows.select("*", urls.resolve("source", "href").alias("to"), urls.resolve("source", F.lit("")).alias("base"))
 
 
 _LINKS = """links as (select page_id, url as source, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) as site,
