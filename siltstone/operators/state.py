@@ -14,9 +14,9 @@ from siltstone.functions.text import cut_error
 
 
 def last_wins(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Rows of new replace those of old; among the rows of one key the largest order counts."""
+    """Rows of new replace those of old; among the rows of one key the largest order counts, and of equal ones the larger values."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_new"), F.desc(order)))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_new"), F.desc(order), *[F.desc(c) for c, kind in both.dtypes if c not in ("_new", order) and not kind.startswith("map")]))
     return both.withColumn("_n", first).where("_n = 1").drop("_n", "_new")
 
 
@@ -46,7 +46,54 @@ def folded(events: DataFrame, keys: list[str], at: str = "at", event_id: str | N
     """Failures of each key: how many, and the last one's values; a repeated event id counts once."""
     if event_id:
         events = events.dropDuplicates([event_id])
-    return events.groupBy(*keys).agg(F.count("*").alias("n"), F.max_by(F.struct(*[c for c in events.columns if c not in keys]), at).alias("last"))
+    # Of equal times the larger event id is the later one; without ids, the larger values, so that the result does not hang on places.
+    values = F.struct(*[c for c in events.columns if c not in keys])
+    return events.groupBy(*keys).agg(F.count("*").alias("n"), F.max_by(values, F.struct(F.col(at), F.col(event_id) if event_id else values)).alias("last"))
+
+
+LOG = "kind string, url string, attempts long, at double, last_id long, delay long, error string, cleared_at double, cleared_id long"
+SEEN = "event_id long"
+
+
+def fold_log(log: DataFrame, seen: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The next log and seen event ids after events (event_id, kind, url, at, cleared, delay, error), in the order of (at, event_id).
+
+    A clearing forgets a key's failures before it; log has, of each key, how many there were since, the last one's values, and the last
+    clearing. Events whose id was seen, in this batch or an earlier one, and failures from before the last clearing count nothing, so that
+    batches may be repeated or come late; only a clearing that falls among failures already counted leaves them all counted. Both steps
+    are aggregates: no key's events come together in one place.
+    """
+    keys = ["kind", "url"]
+    events = events.dropDuplicates(["event_id"]).join(seen, "event_id", "left_anti")
+    when = F.struct(F.col("at").cast("double").alias("at"), F.col("event_id").cast("long").alias("id"))
+    clearings = events.where("cleared").groupBy(*keys).agg(F.max(when).alias("c"))
+    held = log.where("cleared_at is not null").select(*keys, F.struct(F.col("cleared_at").alias("at"), F.col("cleared_id").alias("id")).alias("c"))
+    last = clearings.unionByName(held).groupBy(*keys).agg(F.max("c").alias("c"))
+    failed = events.where("not cleared").join(last, keys, "left").where(F.col("c").isNull() | (when > F.col("c")))
+    counted = failed.groupBy(*keys).agg(F.count("*").alias("n"), F.max_by(F.struct(F.col("at").cast("double").alias("at"), F.col("event_id").cast("long").alias("last_id"), F.col("delay").cast("long").alias("delay"), "error"), when).alias("f"))
+    both = counted.join(last.withColumnRenamed("c", "new"), keys, "full_outer").join(log, keys, "full_outer")
+    at_last = F.struct(F.col("at"), F.col("last_id").alias("id"))
+    # What the log counted before goes if a clearing has come after its last failure.
+    stays = F.col("at").isNotNull() & ~F.coalesce(F.col("new") > at_last, F.lit(False))
+    before = F.when(stays, F.col("attempts")).otherwise(0)
+    later = F.col("f").isNotNull() & (~stays | (F.struct(F.col("f")["at"].alias("at"), F.col("f")["last_id"].alias("id")) > at_last))
+    pick = lambda c: F.when(later, F.col("f")[c]).when(stays, F.col(c)).alias(c)
+    out = both.select(*keys, (before + F.coalesce("n", F.lit(0))).cast("long").alias("attempts"), pick("at"), pick("last_id"), pick("delay"), pick("error"), F.coalesce(F.col("new")["at"], F.col("cleared_at")).alias("cleared_at"), F.coalesce(F.col("new")["id"], F.col("cleared_id")).alias("cleared_id"))
+    return out, seen.select("event_id").unionByName(events.select("event_id"))
+
+
+def log_schedule(log: DataFrame, base: Column | None = None) -> DataFrame:
+    """The retry schedule (kind, url, attempts, next_attempt, error) that a log stands for."""
+    due = backoff.next_attempt(F.col("at"), F.col("delay"), F.col("attempts"), base)
+    return log.where("attempts > 0").select("kind", "url", F.col("attempts").cast("int").alias("attempts"), due.alias("next_attempt"), cut_error(F.col("error")).alias("error"))
+
+
+def attempts_history(events: DataFrame) -> DataFrame:
+    """Every event (event_id, kind, url, at, cleared) with segment, how many clearings its key has had up to it, and attempts, the failures since the last one."""
+    every = Window.partitionBy("kind", "url").orderBy("at", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = events.dropDuplicates(["event_id"]).withColumn("segment", F.sum(F.col("cleared").cast("long")).over(every))
+    since = Window.partitionBy("kind", "url", "segment").orderBy("at", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("attempts", F.sum((~F.col("cleared")).cast("long")).over(since))
 
 
 def defer(schedule: DataFrame, failures: DataFrame, base: Column | None = None, event_id: str | None = None) -> DataFrame:
