@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siltstone.functions import http
+from siltstone.sources import files
 
 # Phrases of challenge pages, and of error pages sent instead of media.
 CHALLENGES = ("challenge", "verify you are human", "checking your browser", "just a moment")
@@ -153,8 +154,15 @@ def follow_redirects(requests, redirects, most: int = 9):
             F.when(goes, F.col("_error")).otherwise(F.col("error")).alias("error"),
         )
 
-    for _ in range(max(1, (most - 1).bit_length())):
-        jump = after(jump, jump)
+    # Each doubling is stored, as it is read twice by the next one; where no redirect leads to another any more, the rest is spared.
+    jump = files.stored(jump, "jumps")
+    hops = lambda: jump.agg(F.sum("hops")).first()[0]
+    taken = hops()
+    for _ in range(max(1, (most - 1).bit_length()) if taken else 0):
+        jump, before = files.stored(after(jump, jump), "jumps"), taken
+        taken = hops()
+        if taken == before:
+            break
     start = requests.select("url", F.col("url").alias("at"), F.lit(0).alias("hops"), F.lit(None).cast("string").alias("error"))
     found = after(start, jump)
     error = F.when(F.col("hops") >= most, "too many redirects").otherwise(F.col("error"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import urls
@@ -145,15 +145,39 @@ def size_pass(spark: SparkSession, probes: DataFrame, folder: str, now: float, r
     return True
 
 
+def _pause(held: dict[str, DataFrame]) -> Column:
+    return F.lit(held["crawl_state"].where("key = 'pause_until'").agg(F.max("value")).first()[0]).cast("double")
+
+
+def next_size(held: dict[str, DataFrame]) -> float | None:
+    return reports.next_deadline(held["audio_sizes"].where("status = 'retry'"), _pause(held)).first()[0]
+
+
+def next_download(held: dict[str, DataFrame], root: str | None = None, languages: list[str] | None = None) -> float | None:
+    rows = reports.of_root(held["downloads"], root).where("status = 'retry'")
+    if languages is not None:
+        rows = rows.join(reports.language_media(held["audios"], languages), "audio_url", "left_semi")
+    return reports.next_deadline(rows, _pause(held)).first()[0]
+
+
 def next_deadline(spark: SparkSession, folder: str) -> float | None:
     """When there is something to try again, a pause considered; None if there is nothing."""
     held = tables(spark, folder)
-    pause = held["crawl_state"].where("key = 'pause_until'").agg(F.max("value")).first()[0]
-    due = [held["retry_schedule"], held["audio_sizes"].where("status = 'retry'"), held["downloads"].where("status = 'retry'")]
-    found = [reports.next_deadline(t, F.lit(pause).cast("double")).first()[0] for t in due]
+    found = [reports.next_deadline(held["retry_schedule"], _pause(held)).first()[0], next_size(held), next_download(held)]
     return min((x for x in found if x is not None), default=None)
 
 
+def reset_pass(spark: SparkSession, folder: str, root: str, languages: list[str] | None = None) -> None:
+    """Failed downloads of the root, of the languages if given, are pending again."""
+    store = Versions(spark, folder)
+    held = store.latest()
+    chosen = reports.language_media(held.read("audios"), languages)
+    failed = reports.of_root(held.read("downloads"), root).where("status in ('retry', 'suspended', 'invalid')")
+    own = held.touched((failed if chosen is None else failed.join(chosen, "audio_url", "left_semi")).select("audio_url"))
+    if own:
+        store.commit(held, {"downloads": (own, state.reset_failed(held.read("downloads", own), chosen, root))})
+
+
 def download_pass(spark: SparkSession, responses: DataFrame, folder: str, root: str, now: float, languages: list[str] | None = None, limit: int | None = None) -> bool:
     """One pass over stored media responses, for the jobs that are pending or due in the root; whether it ran, which it does not while a pause lasts."""
     store = Versions(spark, folder)

@@ -1,4 +1,4 @@
-"""Queries over rows given as literals, the same in Spark and in the oracle."""
+"""Cases given as literals, the same in Spark and in the oracle: run by the tests, and over all orders by case_queries. None reads a table, so none is registered."""
 
 from __future__ import annotations
 

@@ -205,12 +205,6 @@ def upsert_last_wins(spark, d):
     return state.last_wins(old, new, ["url"], "checked_at")
 
 
-@query("select count(*) as n from (select url from pages where page_id % 2 = 0 union select url from pages where page_id % 3 = 0)")
-def add_visited(spark, d):
-    pages = load(spark, d, "pages")
-    return state.first_wins(pages.where("page_id % 2 = 0").select("url"), pages.where("page_id % 3 = 0").select("url"), ["url"], "url").agg(F.count("*").alias("n"))
-
-
 @query("select count(*) as n from (select distinct url from pages)")
 def add_visited_pages(spark, d):
     pages = load(spark, d, "pages")
@@ -302,16 +296,6 @@ def pause_gate_closed(spark, d):
     return rows.agg(F.count("*").alias("n")).select("n", shown.scalar().cast("int").alias("unpaused"))
 
 
-_GRAPH = "edges as (select distinct o_custkey % 997 as a, (o_orderkey * 7 + o_custkey) % 997 as b from orders where o_orderkey % 5 = 0)"
-
-
-@query(f"with recursive {_GRAPH}, r as (select 1 as n union select e.b from r join edges e on e.a = r.n) select count(*) as reached, cast(sum(n) as bigint) as total from r")
-def reachability(spark, d):
-    edges = load(spark, d, "orders").where("o_orderkey % 5 = 0").select((F.col("o_custkey") % 997).cast("string").alias("src"), ((F.col("o_orderkey") * 7 + F.col("o_custkey")) % 997).cast("string").alias("dst"))
-    rows = frontier.reachable(spark.createDataFrame([("1",)], "url string"), edges, shared_folder(spark))
-    return rows.agg(F.count("*").alias("reached"), F.sum(F.col("url").cast("long")).alias("total"))
-
-
 # The graph of all orders: it grows with the table, and each node is a customer that ten orders lead to.
 @query("with recursive edges as (select distinct o_custkey as a, o_orderkey // 10 as b from orders), r as (select 1 as n union select e.b from r join edges e on e.a = r.n) select count(*) as reached, cast(sum(n) as bigint) as total from r")
 def reachability_orders(spark, d):
@@ -325,12 +309,6 @@ def sha_names(spark, d):
     return load(spark, d, "pages").select("page_id", text.snapshot_name(F.col("url")).alias("name"), F.substring(F.sha2("url", 256), 1, 32).alias("key"))
 
 
-@query(r"""select doc_id, case when s = '' then 'inconnue' else s end as slug from (select doc_id,
-regexp_replace(substr(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(substr(replace(text, 'ß', ''), 1, 60)), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 48), '-+$', '') as s from documents)""")
-def slug_titles(spark, d):
-    return load(spark, d, "documents").select("doc_id", text.slug(F.substring(F.replace("text", F.lit("ß"), F.lit("")), 1, 60)).alias("slug"))
-
-
 # Whole texts; slug drops every sharp s, which strip_accents would spell out.
 @query(r"""select doc_id, case when s = '' then 'inconnue' else s end as slug from (select doc_id,
 regexp_replace(substr(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(replace(text, 'ß', '')), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 48), '-+$', '') as s from documents)""")

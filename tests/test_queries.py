@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from siltstone.plans import catalog
+from siltstone.plans import catalog, literal_queries
+
+QUERIES, ORACLE_SQL = catalog.QUERIES | literal_queries.QUERIES, catalog.ORACLE_SQL | literal_queries.ORACLE_SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -31,17 +33,18 @@ def rows(names, values):
     return [names[i] for i in order], sorted([[plain(r[i]) for i in order] for r in values], key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir, oracle):
-    df = catalog.QUERIES[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     got = rows(df.columns, df.collect())
-    want = oracle.sql(catalog.ORACLE_SQL[name])
+    want = oracle.sql(ORACLE_SQL[name])
     assert got == rows(want.columns, want.fetchall())
 
 
 def test_entry_names():
     import __spark_entry__ as entry
 
+    assert not set(literal_queries.QUERIES) & set(entry.queries())  # they read no table
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -153,3 +153,42 @@ def test_receipts_against_files(spark, tmp_path):
     assert got == {(True, "good"): ("done", 2), (True, "odd"): ("done", 2), (True, "short"): ("pending", 0), (True, "page"): ("pending", 0), (False, "short"): ("done", 0), (True, "tiny"): ("retry", 3)}
     assert {r.audio_url for r in held["audios"].where("file_name = ''").collect()} == {"short", "page"}
     assert crawl.repair_pass(spark, listing, said, folder, str(root)) == 0
+
+
+def test_watching_passes(monkeypatch):
+    """A watched command waits for what is due and goes on at that time, until nothing is due any more."""
+    from siltstone import cli
+
+    slept, clock = [], [100.0]
+    monkeypatch.setattr(cli.time, "time", lambda: clock[0])
+    monkeypatch.setattr(cli.time, "sleep", lambda s: (slept.append(s), clock.__setitem__(0, clock[0] + s)))
+    seen = []
+    for at in cli.passes(True, 100.0):
+        seen.append(at.now)
+        at.next = {100.0: 160.0, 160.0: 150.0}.get(at.now)
+        clock[0] += 5
+    assert seen == [100.0, 160.0, 165.0] and slept == [55.0, 0.0]
+    assert [at.now for at in cli.passes(False, 7.0)] == [7.0]
+
+
+def test_sizes_and_downloads_from_the_command_line(spark, tmp_path, capsys):
+    from siltstone import cli
+
+    folder, root = str(tmp_path / "state"), tmp_path / "out"
+    (root / "fr").mkdir(parents=True)
+    (root / "fr" / "a.mp3").write_bytes(b"ID3" + b"\0" * 10)
+    receipt(root, "a", "fr/a.mp3", 13)
+    audios = [(i, f"p{i}", n, "x", "t", "", lang, "", "", "", "") for i, (n, lang) in enumerate([("a", "fr"), ("b", "fr"), ("c", "en")])]
+    rows = [(str(root), "a", "done", "x", 13, 0, None, "", 1.0), (str(root), "b", "done", "y", 9, 1, None, "", 1.0), (str(root), "c", "suspended", None, None, 5, None, "", 1.0)]
+    store = Versions(spark, folder, buckets=4)
+    store.commit(store.latest(), {"audios": (None, spark.createDataFrame(audios, files.SCHEMAS["audios"])), "downloads": (None, spark.createDataFrame(rows, files.SCHEMAS["downloads"]))})
+    shown = lambda *args: (cli.main(["--now", "50", *args]), json.loads(capsys.readouterr().out))[1]
+    assert {r["status"]: r["n"] for r in shown("downloads", "--state", folder, "--output", str(root))} == {"done": 1, "pending": 1, "suspended": 1}  # b's file is not there
+    assert {r["status"]: r["n"] for r in shown("downloads", "--state", folder, "--output", str(root), "--retry-failed", "--languages", "en")} == {"done": 1, "pending": 2}
+    assert {r.audio_url for r in spark.read.json(f"{folder}/jobs").collect()} == {"c"}
+    probes = [("a", "HEAD", 200, {"Content-Type": "audio/mpeg", "Content-Length": "5"}), ("b", "HEAD", 503, {})]
+    spark.createDataFrame(probes, "audio_url string, method string, status int, headers map<string,string>").write.parquet(f"{tmp_path}/probes")
+    assert shown("sizes", "--state", folder, "--probes", f"{tmp_path}/probes", "--summary")["statuses"] == {"pending": 3}
+    assert shown("sizes", "--state", folder, "--probes", f"{tmp_path}/probes")["statuses"] == {"known": 1, "retry": 1, "pending": 1}
+    held = crawl.tables(spark, folder)
+    assert crawl.next_size(held) == 110.0 and crawl.next_download(held, str(root)) is None and crawl.next_deadline(spark, folder) == 110.0
