@@ -70,6 +70,36 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def write_documents(df: DataFrame, folder: str, name_col: str = "name") -> int:
+    """Each row as a JSON document of its own, named by a column and without it; returns how many.
+
+    Documents are written by tasks under a name that no reader looks at and renamed one by one, so that each is whole or not there, and
+    a task that runs again writes the same documents again. Of rows of one name the last one to be written stays.
+    """
+    spark, others = df.sparkSession, [c for c in df.columns if c != name_col]
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    base = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString().rstrip("/")
+    texts = df.where(F.col(name_col).isNotNull()).select(F.col(name_col).alias("name"), F.to_json(F.struct(*others), {"ignoreNullFields": "false"}).alias("text"))
+
+    def write(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        local = base.startswith("file:")
+        store, at = (fs.LocalFileSystem(), "/" + base.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(base)
+        for batch in batches:
+            for name, text in zip(batch["name"], batch["text"], strict=True):
+                place = f"{at}/{name}"
+                store.create_dir(place.rpartition("/")[0], recursive=True)
+                draft = f"{place.rpartition('/')[0]}/.{uuid.uuid4().hex}.draft"
+                with store.open_output_stream(draft) as out:
+                    out.write(text.encode())
+                store.move(draft, place)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return texts.mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def url_list(spark: SparkSession, path: str) -> DataFrame:
     """pos, url of a text file's lines, stripped, without blank ones, each url once at its first place."""
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("pos", "line"))
