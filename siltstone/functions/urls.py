@@ -12,21 +12,6 @@ from urllib.parse import urldefrag, urljoin, urlsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-RESOLVED = T.StructType([T.StructField(n, T.StringType()) for n in ("url", "plain", "scheme", "netloc", "path")])
-
-
-def split_resolved(base: str, href: str) -> tuple[str, str, str, str, str] | None:
-    """The reference's absolute url, the same without fragment, and that one's parts; None if it is no url."""
-    try:
-        url = urljoin(base, href)
-        plain = urldefrag(url)[0]
-        parts = urlsplit(plain)
-    except ValueError:
-        return None
-    return url, plain, parts.scheme, parts.netloc, parts.path
-
 
 #: Schemes whose references may be relative; those with an authority are the same here but for mms, rtsp and the like.
 RELATIVE = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
@@ -40,7 +25,7 @@ _PARTS = r"(?s)^(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
 
 def _let(x: Column, f: Callable[[Column], Column]) -> Column:
     """f of x, where x is worked out once however often f names it."""
-    return F.get(F.transform(F.array(x), f), 0)
+    return F.get(F.transform(F.array_repeat(x, 1), f), 0)  # of a literal array the optimizer would write f out
 
 
 def _clean(url: Column) -> Column:
@@ -151,111 +136,6 @@ def split_resolved(base: str, href: str) -> tuple[str, str, str, str, str] | Non
     return url, plain, parts.scheme, parts.netloc, parts.path
 
 
-#: Schemes whose references may be relative; those with an authority are the same here but for mms, rtsp and the like.
-RELATIVE = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
-AUTHORITY = (
-    "", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais", "file", "mms", "https", "shttp", "snews", "prospero", "rtsp", "rtsps", "rtspu", "rsync", "svn", "svn+ssh", "sftp", "nfs",
-    "git", "git+ssh", "ws", "wss", "itms-services",
-)
-PARAMETERS = ("", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp", "rtsps", "rtspu", "sip", "sips", "mms", "sftp", "tel")
-_PARTS = r"(?s)^(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
-
-
-def _clean(url: Column) -> Column:
-    """Without control characters and spaces before it, and without tabs and line ends."""
-    return F.translate(F.regexp_replace(url, "^[\\x00-\\x20]+", ""), "\t\r\n", "")
-
-
-def pieces(url: Column) -> Column:
-    """struct of scheme, netloc, path (its last segment without parameters), params, query and fragment, empty where there is none, and whole, the path as it is."""
-    clean = _clean(url)
-    scheme = F.regexp_extract(clean, "(?s)^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    rest = F.when(scheme == "", clean).otherwise(F.substr(clean, F.length(scheme) + 2))
-    at = lambda k: F.regexp_extract(rest, _PARTS, k)
-    kind, whole = F.lower(scheme), at(3)
-    cut = kind.isin(*PARAMETERS) & F.contains(whole, F.lit(";"))
-    path = F.when(cut, F.regexp_extract(whole, "(?s)^((.*/)?[^/;]*)", 1)).otherwise(whole)
-    params = F.when(cut, F.regexp_extract(whole, "(?s)^(.*/)?[^/;]*;([^/]*)$", 2)).otherwise("")
-    return F.struct(kind.alias("scheme"), at(2).alias("netloc"), path.alias("path"), params.alias("params"), at(5).alias("query"), at(7).alias("fragment"), whole.alias("whole"))
-
-
-def joined(scheme: Column, netloc: Column, path: Column, params: Column, query: Column, fragment: Column) -> Column:
-    """The url of its parts."""
-    path = F.when(params != "", F.concat(path, F.lit(";"), params)).otherwise(path)
-    rooted = F.when((path != "") & ~F.startswith(path, F.lit("/")), F.concat(F.lit("/"), path)).otherwise(path)
-    slashes = F.startswith(path, F.lit("//")) | ((scheme != "") & scheme.isin(*AUTHORITY) & ((path == "") | F.startswith(path, F.lit("/"))))
-    head = F.when(netloc != "", F.concat(F.lit("//"), netloc, rooted)).when(slashes, F.concat(F.lit("//"), path)).otherwise(path)
-    mark = lambda sign, x: F.when(x != "", F.concat(F.lit(sign), x)).otherwise("")
-    return F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""), head, mark("?", query), mark("#", fragment))
-
-
-def _merged(base: Column, path: Column) -> Column:
-    """The path of a reference below that of its base, without dot segments."""
-    own, of = F.split(path, "/"), F.split(base, "/")
-    # The base's last segment is replaced; empty segments between the first and the last go, but not those of a rooted reference.
-    above = F.when(F.element_at(of, -1) != "", F.slice(of, 1, F.size(of) - 1)).otherwise(of)
-    both = F.concat(above, own)
-    full = F.concat(F.slice(both, 1, 1), F.filter(F.slice(both, 2, F.greatest(F.size(both) - 2, F.lit(0))), lambda x: x != ""), F.slice(both, F.greatest(F.size(both), F.lit(1)), F.when(F.size(both) > 1, 1).otherwise(0)))
-    segments = F.when(F.startswith(path, F.lit("/")), own).otherwise(full)
-    none = F.array().cast("array<string>")
-    kept = F.aggregate(segments, none, lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.concat(done, F.array(x))))
-    kept = F.concat(kept, F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(none))
-    text = F.array_join(kept, "/")
-    return F.when(text == "", "/").otherwise(text)
-
-
-def _bad(netloc: Column) -> Column:
-    """Whether brackets are not those of an address."""
-    return netloc.rlike(r"[\[\]]") & ~netloc.rlike(r"^([^\[\]@]*@)?\[[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*\](:[0-9]*)?$")
-
-
-def resolve(base: Column | str, href: Column | str) -> Column:
-    """The reference's absolute url, the same without fragment (plain), and that one's scheme, netloc and path; null parts if it is no url."""
-    base, href = (F.col(x) if isinstance(x, str) else x for x in (base, href))
-    # Each step is the argument of the next one's lambda, so that it is worked out once.
-    step = lambda x, f: F.get(F.transform(F.array(x), f), 0)
-
-    def final(url: Column) -> Column:
-        def parts(p: Column) -> Column:
-            marked = F.contains(url, F.lit("#"))
-            plain = F.when(marked, joined(p["scheme"], p["netloc"], p["path"], p["params"], p["query"], F.lit(""))).otherwise(url)
-            path = F.when(marked & (p["params"] == ""), p["path"]).otherwise(p["whole"])
-            return F.when(~_bad(p["netloc"]), F.struct(url.alias("url"), plain.alias("plain"), p["scheme"].alias("scheme"), p["netloc"].alias("netloc"), path.alias("path")))
-
-        return step(pieces(url), parts)
-
-    def over(b: Column) -> Column:
-        def reference(r: Column) -> Column:
-            scheme = F.when(r["scheme"] == "", b["scheme"]).otherwise(r["scheme"])
-            foreign = (scheme != b["scheme"]) | ~scheme.isin(*RELATIVE)
-            authority = (r["netloc"] != "") & scheme.isin(*AUTHORITY)
-            netloc = F.when(scheme.isin(*AUTHORITY), b["netloc"]).otherwise(r["netloc"])
-            same = (r["path"] == "") & (r["params"] == "")
-            path = F.when(same, b["path"]).otherwise(_merged(b["path"], r["path"]))
-            params = F.when(same, b["params"]).otherwise(r["params"])
-            query = F.when(same & (r["query"] == ""), b["query"]).otherwise(r["query"])
-            return (
-                F.when(_bad(r["netloc"]) | _bad(b["netloc"]), F.lit(None).cast("string")).when(foreign, href)
-                .when(authority, joined(scheme, r["netloc"], r["path"], r["params"], r["query"], r["fragment"])).otherwise(joined(scheme, netloc, path, params, query, r["fragment"]))
-            )
-
-        return step(pieces(href), reference)
-
-    url = F.when(base == "", href).when(href == "", base).otherwise(step(pieces(base), over))
-    return F.when(base.isNotNull() & href.isNotNull(), step(url, final))
-
-
-def split_resolved(base: str, href: str) -> tuple[str, str, str, str, str] | None:
-    """The reference's absolute url, the same without fragment, and that one's parts; None if it is no url."""
-    try:
-        url = urljoin(base, href)
-        plain = urldefrag(url)[0]
-        parts = urlsplit(plain)
-    except ValueError:
-        return None
-    return url, plain, parts.scheme, parts.netloc, parts.path
-
-
 def same_site(link: Column, base: Column) -> Column:
     """Whether a resolved link is http and of the (resolved) base's host."""
     return link["scheme"].isin("http", "https") & (link["netloc"] == base["netloc"])
