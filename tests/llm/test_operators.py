@@ -457,6 +457,7 @@ def test_url_mining_equals_enumeration(spark):
         host, bad = rng.choice(["a.org", "b.org", "c.net", "www.d.com"]), rng.random() < 0.2
         path = "/".join(rng.choice(["x", "y", "win", "read", str(i)]) for _ in range(rng.randint(0, 3)))
         rows.append((f"http://{host}/{path}" + rng.choice(["", "?ref=1", "?id=2&ref=3"]), bad or ("win" in path and rng.random() < 0.6)))
+    rows += [(f"http://e.edu/{'y' * (i % 2)}", False) for i in range(150)]  # an allow rule that is no chance
     rows += [(None, True), ("http://x.org/", None)]
     rules = url_filter.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean"))
     want = brute_rules(rows, 20, url_filter.BLOCK_CONFIDENCE, url_filter.ALLOW_CONFIDENCE, url_filter.least_deviations(sets_looked_at(rows, 20, url_filter.RULE_ITEMS)), url_filter.RULE_ITEMS)
