@@ -107,7 +107,9 @@ def together(rows: DataFrame, least: int) -> dict[str, list[str]]:
 
     Rows are compared by their number and two sums of hashes. There are at most as many such items as a row has in the mean, times the rows, divided by least.
     """
-    each = rows.select(F.monotonically_increasing_id().alias("r"), F.explode("items").alias("item")).where(~F.col("item").isin(BLOCK, ALLOW))
+    # In a step of its own: beside the explode, each item would be numbered.
+    numbered = rows.select(F.monotonically_increasing_id().alias("r"), "items")
+    each = numbered.select("r", F.explode("items").alias("item")).where(~F.col("item").isin(BLOCK, ALLOW))
     sums = [F.sum(F.xxhash64(F.lit(k), "r").cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 2)]
     marks = each.groupBy("item").agg(F.count("*").alias("n"), *sums).where(F.col("n") >= least)
     groups = marks.groupBy("n", "s1", "s2").agg(F.array_sort(F.collect_list("item")).alias("items"))
