@@ -487,7 +487,7 @@ def test_url_mining_of_a_template(spark):
     keys = "&".join(f"k{i}=1" for i in range(30))
     rows = [(f"http://h{i % 7}.org/{'shop?' + keys if i % 2 else 'read'}", i % 2 == 1 and i % 10 > 1) for i in range(400)]
     rules = url_filter.mine_rules(spark.createDataFrame(rows, "url string, blocked boolean"))
-    (group,) = [g for r in rules if r["block"] for g in r["groups"].values()]
+    (group,) = {tuple(g) for r in rules if r["block"] for g in r["groups"].values()}  # several rules may name it
     assert len(group) == 31 and "q:k7" in group and "p:shop" in group
     urls = [f"http://x.org/a?k{i}=5" for i in range(30)] + ["http://x.org/read?z=1"]
     verdicts = [r.verdict for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules, listed=()).orderBy("page_id").collect()]
