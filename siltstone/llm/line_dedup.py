@@ -103,6 +103,11 @@ def equal_lines(lines: DataFrame) -> tuple[DataFrame, int]:
     return out, lines.count()  # of stored lines their files' footers tell the number
 
 
+def _words(lines: DataFrame) -> DataFrame:
+    """Words w in place of the line; lines are stored whole, since one string is written and read faster than its words."""
+    return lines.withColumn("w", F.split("line", " ")).drop("line")
+
+
 def rarity_table(lines: DataFrame) -> Column:
     """The rarity levels of the buckets of tokens, in the high bits of longs; a constant of fixed size. Lines are unfolded, so that hashing and counting are compiled together."""
     words, gram = F.col("w"), lambda k: F.get("w", F.col("i") + k)
@@ -126,8 +131,8 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     # A line listed once at most: there are fewer than HOT_PART such keys.
     hot = F.broadcast(equal.where(F.col("c") > max(HOT_PART, n_lines) / HOT_PART).select("k1", "k2", "d", "m"))
     once = _without(lines, copies).join(hot, ["k1", "k2"], "left").where("d is null or (d = doc_id and m = no)")
-    rarity = rarity_table(once)
-    worded = with_tokens(once.select(*_LINE, "w"), rarity)
+    rarity = rarity_table(_words(once.select("line")))
+    worded = with_tokens(_words(once.select(*_LINE, "line")), rarity)
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, _prefix(n, num, den))
     listed = worded.select(*_LINE, n.alias("n"), F.posexplode(prefix).alias("pos", "token"))
@@ -208,7 +213,7 @@ def _without(lines: DataFrame, copies: DataFrame) -> DataFrame:
 
 def _sets(lines: DataFrame, places: DataFrame) -> DataFrame:
     """doc_id, no, k1, set of the lines at the places: distinct hashes of their tokens."""
-    held = with_hashes(_chosen(lines, places).select(*_LINE, "k1", "w"))
+    held = with_hashes(_words(_chosen(lines, places).select(*_LINE, "k1", "line")))
     return materialize(held.select(*_LINE, "k1", F.array_distinct("hashes").alias("set")), "line-sets")
 
 
@@ -224,7 +229,7 @@ def _decided(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", num=NUM, den=DEN) -> DataFrame:
     """doc_id, no, k1: the places of lines that go."""
     lines = _lines(docs, id_col, text_col)
-    lines = materialize(lines.select(*_LINE, *_key(F.col("line")), F.split("line", " ").alias("w")), "lines")
+    lines = materialize(lines.select(*_LINE, *_key(F.col("line")), "line"), "lines")
     equal, n_lines = equal_lines(lines)
     copies = lines.select(*_LINE, "k1", "k2").join(equal, ["k1", "k2"]).where((F.col("doc_id") != F.col("d")) | (F.col("no") != F.col("m")))
     copies = materialize(copies.select(*_LINE, "k1"), "line-copies")
