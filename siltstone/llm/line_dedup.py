@@ -54,14 +54,13 @@ def _key(line: Column) -> tuple[Column, Column]:
 def with_hashes(rows: DataFrame) -> DataFrame:
     """Adds hashes of the tokens to rows with words w, in place of these.
 
-    Hashes of two, four and five words are made one from another. Each step is a column of its own: within
-    a lambda, an expression would be worked out anew for each element.
+    Hashes of five words are made of those of three pairs among them. The pairs are a column of their own:
+    within a lambda, an expression would be worked out anew for each element.
     """
-    size, pair = F.size("w"), lambda x, y: F.xxhash64(x, y)
-    rows = rows.withColumn("_two", F.zip_with("w", F.slice("w", 2, size), pair))
-    rows = rows.withColumn("_four", F.zip_with("_two", F.slice("_two", 3, size), pair))
-    rows = rows.withColumn("hashes", F.slice(F.zip_with("_four", F.slice("w", WORDS, size), pair), 1, F.greatest(size - (WORDS - 1), F.lit(1))))
-    return rows.drop("w", "_two", "_four")
+    size = F.size("w")
+    rows = rows.withColumn("_two", F.zip_with("w", F.slice("w", 2, size), lambda x, y: F.xxhash64(x, y)))
+    five = F.transform("_two", lambda x, i: F.xxhash64(x, F.get("_two", i + 2), F.get("_two", i + 3)))
+    return rows.withColumn("hashes", F.slice(five, 1, F.greatest(size - (WORDS - 1), F.lit(1)))).drop("w", "_two")
 
 
 def with_tokens(rows: DataFrame, rarity: Column) -> DataFrame:
@@ -112,7 +111,7 @@ def rarity_table(lines: DataFrame) -> Column:
     """The rarity levels of the buckets of tokens, in the high bits of longs; a constant of fixed size. Lines are unfolded, so that hashing and counting are compiled together."""
     words, gram = F.col("w"), lambda k: F.get("w", F.col("i") + k)
     each = lines.select("w", F.explode(F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0)))).alias("i"))
-    token = F.xxhash64(F.xxhash64(F.xxhash64(gram(0), gram(1)), F.xxhash64(gram(2), gram(3))), gram(4))
+    token = F.xxhash64(F.xxhash64(gram(0), gram(1)), F.xxhash64(gram(2), gram(3)), F.xxhash64(gram(3), gram(4)))
     levels = {r[0]: r[1] for r in each.groupBy(token.bitwiseAND(RARITY_BUCKETS - 1).alias("b")).agg(F.ceil(STEPS * F.log2(F.count("*") + 1)).cast("int")).collect()}
     return F.from_json(F.lit(json.dumps([levels.get(b, 0) << 54 for b in range(RARITY_BUCKETS)])), "array<bigint>")
 
