@@ -207,8 +207,12 @@ def upsert_last_wins(spark, d):
 
 @query("select count(*) as n from (select distinct url from pages)")
 def add_visited_pages(spark, d):
+    """Even pages are visited first, each url once; then the others, and every third page once more. Null urls, which equal nothing, count as one."""
     pages = load(spark, d, "pages")
-    return state.first_wins(pages.where("page_id % 2 = 0").select("url"), pages.where("page_id % 2 <> 0 or page_id % 3 = 0").select("url"), ["url"], "url").agg(F.count("*").alias("n"))
+    even = F.coalesce(F.col("page_id") % 2 == 0, F.lit(False))
+    visited = state.first_wins(pages.select("url").limit(0), pages.where(even).select("url"), ["url"], "url")
+    rows = state.first_wins(visited, pages.where(~even | (F.col("page_id") % 3 == 0)).select("url"), ["url"], "url")
+    return rows.agg((F.count("url") + F.coalesce(F.max(F.col("url").isNull().cast("long")), F.lit(0))).alias("n"))
 
 
 @query(f"""with {v.AUDIOS}, {v.DOWNLOADS}, x as (select *, output_root = 'r0' and status in ('retry', 'suspended', 'invalid') and audio_url in (select audio_url from audios where lang = 'de') as again from downloads)

@@ -63,3 +63,22 @@ def test_whole_tables_are_read(spark, tmp_path):
     assert catalog.QUERIES["reachability_orders"](spark, str(tmp_path)).first()[:] == (len(want), sum(want))
     spark.createDataFrame([(i, f"u{i}") for i in range(60)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
     assert catalog.QUERIES["add_visited_pages"](spark, str(tmp_path)).first().n == 60
+
+
+def equals_sql(spark, folder, name):
+    """Whether a query equals its SQL on the tables in the folder."""
+    db = duckdb.connect()
+    for t in os.listdir(folder):
+        db.execute(f"create view {t.removesuffix('.parquet')} as select * from '{folder}/{t}/*.parquet'")
+    df, want = QUERIES[name](spark, str(folder)), db.sql(ORACLE_SQL[name])
+    return rows(df.columns, df.collect()) == rows(want.columns, want.fetchall())
+
+
+PAGES = "page_id long, url string, html string"
+
+
+def test_visited_pages_that_share_a_url(spark, tmp_path):
+    pages = [(2, "a", ""), (4, "a", ""), (6, "b", ""), (1, "b", ""), (3, "c", ""), (9, "c", ""), (5, None, ""), (8, None, ""), (None, "d", "")]
+    spark.createDataFrame(pages, PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    assert QUERIES["add_visited_pages"](spark, str(tmp_path)).first().n == 5
+    assert equals_sql(spark, tmp_path, "add_visited_pages")
