@@ -59,7 +59,13 @@ def url_parts(spark, d):
     return load(spark, d, "pages").select("page_id", "url").select("page_id", at.alias("at")).select("page_id", "at.scheme", "at.netloc", "at.path", "at.plain")
 
 
-@query("""select page_id, trim(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) as title from pages""")
+# References as HTML reads them: the semicolon may be missing, as where a page cut one short; that of & comes last.
+_TITLE = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
+for _ref, _sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#x27", "''"), ("amp", "&")):
+    _TITLE = f"regexp_replace({_TITLE}, '&{_ref};?', '{_sign}', 'g')"
+
+
+@query(f"select page_id, trim({_TITLE}) as title from pages")
 def page_title(spark, d):
     return html.parse_pages(load(spark, d, "pages")).select("page_id", F.col("page.h1").alias("title"))
 

@@ -82,3 +82,11 @@ def test_visited_pages_that_share_a_url(spark, tmp_path):
     spark.createDataFrame(pages, PAGES).write.parquet(f"{tmp_path}/pages.parquet")
     assert QUERIES["add_visited_pages"](spark, str(tmp_path)).first().n == 5
     assert equals_sql(spark, tmp_path, "add_visited_pages")
+
+
+def test_titles_with_references_cut_short(spark, tmp_path):
+    titles = ["a &amp;&amp;amp; b&amp", "x &lt y &lt;&gt", "&quot;q&quot &#x27;s&#x27", "cut &am", "&amp;lt;"]
+    spark.createDataFrame([(i, f"u{i}", f"<html><h1>{t}</h1></html>") for i, t in enumerate(titles)], PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.title for r in QUERIES["page_title"](spark, str(tmp_path)).collect()}
+    assert got == {0: "a &&amp; b&", 1: "x < y <>", 2: "\"q\" 's'", 3: "cut &am", 4: "&lt;"}
+    assert equals_sql(spark, tmp_path, "page_title")
