@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from siltstone.functions import text, urls
@@ -319,9 +321,21 @@ def sha_names(spark, d):
     return load(spark, d, "pages").select("page_id", text.snapshot_name(F.col("url")).alias("name"), F.substring(F.sha2("url", 256), 1, 32).alias("key"))
 
 
-# Whole texts; slug drops every sharp s, which strip_accents would spell out.
-@query(r"""select doc_id, case when s = '' then 'inconnue' else s end as slug from (select doc_id,
-regexp_replace(substr(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(replace(text, 'ß', '')), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 48), '-+$', '') as s from documents)""")
+def _compatible() -> tuple[str, str]:
+    """SQL: a class of the characters that NFKD, but not the removal of accents, takes to ASCII; and a map to what it makes of them."""
+    ascii_of = lambda form, c: unicodedata.normalize(form, c).encode("ascii", "ignore").decode()
+    made = {c: ascii_of("NFKD", c) for c in map(chr, range(0x80, 0x20000)) if not 0xD800 <= ord(c) < 0xE000}
+    made = {c: x for c, x in made.items() if x != ascii_of("NFD", c)}
+    return "[" + "".join(rf"\x{{{ord(c):x}}}" for c in made) + "]", "map {" + ", ".join(f"'{c}': '{x.replace(chr(39), chr(39) * 2)}'" for c, x in made.items()) + "}"
+
+
+_COMPATIBLE, _ASCII = _compatible()
+_PLAIN = rf"""case when regexp_matches(text, '{_COMPATIBLE}') then array_to_string(list_transform(regexp_extract_all(text, '(?s).'), lambda c: coalesce(({_ASCII})[c], c)), '') else text end"""
+
+
+# Whole texts, compatible letters spelt out and accents removed; slug drops every sharp s, which strip_accents would spell out. Names of devices get a prefix.
+@query(rf"""select doc_id, case when s = '' then 'inconnue' when regexp_full_match(s, '{text.DEVICES}') then 'lang-' || s else s end as slug from (select doc_id,
+regexp_replace(substr(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(regexp_replace({_PLAIN}, '[ßẞ]', '', 'g')), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 48), '-+$', '') as s from documents)""")
 def slug_texts(spark, d):
     return load(spark, d, "documents").select("doc_id", text.slug(F.col("text")).alias("slug"))
 

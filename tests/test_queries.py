@@ -90,3 +90,11 @@ def test_titles_with_references_cut_short(spark, tmp_path):
     got = {r.page_id: r.title for r in QUERIES["page_title"](spark, str(tmp_path)).collect()}
     assert got == {0: "a &&amp; b&", 1: "x < y <>", 2: "\"q\" 's'", 3: "cut &am", 4: "&lt;"}
     assert equals_sql(spark, tmp_path, "page_title")
+
+
+def test_slugs_of_devices_and_compatible_letters(spark, tmp_path):
+    texts = ["Con.", "ñ COM1 ß", "com10", "ﬁn ² ½", "ｃｏｎ", "Ⅷ＇ẞ STRAẞE", "á b", "ﬁ\nｅ", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.slug for r in QUERIES["slug_texts"](spark, str(tmp_path)).collect()}
+    assert got == {0: "lang-con", 1: "n-com1", 2: "com10", 3: "fin-2-12", 4: "lang-con", 5: "viii-strae", 6: "a-b", 7: "fi-e", 8: "inconnue", 9: None}
+    assert equals_sql(spark, tmp_path, "slug_texts")
