@@ -206,7 +206,10 @@ def dedupe_media(spark, d):
     return state.first_wins(rows.limit(0), rows, ["url", "audio_url"], "id").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
 
-@query(f"with {v.OUTCOMES} select url, case when page_id % 3 = 0 then 'exploitable' else status end as status, '' as detail, case when page_id % 3 = 0 then page_id + 1e6 else cast(page_id as double) end as checked_at from page_outcomes")
+# One row of each url: a new one if there is any, of several the last checked, of equal times the larger status.
+@query(f"""with {v.OUTCOMES}, written as (select url, status, '' as detail, cast(page_id as double) as checked_at, 0 as new from page_outcomes
+union all select url, 'exploitable', '', page_id + 1e6, 1 from page_outcomes where page_id % 3 = 0)
+select url, status, detail, checked_at from (select *, row_number() over (partition by url order by new desc, checked_at desc nulls last, status desc) as n from written) where n = 1""")
 def upsert_last_wins(spark, d):
     old = v.page_outcomes(spark, d)
     new = old.where("checked_at % 3 = 0").withColumns({"status": F.lit("exploitable"), "checked_at": F.col("checked_at") + 1e6})

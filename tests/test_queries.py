@@ -98,3 +98,11 @@ def test_slugs_of_devices_and_compatible_letters(spark, tmp_path):
     got = {r.doc_id: r.slug for r in QUERIES["slug_texts"](spark, str(tmp_path)).collect()}
     assert got == {0: "lang-con", 1: "n-com1", 2: "com10", 3: "fin-2-12", 4: "lang-con", 5: "viii-strae", 6: "a-b", 7: "fi-e", 8: "inconnue", 9: None}
     assert equals_sql(spark, tmp_path, "slug_texts")
+
+
+def test_outcomes_of_pages_that_share_a_url(spark, tmp_path):
+    pages = [(1, "a", "</html>"), (3, "a", ""), (4, "a", ""), (2, "b", ""), (7, "b", "</html>"), (6, "c", ""), (9, "c", ""), (5, "d", ""), (None, "d", ""), (8, None, ""), (11, None, ""), (10, "e", ""), (10, "e", "</html>")]
+    spark.createDataFrame(pages, PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.url: r.checked_at for r in QUERIES["upsert_last_wins"](spark, str(tmp_path)).collect()}
+    assert got == {"a": 1_000_003.0, "b": 7.0, "c": 1_000_009.0, "d": 5.0, None: 11.0, "e": 10.0}
+    assert equals_sql(spark, tmp_path, "upsert_last_wins")
