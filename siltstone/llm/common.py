@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.sources.files import shared_folder
+from siltstone.sources.files import bound_batches, shared_folder
 
 #: The white space that the operators split words at, as a Java regex class body.
 SPACE = r"\x20\x09-\x0D"
@@ -50,19 +50,9 @@ def release(spark: SparkSession) -> None:
 _shipped: set[str] = set()
 
 
-#: Bytes of an Arrow batch at most, but for one larger row.
-BATCH_BYTES = 8 << 20
-
-
 def prepare(spark: SparkSession, rows: int = 500) -> None:
-    """For operators that run Python on executors: sends them the package, and bounds what an Arrow batch of whole texts holds.
-
-    Spark reads these bounds when a result is used, so they stay set in the session; larger ones only are lowered.
-    """
-    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BATCH_BYTES)):
-        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(f"spark.sql.execution.arrow.{name}"))
-        if now <= 0 or now > most:
-            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+    """For operators that run Python on executors: sends them the package, and bounds what an Arrow batch of whole texts holds."""
+    bound_batches(spark, rows)
     context = spark.sparkContext
     package = Path(__file__).resolve().parent.parent
     if context.applicationId not in _shipped and package.is_dir():

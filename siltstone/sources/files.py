@@ -24,6 +24,18 @@ RECEIPT = "audio_url string, file string, size_bytes long, final_url string, com
 CHECKPOINT = "audio_url string, etag string, final_url string, total long"
 
 
+#: Rows and bytes of an Arrow batch at most, but for one larger row.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+
+
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Bounds what an Arrow batch of whole texts holds. Spark reads the bounds when a result is used, so they stay set in the session; larger ones only are lowered."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(f"spark.sql.execution.arrow.{name}"))
+        if now <= 0 or now > most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -95,3 +95,25 @@ def test_challenge():
     shape = lambda *x, url="https://h.org/a": html.page_record(page.format(*x), url)["challenge"]
     assert shape("5", "?1", "") and shape(" 2.5 ", "?k=v", "")
     assert not shape("61", "?1", "") and not shape("x", "?1", "") and not shape("5", "", "") and not shape("5", "?1", "<script></script>") and not shape("5", "?1", "", url="http://h.org/a")
+
+
+def test_pages_are_read_once_in_bounded_batches(spark):
+    rows = spark.createDataFrame([(i, f"{BASE}/{i}", PAGE.format('<video><source src="/a.mp3" type="audio/mp3"></video>')) for i in range(150)] + [(150, None, None)], "no int, url string, html string")
+    media = html.media_rows(html.parse_page(html.parse_pages(rows)).where("has_audio"))
+    plan = media._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 500
+    assert media.count() == 150 and html.parse_pages(rows).columns == ["no", "url", "page"]
+
+
+def test_trees_go_without_garbage_collection():
+    import gc
+
+    gc.collect()
+    gc.disable()
+    try:
+        html.page_record(PAGE.format("<p>a</p>" * 50), BASE)
+        html.search_items("<main><p>a</p></main>", BASE)
+        assert not any(isinstance(x, html.Node) for x in gc.get_objects())
+    finally:
+        gc.enable()
