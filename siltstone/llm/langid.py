@@ -43,8 +43,8 @@ FAMILIES = {
     "semitic": ("ar", "he", "mt"),
 }
 PER_LANG, MOST_LANGS, MEMBERS, SAMPLE_CHARS, SNIPPETS, BUCKET_BITS, ROUNDS = 500, 256, 12, 800, (12, 40, 120), 15, 60
-#: Characters of texts that are looked at together.
-GROUP_CHARS = 1 << 20
+#: Characters of texts that are looked at together: some 100 bytes each are held for them.
+GROUP_CHARS = 1 << 17
 _MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
 
 
@@ -78,7 +78,7 @@ def ngrams(texts: list[str], bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.nd
     doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     keep = letter.copy()  # of signs in a row that are no letters one stays
     keep[1:] |= letter[:-1]
-    keep[:1] = True
+    keep[np.cumsum(sizes) - sizes] = True  # and a text's first, whatever text stands before it
     c, doc = np.where(letter, codes, np.uint32(0))[keep], doc[keep]
     has = np.bincount(doc[c > 0], minlength=len(texts)) > 0
     shift = np.uint32(32 - bits)

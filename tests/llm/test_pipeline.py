@@ -84,3 +84,19 @@ def test_stages_of_odd_tables(spark, sf_dir):
 def test_stages_alone_on_odd_rows(spark, sf_dir):
     df = spark.createDataFrame([(1, None, None, None, None), (1, "", None, None, 0), (None, None, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     assert [stage(spark, df, sf_dir).count() for _, stage in corpus_pipeline.STAGES] == [0, 0, 3, 0, 3]
+
+
+def test_language_is_told_in_small_groups():
+    import tracemalloc
+
+    from siltstone.llm.langid import LanguageModel
+
+    model = LanguageModel(["the cat and the dog", "der hund und die katze"] * 3, ["en", "de"] * 3)
+    texts = ["the dog and the cat " * 100, "die katze und der hund " * 100] * 250
+    want = [model.predict([t]) for t in texts[:2]]
+    tracemalloc.start()
+    langs, scores = model.predict(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert langs == [w[0][0] for w in want] * 250 and list(scores) == [w[1][0] for w in want] * 250
+    assert peak < 40 << 20
