@@ -88,7 +88,7 @@ def _placed(sizes: DataFrame) -> DataFrame:
     """Each row that has words with the offset of its first word in its source; sums run in buckets, then over buckets."""
     buckets = max(1, -(-sizes.count() // BUCKET_ROWS))
     rows = sizes.where("size > 0").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(buckets)))
-    total = rows.groupBy("skey", "bucket").agg(F.sum("size").alias("words"))
+    total = materialize(rows.groupBy("skey", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
     base = _running(total, "skey", "bucket", "words", "base").select("skey", "bucket", "base")
     within = Window.partitionBy("skey", "bucket").orderBy("doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
@@ -131,7 +131,7 @@ def drawn_counts(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SE
 
 def shard_counts(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
     """shard, skey, first, blocks: the drawn counts, settled so that each source gets its slots; first numbers a shard's slots of a source."""
-    drawn = drawn_counts(plan, shard_slots, seed)
+    drawn = materialize(drawn_counts(plan, shard_slots, seed), "mix-drawn")
     got = _running(drawn, "skey", "shard", "drawn", "before").join(drawn.groupBy("skey").agg(F.sum("drawn").alias("all_drawn")), "skey")
     rows = got.join(plan.select("skey", "slots"), "skey")
     edge = lambda n: F.round(n * (F.col("slots") / F.col("all_drawn"))).cast("long")
@@ -172,8 +172,10 @@ def _taken(placed: DataFrame, slots: DataFrame, block: int) -> DataFrame:
 def _parts(docs: DataFrame, id_col: str, text_col: str, source_col: str, block: int, shard_slots: int, seed: int, weights, share: float):
     sizes = materialize(_sizes(docs, id_col, text_col, source_col), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, share), "mix-targets")  # a row for each source, read many times
-    placed, plan = _placed(sizes), slot_plan(targets, block)
+    # A row for each source, and one for each source and shard: stored, so that the driver does not plan them anew wherever they are read.
+    plan = materialize(slot_plan(targets, block), "mix-plan")
     counts = shard_counts(plan, shard_slots, seed).withColumnRenamed("blocks", "blocks_drawn")
+    counts, placed = materialize(counts, "mix-counts"), _placed(sizes)
     return sizes, targets, placed, _taken(placed, mix_slots(plan, counts, block, seed), block)
 
 
