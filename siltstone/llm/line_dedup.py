@@ -65,7 +65,9 @@ def with_hashes(rows: DataFrame) -> DataFrame:
 
 def with_tokens(rows: DataFrame, rarity: Column) -> DataFrame:
     """Adds tokens to rows with words w, in place of these: the distinct ones as longs in order, of which the high bits are the rarity as the table has it, the others a hash."""
-    key = lambda h: F.get(rarity, h.bitwiseAND(RARITY_BUCKETS - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 10))
+    # Arrays that can't hold nulls are sorted as longs, not as objects.
+    level = lambda h: F.coalesce(F.get(rarity, h.bitwiseAND(RARITY_BUCKETS - 1).cast("int")), F.lit(0).cast("long"))
+    key = lambda h: level(h).bitwiseOR(F.shiftrightunsigned(h, 10))
     return with_hashes(rows).withColumn("tokens", F.sort_array(F.array_distinct(F.transform("hashes", key)))).drop("hashes")
 
 
@@ -139,11 +141,10 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     # Of two similar lines the smaller one stands early enough in the list; lists without such a one, or of one line, are done.
     in_list = Window.partitionBy("token")
     listed = listed.withColumns({"many": F.count("*").over(in_list), "early": F.max((high >= F.col("n")).cast("int")).over(in_list)})
-    listed = materialize(listed.where("many > 1 and early = 1").select("token", *_LINE, "n", "pos"), "line-lists")
-    # Without the lines that are equal to an earlier one: how many are left in a list, and which is the earliest.
-    listed_once = listed.join(copies.select(*_LINE), _LINE, "left_anti").withColumns({"many": F.count("*").over(in_list), "lead": F.min(F.struct(*_LINE, "n", "pos")).over(in_list)})
-    entries = materialize(listed_once.where("many > 1").select("*", low, high), "line-entries")
-    discard(listed)
+    listed = listed.where("many > 1 and early = 1")
+    # Windows over one key need one exchange. The earliest line of a list is no copy, since the line that it equals would be in the list too.
+    listed = listed.withColumn("lead", F.min(F.struct(*_LINE, "n", "pos")).over(in_list)).drop("early")
+    entries = materialize(listed.select("token", *_LINE, "n", "pos", "many", "lead", low, high), "line-entries")
     release(lines.sparkSession)
     tried, longer = _with_lead(entries, num, den), entries.where("many > 2").drop("many", "lead")
     tried = materialize(tried, "line-tried")
@@ -162,7 +163,9 @@ def similar_lines(lines: DataFrame, equal: DataFrame, copies: DataFrame, n_lines
     rest = rest.select("l.doc_id", "l.no", F.col("r.doc_id").alias("to_id"), F.col("r.no").alias("to_no")).distinct()
     rest = materialize(rest.join(tried, _LINE + _TO, "left_anti"), "line-rest")
     late = _decided(rest, sets, num, den)
-    found = materialize(gone.union(late.where("similar").select(*_LINE)).distinct(), "line-found")
+    found = gone.union(late.where("similar").select(*_LINE)).distinct()
+    # The few copies that the bit filter left are found elsewhere.
+    found = materialize(found.join(copies.select(*_LINE), _LINE, "left_anti"), "line-found")
     near = materialize(_chosen(sets, found).select(*_LINE, "k1").join(found, _LINE, "left_semi"), "line-near")
     discard(entries, sets, tried, rest, led, late, found)
     return near

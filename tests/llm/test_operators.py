@@ -581,6 +581,14 @@ def test_line_dedup_of_a_template(spark):
     assert sorted((r.doc_id, r.text) for r in again.collect())[-1] == (2, "x y")
 
 
+def test_line_tokens_are_sorted_as_longs(spark):
+    rows = spark.sql("select 'a b c d e f g a b c d e f' as line union all select 'x y'")
+    made = line_dedup.with_tokens(line_dedup._words(rows), line_dedup.rarity_table(line_dedup._words(rows)))
+    assert not made.schema["tokens"].dataType.containsNull
+    for (tokens,) in made.collect():
+        assert tokens == sorted(set(tokens))
+
+
 def test_line_dedup_short_lines(spark):
     texts = {
         1: "one two three four five six seven eight nine ten\nLes.\nand so on\nÀ la une", 2: " Les. \nand  so\ton\nand so\n和平\n \n",
@@ -674,6 +682,11 @@ def test_mixing_draw(spark):
     assert sum(r.words for r in made if r.skey == "n") == 23_456
 
 
+def test_mixing_is_planned_in_parts(spark, documents):
+    plan = mixing.mixed_documents(documents)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") <= 8 and plan.count("Aggregate") <= 6
+
+
 def test_mixing_uses_the_draw(spark, documents):
     plan = mixing.mix(documents, block=64)._jdf.queryExecution().optimizedPlan().toString()
     assert "shard" in plan and "draw" in plan
